@@ -102,3 +102,133 @@ ORACLE["split_check"] = w(PAIRS, PREP) + """SELECT * FROM (VALUES
   ('intersect', (SELECT count(*) FROM (SELECT pair_id FROM kept WHERE split = 'train' INTERSECT SELECT pair_id FROM kept WHERE split = 'val'))),
   ('missing', (SELECT count(*) FROM (SELECT pair_id FROM kept EXCEPT ALL (SELECT pair_id FROM kept WHERE split = 'train' UNION ALL SELECT pair_id FROM kept WHERE split = 'val'))))
 ) AS t(name, rows)"""
+
+
+# ----------------------------------------------------------------- tokenizer twins
+def symstr(word: str) -> str:
+    """SQL: symbol string of a word, last character suffixed with </w>."""
+    return (
+        f"(' ' || array_to_string(list_transform(regexp_extract_all({word}, '(?s).'), "
+        f"lambda x, i: CASE WHEN i = len(regexp_extract_all({word}, '(?s).')) THEN x || '</w>' ELSE x END), '  ') || ' ')"
+    )
+
+
+def pair_counts(w: str) -> str:
+    return (
+        "SELECT sy[i] AS left_tok, sy[i + 1] AS right_tok, CAST(sum(freq) AS BIGINT) AS freq FROM "
+        f"(SELECT freq, sy, unnest(range(1, len(sy))) AS i FROM (SELECT freq, string_split(trim(s), '  ') AS sy FROM {w})) "
+        "GROUP BY 1, 2"
+    )
+
+
+def bpe_ctes(corpus: str, m: int, pre: str = "") -> list[str]:
+    """One-merge-at-a-time BPE training unrolled into m rounds of CTEs.
+
+    ``corpus`` is a SELECT producing a ``text`` column.  Defines
+    ``{pre}wf, {pre}w0..w{m}, {pre}p1..p{m}, {pre}merges, {pre}vocab``.
+    """
+    c = [
+        f"{pre}wf AS MATERIALIZED (SELECT word, CAST(count(*) AS BIGINT) AS freq FROM "
+        f"(SELECT unnest(regexp_extract_all(text, '{PRETOK}')) AS word FROM ({corpus})) GROUP BY word)",
+        f"{pre}w0 AS MATERIALIZED (SELECT word, freq, {symstr('word')} AS s FROM {pre}wf)",
+    ]
+    for r in range(1, m + 1):
+        c.append(
+            f"{pre}p{r} AS MATERIALIZED (SELECT left_tok, right_tok, ' ' || left_tok || '  ' || right_tok || ' ' AS pat, "
+            f"' ' || left_tok || right_tok || ' ' AS rep FROM ({pair_counts(f'{pre}w{r - 1}')}) "
+            "ORDER BY freq DESC, left_tok, right_tok LIMIT 1)"
+        )
+        c.append(
+            f"{pre}w{r} AS MATERIALIZED (SELECT word, freq, replace(s, (SELECT pat FROM {pre}p{r}), "
+            f"(SELECT rep FROM {pre}p{r})) AS s FROM {pre}w{r - 1})"
+        )
+    if m:
+        merges = " UNION ALL ".join(
+            f"SELECT {r - 1} AS rank, left_tok, right_tok FROM {pre}p{r}" for r in range(1, m + 1)
+        )
+    else:
+        merges = "SELECT 0 AS rank, '' AS left_tok, '' AS right_tok WHERE false"
+    c.append(f"{pre}merges AS MATERIALIZED ({merges})")
+    specials = ", ".join(f"('{t}', {i})" for i, t in enumerate(
+        ["[UNK]", "[PAD]", "[CLS]", "[SEP]", "[EOS]", "[SOS]", "[BOS]", "[MASK]"]))
+    c.append(
+        f"{pre}vocab AS MATERIALIZED (SELECT token, CAST(row_number() OVER (ORDER BY g, o) - 1 AS INTEGER) AS id FROM ("
+        f"SELECT token, g, o FROM ("
+        f"SELECT token, 0 AS g, o FROM (VALUES {specials}) t(token, o) "
+        f"UNION ALL SELECT token, 1 AS g, row_number() OVER (ORDER BY token) AS o FROM "
+        f"(SELECT DISTINCT unnest(string_split(trim(s), '  ')) AS token FROM {pre}w0) "
+        f"UNION ALL SELECT left_tok || right_tok AS token, 2 AS g, rank AS o FROM {pre}merges) "
+        f"QUALIFY row_number() OVER (PARTITION BY token ORDER BY g, o) = 1))"
+    )
+    return c
+
+
+def merged(s: str, m: int, pre: str = "") -> str:
+    for r in range(1, m + 1):
+        s = f"replace({s}, (SELECT pat FROM {pre}p{r}), (SELECT rep FROM {pre}p{r}))"
+    return s
+
+
+def encode_ctes(src: str, m: int, pre: str = "", name: str = "enc") -> list[str]:
+    """``{name}_sym(pair_id, i, j, id)`` and ``{name}(pair_id, ids)`` for ``src(pair_id, text)``."""
+    return [
+        f"{name}_occ AS (SELECT pair_id, unnest(a) AS w, unnest(range(len(a))) AS i FROM "
+        f"(SELECT pair_id, regexp_extract_all(text, '{PRETOK}') AS a FROM {src}))",
+        f"{name}_sym AS MATERIALIZED (SELECT o.pair_id, o.i, o.j, coalesce(v.id, 0) AS id FROM "
+        f"(SELECT pair_id, i, unnest(sy) AS sym, unnest(range(len(sy))) AS j FROM "
+        f"(SELECT pair_id, i, string_split(trim({merged(symstr('w'), m, pre)}), '  ') AS sy FROM {name}_occ)) o "
+        f"LEFT JOIN {pre}vocab v ON v.token = o.sym)",
+        f"{name} AS MATERIALIZED (SELECT pair_id, list(id ORDER BY i, j) AS ids FROM {name}_sym GROUP BY pair_id)",
+    ]
+
+
+TRAIN_SRC = "SELECT src AS text FROM kept WHERE split = 'train'"
+TRAIN_TGT = "SELECT tgt AS text FROM kept WHERE split = 'train'"
+KEPT_SRC = "kept_src AS (SELECT pair_id, src AS text FROM kept)"
+KEPT_TGT = "kept_tgt AS (SELECT pair_id, tgt AS text FROM kept)"
+M = 10
+
+ORACLE["pretokenize"] = w(PAIRS) + f"SELECT pair_id, regexp_extract_all(src, '{PRETOK}') AS tokens FROM pairs"
+ORACLE["word_freq"] = w(PAIRS, PREP, *bpe_ctes(TRAIN_SRC, 0)) + "SELECT word, freq FROM wf"
+ORACLE["alphabet"] = w(PAIRS, PREP, *bpe_ctes(TRAIN_SRC, 0)) + (
+    "SELECT symbol, CAST(sum(freq) AS BIGINT) AS freq FROM "
+    "(SELECT unnest(string_split(trim(s), '  ')) AS symbol, freq FROM w0) GROUP BY symbol"
+)
+ORACLE["pair_freq"] = w(PAIRS, PREP, *bpe_ctes(TRAIN_SRC, 0)) + pair_counts("w0")
+ORACLE["bpe_merge_step"] = w(PAIRS, PREP, *bpe_ctes(TRAIN_SRC, 1)) + "SELECT word, freq, s FROM w1"
+ORACLE["bpe_train"] = w(PAIRS, PREP, *bpe_ctes(TRAIN_SRC, M)) + (
+    "SELECT CAST(rank AS INTEGER) AS rank, left_tok, right_tok FROM merges"
+)
+ORACLE["vocab_table"] = w(PAIRS, PREP, *bpe_ctes(TRAIN_SRC, M)) + "SELECT token, id FROM vocab"
+ORACLE["vocab_size"] = w(PAIRS, PREP, *bpe_ctes(TRAIN_SRC, M)) + (
+    "SELECT CAST(count(*) AS BIGINT) AS vocab_size FROM vocab"
+)
+ORACLE["bpe_encode"] = w(PAIRS, PREP, *bpe_ctes(TRAIN_SRC, M), KEPT_SRC, *encode_ctes("kept_src", M)) + (
+    "SELECT k.pair_id, coalesce(e.ids, []::INTEGER[]) AS src_ids FROM kept k LEFT JOIN enc e USING (pair_id)"
+)
+ORACLE["bpe_encode_chars"] = w(PAIRS, PREP, *bpe_ctes(TRAIN_SRC, 0), KEPT_SRC, *encode_ctes("kept_src", 0)) + (
+    "SELECT k.pair_id, coalesce(e.ids, []::INTEGER[]) AS src_ids FROM kept k LEFT JOIN enc e USING (pair_id)"
+)
+ORACLE["bpe_decode"] = w(PAIRS, PREP, *bpe_ctes(TRAIN_SRC, M), KEPT_SRC, *encode_ctes("kept_src", M)) + (
+    f"SELECT k.pair_id, coalesce({strip('replace(d.t, ' + chr(39) + '</w>' + chr(39) + ', ' + chr(39) + ' ' + chr(39) + ')')}, '') AS text "
+    "FROM kept k LEFT JOIN (SELECT e.pair_id, string_agg(v.token, '' ORDER BY e.i, e.j) AS t "
+    "FROM enc_sym e JOIN vocab v ON v.id = e.id WHERE e.id >= 8 GROUP BY e.pair_id) d USING (pair_id)"
+)
+DETOK_BEFORE = r"\s+([،,.؟?!:;)\]»])"
+DETOK_AFTER = r"([(\[«])\s+"
+
+
+def detok_sql(x: str) -> str:
+    return strip(f"regexp_replace(regexp_replace({x}, '{DETOK_BEFORE}', '\\1', 'g'), '{DETOK_AFTER}', '\\1', 'g')")
+
+
+ORACLE["detok"] = w(PAIRS) + (
+    f"SELECT pair_id, {detok_sql(f"array_to_string(regexp_extract_all(src, '{PRETOK}'), ' ')")} AS text FROM pairs"
+)
+ORACLE["filter_token_length"] = w(
+    PAIRS, PREP, *bpe_ctes(TRAIN_SRC, M, "s_"), *bpe_ctes(TRAIN_TGT, M, "t_"), KEPT_SRC, KEPT_TGT,
+    *encode_ctes("kept_src", M, "s_", "es"), *encode_ctes("kept_tgt", M, "t_", "et"),
+) + (
+    "SELECT k.pair_id, k.split FROM kept k JOIN es ON es.pair_id = k.pair_id JOIN et ON et.pair_id = k.pair_id "
+    "WHERE len(es.ids) <= 158 AND len(et.ids) <= 158"
+)
