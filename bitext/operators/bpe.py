@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
@@ -25,7 +26,7 @@ from bitext.functions import text as T
 
 N_SPECIAL = len(SPECIAL_TOKENS)
 INLINE_MERGES = 64  # up to this many merges are applied as nested built-in replace()
-INLINE_VOCAB = 4096  # up to this many vocabulary entries are inlined as a map literal
+INLINE_VOCAB = 64  # map literals are scanned linearly per lookup: inline only tiny vocabularies
 
 
 # ----------------------------------------------------------------- word tables
@@ -56,9 +57,17 @@ def from_symbol_string(s: Column) -> Column:
     return F.split(F.trim(s), "  ")
 
 
+def symbol_string(words_joined) -> Column:
+    """Symbol string of tab-separated words, built with two regex passes (no lambda):
+    every character gets a space on both sides, the last one of each word ``</w>``."""
+    c = F.col(words_joined) if isinstance(words_joined, str) else words_joined
+    spaced = F.regexp_replace(c, r"([^\t])", " $1 ")
+    return F.regexp_replace(spaced, r" (\t|$)", END_OF_WORD + " $1")
+
+
 def word_symbols(wf: DataFrame) -> DataFrame:
     """``(word, freq, s)`` with ``s`` the symbol string of the unmerged word."""
-    return wf.select("word", "freq", to_symbol_string(initial_symbols("word")).alias("s"))
+    return wf.select("word", "freq", symbol_string("word").alias("s"))
 
 
 def alphabet(wf: DataFrame) -> DataFrame:
@@ -67,15 +76,18 @@ def alphabet(wf: DataFrame) -> DataFrame:
     return sy.groupBy("symbol").agg(F.sum("freq").cast("bigint").alias("freq"))
 
 
+PAIR_LOOKAHEAD = r" (\S+) (?= (\S+) )"  # a symbol and, without consuming it, the next one
+
+
 def pair_freq(ws: DataFrame) -> DataFrame:
-    """``(left_tok, right_tok, freq)``: adjacent symbol pairs weighted by word frequency."""
-    sy = ws.select("freq", from_symbol_string(F.col("s")).alias("sy"))
-    pr = sy.where(F.size("sy") >= 2).select(
-        "freq",
-        F.explode(
-            F.transform(F.sequence(F.lit(0), F.size("sy") - 2), lambda i: F.struct(F.col("sy")[i].alias("left_tok"), F.col("sy")[i + 1].alias("right_tok")))
-        ).alias("p"),
-    )
+    """``(left_tok, right_tok, freq)``: adjacent symbol pairs weighted by word frequency.
+
+    Pairs are read off the symbol string with one look-ahead regex (overlapping
+    pairs, no lambda), then summed with a partial + final aggregate.
+    """
+    lefts = F.regexp_extract_all(F.col("s"), F.lit(PAIR_LOOKAHEAD), 1)
+    rights = F.regexp_extract_all(F.col("s"), F.lit(PAIR_LOOKAHEAD), 2)
+    pr = ws.select("freq", F.explode(F.arrays_zip(lefts.alias("left_tok"), rights.alias("right_tok"))).alias("p"))
     return pr.groupBy(F.col("p.left_tok").alias("left_tok"), F.col("p.right_tok").alias("right_tok")).agg(
         F.sum("freq").cast("bigint").alias("freq")
     )
@@ -215,54 +227,52 @@ def _map_literal(d: dict, key_type: str, value_type: str) -> Column:
     )
 
 
-def _encode_word_py(word: str, merges_rank: dict, vocab: dict) -> list:
-    """Per-word helper for large merge lists: apply merges in rank order."""
-    sy = list(word)
-    if not sy:
-        return []
-    sy[-1] = sy[-1] + END_OF_WORD
-    while len(sy) > 1:
-        best, bi = None, -1
-        for i in range(len(sy) - 1):
-            rk = merges_rank.get((sy[i], sy[i + 1]))
-            if rk is not None and (best is None or rk < best):
-                best, bi = rk, i
-        if best is None:
-            break
-        l, r = sy[bi], sy[bi + 1]
-        out, i = [], 0
-        while i < len(sy):
-            if i < len(sy) - 1 and sy[i] == l and sy[i + 1] == r:
-                out.append(l + r)
-                i += 2
-            else:
-                out.append(sy[i])
-                i += 1
-        sy = out
-    return [vocab.get(s, UNK_ID) for s in sy]
-
-
 def encode_col(text: Column, tok: Tokenizer) -> Column:
     """Text -> ``array<int>`` of subword ids (row-local; no shuffle)."""
     if len(tok.merges) <= INLINE_MERGES and len(tok.vocab) <= INLINE_VOCAB:
         vmap = _map_literal(tok.vocab, "string", "int")
-        per_word = F.transform(
-            T.pretokenize(text),
-            lambda w: F.transform(
-                from_symbol_string(apply_merges_col(to_symbol_string(initial_symbols(w)), tok.merges)),
-                lambda s: F.coalesce(F.element_at(vmap, s), F.lit(UNK_ID)),
-            ),
-        )
-        return F.flatten(per_word)
+        s = symbol_string(F.array_join(T.pretokenize(text), "\t"))
+        syms = F.split(F.trim(apply_merges_col(s, tok.merges)), r"[ \t]+")
+        syms = F.filter(syms, lambda x: x != "")
+        return F.transform(syms, lambda x: F.coalesce(F.element_at(vmap, x), F.lit(UNK_ID)))
     return _encode_udf(tok)(T.pretokenize(text))
 
 
 def _encode_udf(tok: Tokenizer):
-    import pandas as pd
+    """Arrow-batched encoder for large merge lists: the merges and the vocabulary
+    (bounded by ``vocab_size``) travel with the function; each task keeps a
+    word cache, so frequent words are encoded once per task."""
     from pyspark.sql.functions import pandas_udf
 
     ranks = {m: i for i, m in enumerate(tok.merges)}
     vocab = dict(tok.vocab)
+    eow, unk = END_OF_WORD, UNK_ID
+
+    def _encode_word_py(word, merges_rank, vocab):
+        """Per-word helper for large merge lists: apply merges in rank order."""
+        sy = list(word)
+        if not sy:
+            return []
+        sy[-1] = sy[-1] + eow
+        while len(sy) > 1:
+            best, bi = None, -1
+            for i in range(len(sy) - 1):
+                rk = merges_rank.get((sy[i], sy[i + 1]))
+                if rk is not None and (best is None or rk < best):
+                    best, bi = rk, i
+            if best is None:
+                break
+            l, r = sy[bi], sy[bi + 1]
+            out, i = [], 0
+            while i < len(sy):
+                if i < len(sy) - 1 and sy[i] == l and sy[i + 1] == r:
+                    out.append(l + r)
+                    i += 2
+                else:
+                    out.append(sy[i])
+                    i += 1
+            sy = out
+        return [vocab.get(s, unk) for s in sy]
 
     @pandas_udf(Ty.ArrayType(Ty.IntegerType()))
     def enc(words: pd.Series) -> pd.Series:
@@ -298,14 +308,14 @@ def decode_col(ids: Column, tok: Tokenizer) -> Column:
 
 
 def _decode_udf(tok: Tokenizer):
-    import pandas as pd
     from pyspark.sql.functions import pandas_udf
 
     inv = tok.id_to_token
+    n_special = N_SPECIAL
 
     @pandas_udf(Ty.StringType())
     def dec(ids: pd.Series) -> pd.Series:
-        return pd.Series(["".join(inv.get(int(i), "") for i in xs if int(i) >= N_SPECIAL) for xs in ids])
+        return pd.Series(["".join(inv.get(int(i), "") for i in xs if int(i) >= n_special) for xs in ids])
 
     return dec
 

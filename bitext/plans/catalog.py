@@ -34,4 +34,4 @@ def r6a(c):
 
 
 # import the query modules so they register themselves
-from bitext.plans import q_prepare, q_tokenize  # noqa: E402,F401
+from bitext.plans import q_eval, q_layout, q_prepare, q_tokenize  # noqa: E402,F401

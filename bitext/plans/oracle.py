@@ -232,3 +232,148 @@ ORACLE["filter_token_length"] = w(
     "SELECT k.pair_id, k.split FROM kept k JOIN es ON es.pair_id = k.pair_id JOIN et ON et.pair_id = k.pair_id "
     "WHERE len(es.ids) <= 158 AND len(et.ids) <= 158"
 )
+
+
+# ----------------------------------------------------------------- layout twins
+ENC2 = [
+    *bpe_ctes(TRAIN_SRC, M, "s_"), *bpe_ctes(TRAIN_TGT, M, "t_"), KEPT_SRC, KEPT_TGT,
+    *encode_ctes("kept_src", M, "s_", "es"), *encode_ctes("kept_tgt", M, "t_", "et"),
+    "encoded AS MATERIALIZED (SELECT k.pair_id, k.split, k.src, k.tgt, coalesce(es.ids, []::INTEGER[]) AS src_ids, "
+    "coalesce(et.ids, []::INTEGER[]) AS tgt_ids FROM kept k LEFT JOIN es USING (pair_id) LEFT JOIN et USING (pair_id))",
+    "fit AS MATERIALIZED (SELECT * FROM encoded WHERE len(src_ids) <= 158 AND len(tgt_ids) <= 158)",
+]
+
+
+def enc_in(x: str) -> str:
+    return f"([5]::INTEGER[] || {x} || [4]::INTEGER[] || repeat([1]::INTEGER[], greatest(160 - len({x}) - 2, 0)))"
+
+
+def dec_in(x: str) -> str:
+    return f"([5]::INTEGER[] || {x} || repeat([1]::INTEGER[], greatest(160 - len({x}) - 1, 0)))"
+
+
+def lab(x: str) -> str:
+    return f"({x} || [4]::INTEGER[] || repeat([1]::INTEGER[], greatest(160 - len({x}) - 1, 0)))"
+
+
+L0 = w(PAIRS, PREP, *ENC2)
+ORACLE["encoder_input"] = L0 + f"SELECT pair_id, {enc_in('src_ids')} AS encoder_input FROM fit"
+ORACLE["decoder_input"] = L0 + f"SELECT pair_id, {dec_in('tgt_ids')} AS decoder_input FROM fit"
+ORACLE["labels"] = L0 + f"SELECT pair_id, {lab('tgt_ids')} AS labels FROM fit"
+ORACLE["padding_mask"] = L0 + (
+    f"SELECT pair_id, list_transform({enc_in('src_ids')}, lambda x: x <> 1) AS encoder_mask FROM fit"
+)
+ORACLE["causal_mask"] = L0 + (
+    "SELECT size, list_transform(range(size), lambda r: list_transform(range(size), lambda c: c <= r)) AS mask "
+    "FROM (SELECT DISTINCT CAST(len(tgt_ids) + 1 AS INTEGER) AS size FROM fit)"
+)
+ORACLE["decoder_mask"] = L0 + (
+    "SELECT valid_len, list_transform(range(160), lambda r: CAST(least(r + 1, valid_len) AS INTEGER)) AS row_true "
+    "FROM (SELECT DISTINCT CAST(len(tgt_ids) + 1 AS INTEGER) AS valid_len FROM fit)"
+)
+ORACLE["model_rows"] = L0 + (
+    f"SELECT pair_id, {enc_in('src_ids')} AS encoder_input, {dec_in('tgt_ids')} AS decoder_input, "
+    f"{lab('tgt_ids')} AS labels, list_transform({enc_in('src_ids')}, lambda x: x <> 1) AS encoder_mask, "
+    "CAST(len(src_ids) + 2 AS INTEGER) AS encoder_valid_len, CAST(len(tgt_ids) + 1 AS INTEGER) AS decoder_valid_len, "
+    "src AS src_text, tgt AS tgt_text FROM fit"
+)
+TB = """tb AS (SELECT *, CAST(rank // 32 AS BIGINT) AS batch_id FROM (
+  SELECT *, CAST(row_number() OVER (ORDER BY md5('42:1:' || pair_id), pair_id) - 1 AS BIGINT) AS rank
+  FROM fit WHERE split = 'train'))"""
+ORACLE["collate"] = w(PAIRS, PREP, *ENC2, TB) + (
+    f"SELECT batch_id, list(pair_id ORDER BY rank) AS pair_id, list({dec_in('tgt_ids')} ORDER BY rank) AS decoder_input "
+    "FROM tb GROUP BY batch_id"
+)
+ORACLE["padding_stats"] = w(PAIRS, PREP, *ENC2, TB) + (
+    "SELECT batch_id, rows, pad_positions, positions, round(pad_positions / positions, 6) AS pad_share FROM ("
+    "SELECT batch_id, count(*) AS rows, CAST(sum(160 - len(tgt_ids) - 1) AS BIGINT) AS pad_positions, "
+    "CAST(sum(160) AS BIGINT) AS positions FROM tb GROUP BY batch_id)"
+)
+ORACLE["validate_fit"] = L0 + (
+    "SELECT pair_id, CAST(len(src_ids) AS INTEGER) AS src_len, CAST(len(tgt_ids) AS INTEGER) AS tgt_len "
+    "FROM encoded WHERE NOT (len(src_ids) <= 158 AND len(tgt_ids) <= 159)"
+)
+ORACLE["truncate_ids"] = L0 + "SELECT pair_id, src_ids[1:158] AS src_ids FROM encoded"
+ORACLE["next_token_pairs"] = L0 + (
+    "SELECT pair_id, CAST(i - 1 AS INTEGER) AS pos, s[i] AS prev, s[i + 1] AS next FROM "
+    "(SELECT pair_id, s, unnest(range(1, len(s))) AS i FROM "
+    "(SELECT pair_id, [5]::INTEGER[] || tgt_ids || [4]::INTEGER[] AS s FROM fit))"
+)
+ORACLE["ngrams"] = L0 + (
+    "SELECT pair_id, CASE WHEN len(tgt_ids) >= 3 THEN list_transform(range(1, len(tgt_ids) - 1), "
+    "lambda i: tgt_ids[i:i + 2]) ELSE [] END AS grams FROM fit"
+)
+
+
+# ----------------------------------------------------------------- BLEU twins
+HYPREF = f"""hyp_ref AS (
+  SELECT pair_id, array_to_string(list_filter(regexp_extract_all(tgt, '{WORD}'), lambda w, i: i % 7 <> 0), ' ') AS hyp,
+         tgt AS ref
+  FROM pairs WHERE tgt <> '')"""
+
+
+def tok13a(x: str) -> str:
+    s = x
+    for old, new in (("<skipped>", ""), ("-' || chr(10) || '", ""), ("' || chr(10) || '", " "),
+                     ("&quot;", '"'), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">")):
+        s = f"replace({s}, '{old}', '{new}')"
+    s = f"(' ' || {s} || ' ')"
+    steps = (
+        (r"([\{-\~\[-\` -\&\(-\+\:-\@\/])", r" \1 "),
+        (r"([^0-9])([\.,])", r"\1 \2 "),
+        (r"([\.,])([^0-9])", r" \1 \2"),
+        (r"([0-9])(-)", r"\1 \2 "),
+    )
+    for pat, rep in steps:
+        s = f"regexp_replace({s}, '{pat}', '{rep}', 'g')"
+    return f"regexp_extract_all({s}, '{WORD}')"
+
+
+TOK = f"""tk AS MATERIALIZED (SELECT pair_id, {tok13a('hyp')} AS hyp_tokens, {tok13a('ref')} AS ref_tokens FROM hyp_ref)"""
+
+
+def grams_sql(x: str, n: int) -> str:
+    return (f"CASE WHEN len({x}) >= {n} THEN list_transform(range(1, len({x}) - {n - 2}), "
+            f"lambda i: array_to_string({x}[i:i + {n - 1}], ' ')) ELSE []::VARCHAR[] END")
+
+
+def matches_ctes(tk: str = "tk", key: str = "pair_id", by: str = "") -> list[str]:
+    b = f"{by}, " if by else ""
+    parts = []
+    for n in range(1, 5):
+        parts.append(f"SELECT {key}, {b}{n} AS n, unnest({grams_sql('hyp_tokens', n)}) AS g, 1 AS h FROM {tk}")
+        parts.append(f"SELECT {key}, {b}{n} AS n, unnest({grams_sql('ref_tokens', n)}) AS g, 0 AS h FROM {tk}")
+    return [
+        f"gc AS (SELECT {key}, {b}n, g, sum(h) AS hc, sum(1 - h) AS rc FROM ({' UNION ALL '.join(parts)}) GROUP BY ALL)",
+        f"per AS (SELECT {key}, {b}n, CAST(sum(least(hc, rc)) AS BIGINT) AS matches, CAST(sum(hc) AS BIGINT) AS total FROM gc GROUP BY ALL)",
+        f"nm AS MATERIALIZED (SELECT l.{key}, {''.join(f'l.{c.strip()}, ' for c in by.split(',') if c.strip())}CAST(l.n AS INTEGER) AS n, "
+        f"coalesce(p.matches, 0)::BIGINT AS matches, coalesce(p.total, 0)::BIGINT AS total, l.hyp_len, l.ref_len FROM "
+        f"(SELECT {key}, {b}CAST(len(hyp_tokens) AS BIGINT) AS hyp_len, CAST(len(ref_tokens) AS BIGINT) AS ref_len, unnest(range(1, 5)) AS n FROM {tk}) l "
+        f"LEFT JOIN per p ON p.{key} = l.{key} AND p.n = l.n)",
+    ]
+
+
+def bleu_select(by: str = "") -> str:
+    b = f"{by}, " if by else ""
+    sums = ", ".join(
+        f"CAST(sum(CASE WHEN n = {n} THEN matches ELSE 0 END) AS BIGINT) AS m{n}, "
+        f"CAST(sum(CASE WHEN n = {n} THEN total ELSE 0 END) AS BIGINT) AS t{n}" for n in range(1, 5)
+    )
+    s = (f"SELECT {b}{sums}, CAST(sum(CASE WHEN n = 1 THEN hyp_len ELSE 0 END) AS BIGINT) AS sys_len, "
+         f"CAST(sum(CASE WHEN n = 1 THEN ref_len ELSE 0 END) AS BIGINT) AS ref_len FROM nm" + (f" GROUP BY {by}" if by else ""))
+    z = ["(CASE WHEN m1 = 0 THEN 1 ELSE 0 END)"]
+    for n in range(2, 5):
+        z.append(f"({z[-1]} + CASE WHEN m{n} = 0 THEN 1 ELSE 0 END)")
+    logs = [f"ln(CASE WHEN m{n} > 0 THEN 100.0 * m{n} / t{n} ELSE 100.0 / (pow(2.0, {z[n - 1]}) * t{n}) END)" for n in range(1, 5)]
+    bleu = (f"CASE WHEN m1 + m2 + m3 + m4 = 0 OR t1 = 0 OR t2 = 0 OR t3 = 0 OR t4 = 0 THEN 0.0 ELSE "
+            f"(CASE WHEN sys_len > ref_len THEN 1.0 WHEN sys_len > 0 THEN exp(1 - ref_len / sys_len) ELSE 0.0 END) * "
+            f"exp(({' + '.join(logs)}) / 4) END")
+    return (f"SELECT {b}round({bleu}, 6) AS bleu, sys_len, ref_len, m1, m2, m3, m4, t1, t2, t3, t4 FROM ({s})")
+
+
+ORACLE["bleu_tokenize"] = w(PAIRS, HYPREF, TOK) + "SELECT * FROM tk"
+ORACLE["ngram_matches"] = w(PAIRS, HYPREF, TOK, *matches_ctes()) + "SELECT * FROM nm"
+ORACLE["corpus_bleu"] = w(PAIRS, HYPREF, TOK, *matches_ctes()) + bleu_select()
+TOKL = f"""tkl AS MATERIALIZED (SELECT h.pair_id, d.lang, {tok13a('hyp')} AS hyp_tokens, {tok13a('ref')} AS ref_tokens
+  FROM hyp_ref h JOIN documents d ON d.doc_id = h.pair_id // 100000)"""
+ORACLE["grouped_bleu"] = w(PAIRS, HYPREF, TOKL, *matches_ctes("tkl", by="lang")) + bleu_select("lang")

@@ -17,9 +17,19 @@ P = DEFAULT
 SAMPLE_N = 5000  # seeded_sample: the size of the sample is the feature
 
 
+_PREP_CACHE: dict = {}
+
+
 def kept_split(spark, sf):
-    """Kept pairs with their split (the prepared corpus)."""
-    return prepare(X.pairs(spark, sf), P)
+    """Kept pairs with their split (the prepared corpus).
+
+    The plan embeds the sample and split cut values found by small driver jobs;
+    it is built once per session and data folder and reused by later queries.
+    """
+    key = (id(spark), sf)
+    if key not in _PREP_CACHE:
+        _PREP_CACHE[key] = prepare(X.pairs(spark, sf), P)
+    return _PREP_CACHE[key]
 
 
 @query("scan_pairs")
