@@ -377,3 +377,130 @@ ORACLE["corpus_bleu"] = w(PAIRS, HYPREF, TOK, *matches_ctes()) + bleu_select()
 TOKL = f"""tkl AS MATERIALIZED (SELECT h.pair_id, d.lang, {tok13a('hyp')} AS hyp_tokens, {tok13a('ref')} AS ref_tokens
   FROM hyp_ref h JOIN documents d ON d.doc_id = h.pair_id // 100000)"""
 ORACLE["grouped_bleu"] = w(PAIRS, HYPREF, TOKL, *matches_ctes("tkl", by="lang")) + bleu_select("lang")
+
+
+# ----------------------------------------------------------------- vector twins
+def rd(x: str, k: int = 6) -> str:
+    """Round like Spark (and turn -0.0 into 0.0)."""
+    return f"(round({x}, {k}) + 0.0)"
+
+
+def rda(x: str) -> str:
+    return f"list_transform({x}, lambda y: {rd('y')})"
+
+
+VECS = """vecs AS (SELECT CAST(vec_id // 12 AS BIGINT) AS seq_id, CAST(vec_id % 12 AS INTEGER) AS pos, vec_id, label,
+  CAST(embedding AS DOUBLE[]) AS vec FROM embeddings)"""
+LOGITS = "lg AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS logits, label FROM embeddings)"
+
+
+def dot_sql(a: str, b: str) -> str:
+    return f"list_sum(list_transform({a}, lambda x, i: x * {b}[i]))"
+
+
+def pe_sql(p: str) -> str:
+    k = "(-ln(10000.0) / 64)"
+    return (f"list_transform(range(64), lambda i: CASE WHEN i % 2 = 0 THEN sin({p} * exp((i - i % 2) * {k})) "
+            f"ELSE cos({p} * exp((i - i % 2) * {k})) END)")
+
+
+def layer_norm_sql(v: str) -> str:
+    mu = f"(list_sum({v}) / len({v}))"
+    sd = f"sqrt(list_sum(list_transform({v}, lambda x: (x - {mu}) * (x - {mu}))) / len({v}))"
+    return f"list_transform({v}, lambda x: 1.0 * (x - {mu}) / ({sd} + 1e-6) + 0.0)"
+
+
+def weights_py(n_out: int, n_in: int, salt: int = 0):
+    w = [[(((o * 31 + i * 17 + salt) % 13) - 6) / 13.0 for i in range(n_in)] for o in range(n_out)]
+    b = [((o % 5) - 2) / 10.0 for o in range(n_out)]
+    return w, b
+
+
+def linear_sql(x: str, n_out: int, n_in: int, salt: int = 0) -> str:
+    w, b = weights_py(n_out, n_in, salt)
+    outs = []
+    for o in range(n_out):
+        wl = "[" + ", ".join(repr(t) + "::DOUBLE" for t in w[o]) + "]"
+        outs.append(f"({dot_sql(wl, x)} + {b[o]!r})")
+    return "[" + ", ".join(outs) + "]"
+
+
+HEADS = """hq AS (SELECT seq_id, CAST(head AS INTEGER) AS head, pos, vec[head * 8 + 1:head * 8 + 8] AS x
+  FROM (SELECT seq_id, pos, vec, unnest(range(8)) AS head FROM vecs))"""
+
+
+def attn_ctes(mask: str, kv: str = "hq") -> list[str]:
+    cond = {"none": "", "causal": " AND k.pos <= q.pos", "valid": " AND k.pos < vl.valid_len"}[mask]
+    join_valid = " JOIN vl ON vl.seq_id = q.seq_id" if mask == "valid" else ""
+    return [
+        f"sc AS (SELECT q.seq_id, q.head, q.pos AS row, k.pos AS column, {dot_sql('q.x', 'k.x')} / sqrt(8) AS score, "
+        f"k.x AS v FROM hq q JOIN {kv} k ON k.seq_id = q.seq_id AND k.head = q.head{join_valid} WHERE true{cond})",
+        "ex AS (SELECT *, exp(score - max(score) OVER (PARTITION BY seq_id, head, row)) AS e FROM sc)",
+        "wt AS MATERIALIZED (SELECT seq_id, head, row, \"column\", v, e / sum(e) OVER (PARTITION BY seq_id, head, row) AS weight FROM ex)",
+        "ot AS (SELECT seq_id, head, row, list(s ORDER BY dim) AS out FROM (SELECT seq_id, head, row, dim, sum(weight * v[dim]) AS s "
+        "FROM (SELECT seq_id, head, row, weight, v, unnest(range(1, 9)) AS dim FROM wt) GROUP BY ALL) GROUP BY ALL)",
+    ]
+
+
+ORACLE["embed_scale"] = w(VECS) + (
+    f"SELECT t.seq_id, t.pos, {rda('list_transform(e.vec, lambda x: x * 8.0)')} AS emb "
+    "FROM vecs t JOIN vecs e ON e.vec_id = t.vec_id"
+)
+ORACLE["positional_table"] = w(VECS) + (
+    f"SELECT pos, {rda(pe_sql('pos'))} AS pe FROM (SELECT DISTINCT pos FROM vecs)"
+)
+ORACLE["add_positional"] = w(VECS) + (
+    f"SELECT seq_id, pos, {rda(f'list_transform(vec, lambda x, i: x + pe[i])')} AS vec FROM "
+    f"(SELECT v.*, p.pe FROM vecs v JOIN (SELECT pos, {pe_sql('pos')} AS pe FROM (SELECT DISTINCT pos FROM vecs)) p USING (pos))"
+)
+ORACLE["layer_norm"] = w(VECS) + f"SELECT vec_id, {rda(layer_norm_sql('vec'))} AS vec FROM vecs"
+ORACLE["linear"] = w(VECS) + f"SELECT vec_id, {rda(linear_sql('vec', 8, 64))} AS out FROM vecs"
+ORACLE["feed_forward"] = w(VECS) + (
+    f"SELECT vec_id, {rda(linear_sql('h', 64, 16, 5))} AS out FROM "
+    f"(SELECT vec_id, list_transform({linear_sql('vec', 16, 64)}, lambda x: greatest(x, 0.0)) AS h FROM vecs)"
+)
+ORACLE["split_heads"] = w(VECS) + (
+    f"SELECT vec_id, list_transform(range(8), lambda i: {rda('vec[i * 8 + 1:i * 8 + 8]')}) AS heads FROM vecs"
+)
+ORACLE["attention_scores"] = w(VECS, HEADS) + (
+    f"SELECT q.seq_id, q.head, q.pos AS row, k.pos AS column, {rd(dot_sql('q.x', 'k.x') + ' / sqrt(8)')} AS score "
+    "FROM hq q JOIN hq k ON k.seq_id = q.seq_id AND k.head = q.head"
+)
+ORACLE["attention_self"] = w(VECS, HEADS, *attn_ctes("none")) + f"SELECT seq_id, head, row, {rda('out')} AS out FROM ot"
+ORACLE["attention_causal"] = w(VECS, HEADS, *attn_ctes("causal")) + (
+    f"SELECT seq_id, head, row, \"column\", {rd('weight')} AS weight FROM wt"
+)
+SRCV = f"""srcv AS (SELECT seq_id, pos, {layer_norm_sql('vec')} AS vec FROM vecs),
+hk AS (SELECT seq_id, CAST(head AS INTEGER) AS head, pos, vec[head * 8 + 1:head * 8 + 8] AS x
+  FROM (SELECT seq_id, pos, vec, unnest(range(8)) AS head FROM srcv)),
+vl AS (SELECT seq_id, CAST(count(*) FILTER (WHERE label <> 1) AS INTEGER) AS valid_len FROM vecs GROUP BY seq_id)"""
+ORACLE["attention_cross"] = w(VECS, HEADS, SRCV, *attn_ctes("valid", "hk")) + (
+    f"SELECT seq_id, head, row, {rda('out')} AS out FROM ot"
+)
+
+
+def log_softmax_sql(v: str) -> str:
+    m = f"list_max({v})"
+    lse = f"(ln(list_sum(list_transform({v}, lambda x: exp(x - {m})))) + {m})"
+    return f"list_transform({v}, lambda x: x - {lse})"
+
+
+ORACLE["softmax"] = w(LOGITS) + (
+    f"SELECT vec_id, {rda('list_transform(e, lambda x: x / list_sum(e))')} AS p FROM "
+    "(SELECT vec_id, list_transform(logits, lambda x: exp(x - list_max(logits))) AS e FROM lg)"
+)
+ORACLE["log_softmax"] = w(LOGITS) + f"SELECT vec_id, {rda(log_softmax_sql('logits'))} AS logp FROM lg"
+ORACLE["smoothed_ce"] = w(LOGITS) + (
+    f"SELECT {rd('avg(0.9 * (-lp[label + 1]) + 0.1 * (-list_sum(lp) / len(lp)))')} AS loss, CAST(count(*) AS BIGINT) AS rows "
+    f"FROM (SELECT label, {log_softmax_sql('logits')} AS lp FROM lg WHERE label <> 1)"
+)
+METRICS = """metrics AS (SELECT 'Loss/train' AS tag, CAST(r + 1 AS BIGINT) AS step, CAST(r // 500 AS BIGINT) AS epoch,
+  CAST(value AS DOUBLE) AS value FROM (
+  SELECT value, row_number() OVER (ORDER BY ts, event_id) - 1 AS r FROM events WHERE event_type = 'view'))"""
+ORACLE["lr_schedule"] = w(METRICS) + (
+    "SELECT step, round(0.0003 * least(CAST(step AS DOUBLE) / 4000.0, sqrt(4000.0 / CAST(step AS DOUBLE))), 12) + 0.0 AS lr FROM metrics"
+)
+ORACLE["length_penalty"] = w(PAIRS) + (
+    f"SELECT pair_id, CAST({wc('tgt')} + 2 AS INTEGER) AS len, {rd(f'pow((5.0 + ({wc('tgt')} + 2)) / 6.0, 0.6)')} AS lp "
+    f"FROM pairs WHERE {wc('src')} BETWEEN 1 AND 40 AND {wc('tgt')} BETWEEN 1 AND 40"
+)
