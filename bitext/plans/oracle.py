@@ -504,3 +504,68 @@ ORACLE["length_penalty"] = w(PAIRS) + (
     f"SELECT pair_id, CAST({wc('tgt')} + 2 AS INTEGER) AS len, {rd(f'pow((5.0 + ({wc('tgt')} + 2)) / 6.0, 0.6)')} AS lp "
     f"FROM pairs WHERE {wc('src')} BETWEEN 1 AND 40 AND {wc('tgt')} BETWEEN 1 AND 40"
 )
+
+
+# ----------------------------------------------------------------- decoding twins
+BIGRAM = f"""bg AS MATERIALIZED (
+  SELECT prev, token, cnt, ln(cnt / sum(cnt) OVER (PARTITION BY prev)) AS logp FROM (
+    SELECT s[i] AS prev, s[i + 1] AS token, count(*) AS cnt FROM (
+      SELECT s, unnest(range(1, len(s))) AS i FROM (
+        SELECT ['[SOS]'] || regexp_extract_all(tgt, '{PRETOK}') || ['[EOS]'] AS s FROM kept WHERE split = 'train'))
+    GROUP BY 1, 2)),
+ranked AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY prev ORDER BY cnt DESC, token) AS succ_rank FROM bg)"""
+SEEDS = f"""seeds AS (SELECT pair_id AS sent_id, ['[SOS]', regexp_extract_all(src, '{PRETOK}')[1]] AS tokens
+  FROM kept WHERE split = 'val')"""
+
+
+def banned_sql(s: str, n: int) -> str:
+    return (f"CASE WHEN {n} <= 0 OR len({s}) < {n} THEN []::VARCHAR[] ELSE list_distinct(list_transform("
+            f"list_filter(range(1, len({s}) - {n} + 2), lambda i: {s}[i:i + {n} - 2] = {s}[len({s}) - {n} + 2:len({s})]), "
+            f"lambda i: {s}[i + {n} - 1])) END")
+
+
+D0 = w(PAIRS, PREP, BIGRAM)
+ORACLE["score_table"] = D0 + f"SELECT prev, token, cnt, {rd('logp')} AS logp FROM bg"
+ORACLE["argmax_token"] = D0 + "SELECT prev, token FROM ranked WHERE succ_rank = 1"
+ORACLE["topk_candidates"] = D0 + "SELECT prev, token, cnt, CAST(succ_rank AS INTEGER) AS succ_rank FROM ranked WHERE succ_rank <= 8"
+GREEDY = """g AS (
+  SELECT sent_id, tokens, false AS done FROM seeds
+  UNION ALL
+  SELECT g.sent_id, list_append(g.tokens, b.token), b.token = '[EOS]' FROM g JOIN ranked b ON b.prev = g.tokens[-1] AND b.succ_rank = 1
+  WHERE NOT g.done AND len(g.tokens) < 160),
+greedy AS (SELECT sent_id, arg_max(tokens, len(tokens)) AS tokens FROM g GROUP BY sent_id)"""
+ORACLE["greedy_decode"] = "WITH RECURSIVE " + ",\n".join([PAIRS, PREP, BIGRAM, SEEDS, GREEDY]) + "\nSELECT sent_id, tokens FROM greedy"
+ORACLE["repeat_rate"] = "WITH RECURSIVE " + ",\n".join([PAIRS, PREP, BIGRAM, SEEDS, GREEDY]) + (
+    "\nSELECT " + rd("avg(CASE WHEN len(list_distinct(gr)) < len(gr) THEN 1.0 ELSE 0.0 END)") + " AS rate, "
+    "CAST(count(*) AS BIGINT) AS rows FROM (SELECT CASE WHEN len(tokens) >= 3 THEN list_transform(range(1, len(tokens) - 1), "
+    "lambda i: tokens[i:i + 2]) ELSE [] END AS gr FROM greedy)"
+)
+ORACLE["ngram_block"] = w(PAIRS, PREP) + (
+    f"SELECT pair_id, list_sort({banned_sql('s', 3)}) AS banned FROM "
+    f"(SELECT pair_id, ['[SOS]'] || regexp_extract_all(tgt, '{PRETOK}') AS s FROM kept)"
+)
+EXPAND = f"""cand AS MATERIALIZED (
+  SELECT s.sent_id, 0 AS beam, s.tokens, r.token, 0.0 + r.logp AS cs FROM seeds s
+  JOIN ranked r ON r.prev = s.tokens[-1] AND r.succ_rank <= 173 AND r.succ_rank <= 2 * 4 + len({banned_sql('s.tokens', 3)}) + 1
+  WHERE NOT (len(s.tokens) = 1 AND r.token = '[EOS]') AND NOT list_contains({banned_sql('s.tokens', 3)}, r.token)),
+sp AS MATERIALIZED (SELECT *, coalesce(sum(CASE WHEN NOT is_eos THEN 1 ELSE 0 END) OVER (PARTITION BY sent_id ORDER BY rk
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS alive_before FROM (
+  SELECT *, token = '[EOS]' AS is_eos FROM (
+    SELECT *, row_number() OVER (PARTITION BY sent_id ORDER BY cs DESC, beam, token) AS rk FROM cand) WHERE rk <= 8))"""
+D1 = w(PAIRS, PREP, BIGRAM, SEEDS, EXPAND)
+ORACLE["beam_expand"] = D1 + f"SELECT sent_id, beam, token, {rd('cs')} AS cs FROM cand"
+ORACLE["beam_split"] = D1 + (
+    f"SELECT sent_id, CAST(rk AS INTEGER) AS rk, token, is_eos, CAST(alive_before AS INTEGER) AS alive_before, {rd('cs')} AS cs "
+    "FROM sp WHERE alive_before < 4"
+)
+ORACLE["beam_step"] = D1 + (
+    f"SELECT sent_id, CAST(alive_before AS INTEGER) AS beam, list_append(tokens, token) AS tokens, {rd('cs')} AS score FROM ("
+    "SELECT *, sum(CASE WHEN is_eos THEN 1 ELSE 0 END) OVER (PARTITION BY sent_id) AS total_fin FROM sp WHERE alive_before < 4) "
+    "WHERE NOT is_eos AND total_fin < 4"
+)
+GRID = ("(VALUES (0, 1, 0, 0.6), (1, 1, 3, 0.6), (2, 2, 0, 0.6), (3, 2, 3, 0.6), (4, 4, 0, 0.6), (5, 4, 3, 0.6), "
+        "(6, 6, 0, 0.6), (7, 6, 3, 0.6), (8, 4, 3, 0.0), (9, 4, 3, 0.6), (10, 4, 3, 1.0)) AS g(cfg, k, ngram, alpha)")
+ORACLE["cross_param_grid"] = w(PAIRS, PREP) + (
+    "SELECT CAST(g.cfg AS INTEGER) AS cfg, k.pair_id AS sent_id, CAST(g.k AS INTEGER) AS k, CAST(g.ngram AS INTEGER) AS ngram, "
+    f"CAST(g.alpha AS DOUBLE) AS alpha FROM kept k, {GRID} WHERE k.split = 'val'"
+)
