@@ -34,4 +34,4 @@ def r6a(c):
 
 
 # import the query modules so they register themselves
-from bitext.plans import q_decode, q_eval, q_layout, q_prepare, q_tokenize, q_vectors  # noqa: E402,F401
+from bitext.plans import q_decode, q_eval, q_layout, q_misc, q_prepare, q_tokenize, q_vectors  # noqa: E402,F401

@@ -429,16 +429,16 @@ HEADS = """hq AS (SELECT seq_id, CAST(head AS INTEGER) AS head, pos, vec[head *
   FROM (SELECT seq_id, pos, vec, unnest(range(8)) AS head FROM vecs))"""
 
 
-def attn_ctes(mask: str, kv: str = "hq") -> list[str]:
+def attn_ctes(mask: str, kv: str = "hq", pre: str = "") -> list[str]:
     cond = {"none": "", "causal": " AND k.pos <= q.pos", "valid": " AND k.pos < vl.valid_len"}[mask]
     join_valid = " JOIN vl ON vl.seq_id = q.seq_id" if mask == "valid" else ""
     return [
-        f"sc AS (SELECT q.seq_id, q.head, q.pos AS row, k.pos AS column, {dot_sql('q.x', 'k.x')} / sqrt(8) AS score, "
+        f"{pre}sc AS (SELECT q.seq_id, q.head, q.pos AS row, k.pos AS column, {dot_sql('q.x', 'k.x')} / sqrt(8) AS score, "
         f"k.x AS v FROM hq q JOIN {kv} k ON k.seq_id = q.seq_id AND k.head = q.head{join_valid} WHERE true{cond})",
-        "ex AS (SELECT *, exp(score - max(score) OVER (PARTITION BY seq_id, head, row)) AS e FROM sc)",
-        "wt AS MATERIALIZED (SELECT seq_id, head, row, \"column\", v, e / sum(e) OVER (PARTITION BY seq_id, head, row) AS weight FROM ex)",
-        "ot AS (SELECT seq_id, head, row, list(s ORDER BY dim) AS out FROM (SELECT seq_id, head, row, dim, sum(weight * v[dim]) AS s "
-        "FROM (SELECT seq_id, head, row, weight, v, unnest(range(1, 9)) AS dim FROM wt) GROUP BY ALL) GROUP BY ALL)",
+        f"{pre}ex AS (SELECT *, exp(score - max(score) OVER (PARTITION BY seq_id, head, row)) AS e FROM {pre}sc)",
+        f"{pre}wt AS MATERIALIZED (SELECT seq_id, head, row, \"column\", v, e / sum(e) OVER (PARTITION BY seq_id, head, row) AS weight FROM {pre}ex)",
+        f"{pre}ot AS (SELECT seq_id, head, row, list(s ORDER BY dim) AS out FROM (SELECT seq_id, head, row, dim, sum(weight * v[dim]) AS s "
+        f"FROM (SELECT seq_id, head, row, weight, v, unnest(range(1, 9)) AS dim FROM {pre}wt) GROUP BY ALL) GROUP BY ALL)",
     ]
 
 
@@ -569,3 +569,83 @@ ORACLE["cross_param_grid"] = w(PAIRS, PREP) + (
     "SELECT CAST(g.cfg AS INTEGER) AS cfg, k.pair_id AS sent_id, CAST(g.k AS INTEGER) AS k, CAST(g.ngram AS INTEGER) AS ngram, "
     f"CAST(g.alpha AS DOUBLE) AS alpha FROM kept k, {GRID} WHERE k.split = 'val'"
 )
+
+
+# ----------------------------------------------------------------- metrics, stores, attention analysis, stream
+ORACLE["metric_log"] = w(METRICS) + "SELECT tag, step, value FROM metrics WHERE step % 50 = 0"
+ORACLE["epoch_loss"] = w(METRICS) + (
+    f"SELECT epoch, {rd('avg(value)')} AS loss, CAST(count(*) AS BIGINT) AS steps FROM metrics GROUP BY epoch"
+)
+ORACLE["running_loss"] = w(METRICS) + (
+    "SELECT step, epoch, CAST((s * 20000 + n) // (2 * n) AS BIGINT) / 1e6 AS running_loss FROM ("
+    "SELECT step, epoch, sum(CAST(round(value * 100) AS BIGINT)) OVER w AS s, count(*) OVER w AS n FROM metrics "
+    "WINDOW w AS (PARTITION BY epoch ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"
+)
+ORACLE["batch_loss_mean"] = w(LOGITS) + (
+    f"SELECT {rd('avg(bl)')} AS loss, CAST(count(*) AS BIGINT) AS batches FROM ("
+    "SELECT batch_id, avg(0.9 * (-lp[label + 1]) + 0.1 * (-list_sum(lp) / len(lp))) AS bl FROM ("
+    f"SELECT label, {log_softmax_sql('logits')} AS lp, (row_number() OVER (ORDER BY vec_id) - 1) // 64 AS batch_id FROM lg) "
+    "WHERE label <> 1 AND batch_id < 100 GROUP BY batch_id)"
+)
+ORACLE["corpus_stats"] = w(PAIRS, PREP) + (
+    f"SELECT split, CAST(count(*) AS BIGINT) AS pairs, CAST(sum({wc('src')}) AS BIGINT) AS src_words, "
+    f"CAST(sum({wc('tgt')}) AS BIGINT) AS tgt_words, CAST(max({wc('src')}) AS INTEGER) AS max_src_words, "
+    f"CAST(max({wc('tgt')}) AS INTEGER) AS max_tgt_words, {rd(f'avg({wc(chr(115) + chr(114) + chr(99))})')} AS avg_src_words "
+    "FROM kept GROUP BY split"
+)
+ORACLE["vocab_lookup"] = w(PAIRS, PREP, *bpe_ctes(TRAIN_SRC, M)) + (
+    "SELECT o.pair_id, CAST(o.pos AS INTEGER) AS pos, o.token, CAST(coalesce(v.id, 0) AS INTEGER) AS id, "
+    "coalesce(b.token, '<blank>') AS back FROM ("
+    f"SELECT pair_id, unnest(a) AS token, unnest(range(len(a))) AS pos FROM (SELECT pair_id, regexp_extract_all(src, '{PRETOK}') AS a FROM kept)) o "
+    "LEFT JOIN vocab v ON v.token = o.token LEFT JOIN vocab b ON b.id = coalesce(v.id, 0)"
+)
+ORACLE["vocab_store"] = w(PAIRS, PREP, *bpe_ctes(TRAIN_SRC, M)) + "SELECT token, id FROM vocab"
+ORACLE["snapshot_write"] = w(METRICS) + (
+    "SELECT 2 AS version, CAST(count(DISTINCT epoch) AS BIGINT) AS rows FROM metrics WHERE epoch <= 2"
+)
+ORACLE["snapshot_read"] = ORACLE["epoch_loss"]
+ATT = w(VECS, HEADS, SRCV, *attn_ctes("none", "hq", "e_"), *attn_ctes("causal", "hq", "d_"),
+        *attn_ctes("valid", "hk", "c_"),
+        "attn AS MATERIALIZED (SELECT seq_id, 'encoder' AS type, 0 AS layer, head, row, \"column\", weight AS value FROM e_wt "
+        "UNION ALL SELECT seq_id, 'decoder', 0, head, row, \"column\", weight FROM d_wt "
+        "UNION ALL SELECT seq_id, 'cross', 0, head, row, \"column\", weight FROM c_wt)",
+        "toks AS (SELECT v.seq_id, v.pos, 'v' || v.vec_id AS token FROM vecs v "
+        "JOIN (SELECT seq_id, max(pos) AS last FROM vecs GROUP BY seq_id) l ON l.seq_id = v.seq_id WHERE v.pos < l.last)")
+ORACLE["attn_long"] = ATT + (
+    f"SELECT a.seq_id, a.head, a.row, a.\"column\", {rd('a.value')} AS value, "
+    "printf('%03d %s', a.row, coalesce(r.token, '<blank>')) AS row_token, "
+    "printf('%03d %s', a.\"column\", coalesce(c.token, '<blank>')) AS col_token FROM attn a "
+    "LEFT JOIN toks r ON r.seq_id = a.seq_id AND r.pos = a.row LEFT JOIN toks c ON c.seq_id = a.seq_id AND c.pos = a.\"column\" "
+    "WHERE a.type = 'cross' AND a.row < 20 AND a.\"column\" < 20"
+)
+ORACLE["attn_select"] = ATT + (
+    f"SELECT seq_id, head, row, \"column\", {rd('value')} AS value FROM attn "
+    "WHERE type = 'decoder' AND layer IN (0) AND head IN (0, 1, 2)"
+)
+ORACLE["attn_entropy"] = ATT + (
+    f"SELECT type, CAST(layer AS INTEGER) AS layer, {rd('avg(h)')} AS entropy, CAST(count(*) AS BIGINT) AS heads FROM ("
+    "SELECT type, layer, head, avg(h) AS h FROM (SELECT seq_id, type, layer, head, row, "
+    "sum(CASE WHEN value > 0 THEN -value * ln(value) ELSE 0.0 END) AS h FROM attn GROUP BY ALL) GROUP BY ALL) GROUP BY ALL"
+)
+ORACLE["attn_sink"] = ATT + (
+    f"SELECT type, CAST(layer AS INTEGER) AS layer, head, {rd('avg(peak)')} AS mean_peak, "
+    f"{rd('avg(CASE WHEN peak_col = 0 THEN 1.0 ELSE 0.0 END)')} AS sink_share FROM ("
+    "SELECT seq_id, type, layer, head, row, max(value) AS peak, "
+    "arg_max(\"column\", value * 1e0) FILTER (WHERE true) AS peak_col0, "
+    "min(\"column\") FILTER (WHERE value = mx) AS peak_col FROM "
+    "(SELECT *, max(value) OVER (PARTITION BY seq_id, type, layer, head, row) AS mx FROM attn) GROUP BY ALL) GROUP BY ALL"
+)
+ORACLE["attn_align"] = ATT + (
+    "SELECT seq_id, head, row, CAST(min(\"column\") FILTER (WHERE value = mx) AS INTEGER) AS best_column FROM "
+    "(SELECT *, max(value) OVER (PARTITION BY seq_id, type, layer, head, row) AS mx FROM attn WHERE type = 'cross') "
+    "GROUP BY seq_id, head, row"
+)
+ORACLE["attn_valid"] = ATT + (
+    f"SELECT a.seq_id, a.head, a.row, a.\"column\", {rd('a.value')} AS value FROM attn a JOIN vl ON vl.seq_id = a.seq_id "
+    "WHERE a.type = 'encoder' AND a.\"column\" < vl.valid_len"
+)
+ORACLE["stream_prepare"] = w(PAIRS, NOISY) + (
+    f"SELECT pair_id, src, tgt FROM (SELECT pair_id, {strip('src')} AS src, "
+    f"{strip(f"regexp_replace(tgt, '{NOISE}', '', 'g')")} AS tgt FROM noisy) "
+    f"WHERE {wc('src')} BETWEEN 1 AND 40 AND {wc('tgt')} BETWEEN 1 AND 40"
+)
