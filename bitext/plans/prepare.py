@@ -15,9 +15,17 @@ from bitext.operators.sample import split_exact
 def prepare_flags(pairs: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """Every input row with flags ``sampled``, ``kept`` and its ``split`` (null when
     not kept).  No stage filters rows, so one aggregate can count them all."""
-    d = R.hash_first_n(pairs, "pair_id", p.seed, p.num_samples, flag="sampled")
+    from bitext.session import checkpoint_dir
+
+    checkpoint_dir(pairs.sparkSession)
+    # the input is read by several small cut jobs: write it once to the shared
+    # checkpoint folder instead of re-deriving it from raw text for each job
+    base = pairs.persist()
+    base = base.checkpoint()
+    d = R.hash_first_n(base, "pair_id", p.seed, p.num_samples, flag="sampled")
     d = clean_pairs(d)
     d = d.withColumn("kept", F.col("sampled") & word_count_flag("src", "tgt", p.max_words))
+    d = d.checkpoint()
     return split_exact(d, "pair_id", p.train_fraction, p.seed, among=F.col("kept"))
 
 
