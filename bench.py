@@ -38,7 +38,7 @@ def main():
     checkpoint_dir(spark)
     # warm the JVM once (class loading, codegen caches) on a tiny table
     spark.read.parquet(f"{sf}/region.parquet").write.format("noop").mode("overwrite").save()
-    times, rows = {}, {}
+    times = {}
     for name in names:
         q_prepare._PREP_CACHE.clear()
         q_tokenize._TOK_CACHE.clear()
@@ -59,7 +59,6 @@ def main():
         "prepare_pairs_per_sec": round(n_pairs / times["funnel"], 1) if "funnel" in times else None,
         "cpus": cpus,
     }
-    del rows
     print(json.dumps(out))
 
 
