@@ -204,6 +204,69 @@ def train_bpe(sentences: DataFrame, vocab_size: int = 16000, num_merges: int | N
     return Tokenizer(merges=merges, vocab=build_vocab(alpha, merges))
 
 
+def train_bpe_sides(sentences: DataFrame, num_merges: int | None = None, vocab_size: int = 16000,
+                    text_col: str = "text", side_col: str = "side", candidates: int = 256,
+                    checkpoint_every: int = 4) -> dict:
+    """Train one tokenizer per value of ``side_col`` in the SAME Spark rounds.
+
+    Word and pair counts are grouped by side as well, the candidate lists of all
+    sides come back in one bounded collect (sides x candidates rows), and each
+    side's exact merge batch is applied to its own words.  Equal, side by side,
+    to ``train_bpe`` on each side alone.
+    """
+    from pyspark.sql import Window
+
+    from bitext.session import checkpoint_dir
+
+    spark = sentences.sparkSession
+    checkpoint_dir(spark)
+    toks = sentences.select(F.col(side_col).alias("side"), F.explode(T.pretokenize(text_col)).alias("word"))
+    wf = toks.groupBy("side", "word").agg(F.count(F.lit(1)).alias("freq"))
+    ws = wf.select("side", "word", "freq", symbol_string("word").alias("s")).checkpoint()
+    al = ws.select("side", F.explode(initial_symbols("word")).alias("symbol")).distinct().collect()
+    sides = sorted({r["side"] for r in al})
+    alpha = {sd: sorted((r["symbol"] for r in al if r["side"] == sd), key=lambda x: x.encode("utf-8")) for sd in sides}
+    symbols = {sd: set(alpha[sd]) for sd in sides}
+    budget = {sd: num_merges if num_merges is not None else max(0, vocab_size - N_SPECIAL - len(alpha[sd]))
+              for sd in sides}
+    merges = {sd: [] for sd in sides}
+    rounds = 0
+    while True:
+        open_sides = [sd for sd in sides if len(merges[sd]) < budget[sd]]
+        if not open_sides:
+            break
+        lefts = F.regexp_extract_all(F.col("s"), F.lit(PAIR_LOOKAHEAD), 1)
+        rights = F.regexp_extract_all(F.col("s"), F.lit(PAIR_LOOKAHEAD), 2)
+        pr = ws.where(F.col("side").isin(open_sides)).select(
+            "side", "freq", F.explode(F.arrays_zip(lefts.alias("left_tok"), rights.alias("right_tok"))).alias("p"))
+        pf = pr.groupBy("side", F.col("p.left_tok").alias("left_tok"), F.col("p.right_tok").alias("right_tok")).agg(
+            F.sum("freq").cast("bigint").alias("freq"))
+        w = Window.partitionBy("side").orderBy(F.col("freq").desc(), F.col("left_tok"), F.col("right_tok"))
+        top = pf.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= candidates + 1).collect()
+        by_side = {sd: [] for sd in open_sides}
+        for r in sorted(top, key=lambda r: (r["side"], r["_r"])):
+            by_side[r["side"]].append((r["left_tok"], r["right_tok"], r["freq"]))
+        expr = F.col("s")
+        progressed = False
+        for sd in open_sides:
+            cands = by_side[sd]
+            if not cands:
+                budget[sd] = len(merges[sd])  # nothing left to merge on this side
+                continue
+            acc = _choose(cands, symbols[sd], budget[sd] - len(merges[sd]))
+            merges[sd].extend(acc)
+            symbols[sd].update(l + r for l, r in acc)
+            expr = F.when(F.col("side") == sd, apply_merges_col(F.col("s"), acc)).otherwise(expr)
+            progressed = True
+        if not progressed:
+            break
+        ws = ws.withColumn("s", expr)
+        rounds += 1
+        if rounds % checkpoint_every == 0:
+            ws = ws.checkpoint()
+    return {sd: Tokenizer(merges=merges[sd], vocab=build_vocab(alpha[sd], merges[sd])) for sd in sides}
+
+
 def build_vocab(alpha: list, merges: list) -> dict:
     """Specials 0..7, then the alphabet, then merged tokens by rank (first id wins)."""
     vocab: dict = {}

@@ -25,9 +25,14 @@ def train_sentences(spark, sf, side="src"):
 
 
 def tokenizer(spark, sf, side="src", num_merges=NUM_MERGES) -> B.Tokenizer:
+    """The tokenizer of one side; both sides are trained together in the same rounds."""
     key = (sf, side, num_merges)
     if key not in _TOK_CACHE:
-        _TOK_CACHE[key] = B.train_bpe(train_sentences(spark, sf, side), num_merges=num_merges)
+        ks = kept_split(spark, sf).where(F.col("split") == "train")
+        both = ks.select(F.lit("src").alias("side"), F.col("src").alias("text")).unionByName(
+            ks.select(F.lit("tgt").alias("side"), F.col("tgt").alias("text")))
+        for sd, tok in B.train_bpe_sides(both, num_merges=num_merges).items():
+            _TOK_CACHE[(sf, sd, num_merges)] = tok
     return _TOK_CACHE[key]
 
 

@@ -68,3 +68,13 @@ def test_encode_paths_agree_and_decode(spark):
     # every training word is covered by the alphabet: decoding gives the pre-tokens back
     for src, got in zip(t[:50], back[:50]):
         assert got.split() == PRETOK.findall(src)
+
+
+def test_sides_trained_together_equal_alone(spark):
+    df, t = texts(spark)
+    a = df.select(F.lit("a").alias("side"), F.col("text"))
+    b = df.select(F.lit("b").alias("side"), F.upper(F.col("text")).alias("text"))
+    both = B.train_bpe_sides(a.unionByName(b), num_merges=30)
+    assert both["a"].merges == py_train(t, 30)
+    assert both["b"].merges == py_train([x.upper() for x in t], 30)
+    assert both["b"].vocab == B.train_bpe(b.select("text"), num_merges=30).vocab
