@@ -10,14 +10,18 @@ A byte goes if a string of ``WINDOW`` bytes that covers it also starts earlier
    before the shuffle) and keeps the fragments of those that occur twice.
 2. Fragments with the same anchor and the same content are folded: all but the
    first of them repeat it wholly.  Copies of a passage, however many, leave one.
-3. What is left are anchors with different contexts.  Their fragments are dealt
-   by anchor and packed into shards of a bounded size.  A shard's suffix array is
-   built by Larsson-Sadakane refinement (prefix doubling that touches unsorted
-   groups only), Kasai's scan gives the common prefixes of neighbours, and runs
-   of at least ``WINDOW`` common bytes give each string's earliest place.  An
-   anchor with more fragments than a shard holds spans several shards, whose
-   sorted strings are merged by binary search.
-4. The spans go back to their documents.
+3. What is left are anchors with different contexts.  A string reaches at least
+   ``SIDE`` bytes to the left of its anchor or more than that to the right, so
+   equal strings share the anchor with ``SIDE`` bytes on one side: fragments are
+   cut in two and dealt by that longer piece, which short common lines don't fill.
+   Equal cuts are folded again as they stream by in order.
+4. Cuts that share a piece are packed into shards of a bounded size.  A shard's
+   suffix array is built by Larsson-Sadakane refinement (prefix doubling that
+   touches unsorted groups only), Kasai's scan gives the common prefixes of
+   neighbours, and runs of at least ``WINDOW`` common bytes give each string's
+   earliest place.  A piece with more cuts than a shard holds spans several
+   shards, whose sorted strings are merged by binary search.
+5. The spans go back to their documents.
 """
 
 from __future__ import annotations
@@ -27,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,8 +41,10 @@ WINDOW = 100
 GRAM = 24
 #: Starts of strings that are handled at once within a document.
 STRETCH = 1 << 17
+#: Bytes beside the anchor that equal strings share on one side or the other.
+SIDE = (WINDOW - GRAM) // 2
 #: Bytes of fragments that one suffix array covers.
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 19
 #: Ids of documents up to which a set of them is broadcast; beyond, a shuffle join.
 BROADCAST_IDS = 4_000_000
 NO_ID = 2**63 - 1  # stands for a null id: after all others
@@ -67,8 +74,8 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def anchors(data: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(anchor hash, fragment hash, first byte, last byte + 1) of the fragments of a document."""
+def anchors(data: bytes) -> Iterator[tuple[np.ndarray, ...]]:
+    """(anchor hash, fragment hash, first byte, last byte + 1, anchor's byte) of the fragments of a document."""
     global _HASH
     if _HASH is None:
         _HASH = _tables()
@@ -97,7 +104,7 @@ def anchors(data: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, n
         own = at[first]
         content = (sums[1][end] - sums[1][first]) * _HASH[1][2][first]
         content = _mix(content + _mix((end - first).astype(np.uint64) * np.uint64(1 << 20) + (own - first).astype(np.uint64)))
-        yield gram[own], content, first + lo, end + lo
+        yield gram[own], content, first + lo, end + lo, own + lo
 
 
 # ---- suffix arrays of a shard -----------------------------------------------
@@ -194,23 +201,19 @@ class Shard:
             for k in np.flatnonzero(gap & ~head):
                 head[k] = low[skipped[k - 1] + 1 : skipped[k] + 1].min() < WINDOW
             head[0] = True
-        self.group = np.cumsum(head) - 1
-        self.places = places
+        self.group = (np.cumsum(head) - 1).astype(np.int32)
         owner = np.repeat(np.arange(len(parts)), size)[places]
         self.doc, self.start = docs[owner], los[owner] + places - first[owner]
-        n = int(self.group[-1]) + 1 if len(places) else 0
         by = np.lexsort((self.start, self.doc, self.group))
         lead = by[np.concatenate([[True], np.diff(self.group[by]) != 0])] if len(by) else by
         self.least_doc, self.least_start = self.doc[lead], self.start[lead]
-        self.sample = places[lead]
-        assert len(lead) == n
+        self.sample = places[lead].astype(np.int32)
 
     def strings(self) -> np.ndarray:
         """The distinct strings in order, as rows of big-endian words that compare like them."""
-        rows = self.text[self.sample[:, None] + np.arange(WINDOW)[None, :]]
-        pad = -WINDOW % 8
-        rows = np.pad(rows, ((0, 0), (0, pad)))
-        return np.ascontiguousarray(rows).view(">u8").astype(np.uint64)
+        rows = np.zeros((len(self.sample), -(-WINDOW // 8) * 8), np.uint8)
+        rows[:, :WINDOW] = np.lib.stride_tricks.sliding_window_view(self.text, WINDOW)[self.sample]
+        return rows.view(">u8").astype(np.uint64)
 
     def repeats(self) -> tuple[np.ndarray, np.ndarray]:
         """(doc, start) of every string here that also starts earlier."""
@@ -242,11 +245,11 @@ def find_rows(table: np.ndarray, rows: np.ndarray) -> np.ndarray:
 
 def merge(shards: list[Shard]) -> None:
     """Give equal strings of different shards their common earliest place."""
-    tables = [s.strings() for s in shards]
     for a in range(len(shards)):
+        table = shards[a].strings()  # two shards' strings at a time
         for b in range(a + 1, len(shards)):
             x, y = shards[a], shards[b]
-            at = find_rows(tables[a], tables[b])
+            at = find_rows(table, y.strings())
             mine = np.flatnonzero(at >= 0)
             at = at[mine]
             earlier = (y.least_doc[mine] < x.least_doc[at]) | ((y.least_doc[mine] == x.least_doc[at]) & (y.least_start[mine] < x.least_start[at]))
@@ -267,37 +270,60 @@ def _runs(doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return doc[head], start[head], start[last] + WINDOW
 
 
+def _solve(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, part, doc, lo) of whole keys -> spans of the strings that start earlier elsewhere."""
+    shards, at = [], 0
+    while at < len(rows):
+        end, held = at, 0
+        while end < len(rows) and held < SHARD_BYTES:
+            held += len(rows[end][1])
+            end += 1
+        part = rows[at:end]
+        shards.append(Shard(np.array([r[2] for r in part]), np.array([r[3] for r in part]), [r[1] for r in part]))
+        at = end
+    if len(shards) > 1:
+        merge(shards)
+    found = [s.repeats() for s in shards]
+    return _runs(np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]))
+
+
 def _shard_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (anchor, doc, lo, part) sorted by anchor -> spans of strings that start earlier elsewhere."""
+    """Rows (key, part, doc, lo) in that order -> spans of strings that start earlier elsewhere.
+
+    A row equal to the one before it in key and part repeats it wholly; of the
+    others, keys with a single one have nothing to repeat.
+    """
     schema = pa.schema([("doc", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64())])
 
-    def solve(rows: list[tuple]) -> pa.RecordBatch:
-        shards, at = [], 0
-        while at < len(rows):
-            end, held = at, 0
-            while end < len(rows) and held < SHARD_BYTES:
-                held += len(rows[end][3])
-                end += 1
-            shards.append(Shard(np.array([r[1] for r in rows[at:end]]), np.array([r[2] for r in rows[at:end]]), [r[3] for r in rows[at:end]]))
-            at = end
-        if len(shards) > 1:
-            merge(shards)
-        found = [s.repeats() for s in shards]
-        doc, lo, hi = _runs(np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]))
+    def table(doc, lo, hi) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(lo, pa.int64()), pa.array(hi, pa.int64())], schema=schema)
 
-    rows: list[tuple] = []
+    ready: list[tuple] = []  # rows of keys with several parts
     size = 0
+    key: list[tuple] = []  # rows of the key at hand
     for batch in batches:
+        copies: tuple[list, list, list] = ([], [], [])
         for row in zip(*[c.to_pylist() for c in batch.columns]):
-            # a shard's worth is closed where an anchor ends
-            if size >= SHARD_BYTES and row[0] != rows[-1][0]:
-                yield solve(rows)
-                rows, size = [], 0
-            rows.append(row)
-            size += len(row[3])
-    if rows:
-        yield solve(rows)
+            if key and row[0] == key[-1][0] and row[1] == key[-1][1]:
+                if row[2:] != key[-1][2:]:  # the very same place is no copy
+                    for to, x in zip(copies, (row[2], row[3], row[3] + len(row[1]))):
+                        to.append(x)
+                continue
+            if key and row[0] != key[-1][0]:
+                if len(key) > 1:
+                    ready += key
+                    size += sum(len(r[1]) for r in key)
+                key = []
+                if size >= SHARD_BYTES:
+                    yield table(*_solve(ready))
+                    ready, size = [], 0
+            key.append(row)
+        if copies[0]:
+            yield table(*copies)
+    if len(key) > 1:
+        ready += key
+    if ready:
+        yield table(*_solve(ready))
 
 
 # ---- Spark ------------------------------------------------------------------
@@ -308,45 +334,63 @@ def _bytes_of(batch: pa.RecordBatch) -> list[bytes]:
 
 
 def _fragments(rows: DataFrame) -> DataFrame:
-    """(anchor, content, doc, lo, size) of every fragment of every document."""
+    """(anchor, content, doc, lo, shape) of every fragment of every document; ``shape``
+    holds the fragment's size and, in its low byte, the anchor's place within."""
 
     def make():
         def run(batch: pa.RecordBatch) -> dict:
             found: list[list[np.ndarray]] = [[], [], [], [], []]
             for doc, data in zip(batch["doc"].to_pylist(), _bytes_of(batch)):
-                for a, c, lo, hi in anchors(data):
-                    for to, x in zip(found, (a.view(np.int64), c.view(np.int64), np.full(len(a), doc), lo, hi - lo)):
+                for a, c, lo, hi, own in anchors(data):
+                    shape = (hi - lo) << 8 | (own - lo)
+                    for to, x in zip(found, (a.view(np.int64), c.view(np.int64), np.full(len(a), doc), lo, shape)):
                         to.append(x)
             cols = [np.concatenate(x) if x else np.empty(0, np.int64) for x in found]
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32())
-            return {n: pa.array(x, k) for n, x, k in zip(("anchor", "content", "doc", "lo", "size"), cols, kinds)}
+            return {n: pa.array(x, k) for n, x, k in zip(("anchor", "content", "doc", "lo", "shape"), cols, kinds)}
 
         return run
 
-    return map_slices(rows, make, "anchor long, content long, doc long, lo long, size int", 256)
+    return map_slices(rows, make, "anchor long, content long, doc long, lo long, shape int", 256)
+
+
+def cuts(part: bytes, own: int) -> Iterator[tuple[int, int, bytes]]:
+    """(key, first byte, bytes) of a fragment's cuts: strings that reach at least
+    ``SIDE`` bytes to the left of the anchor at ``own``, and the others."""
+    last = len(part) - WINDOW  # the last string's start
+    left = own - SIDE
+    if left >= 0:
+        piece = part[left : own + GRAM]
+        yield xxhash.xxh64_intdigest(piece, seed=1), 0, part[: min(left, last) + WINDOW]
+    right = max(0, left + 1)
+    if right <= last:
+        piece = part[own : own + WINDOW - SIDE + 1]
+        yield xxhash.xxh64_intdigest(piece, seed=2), right, part[right:]
 
 
 def _parts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(anchor, doc, lo, part): the bytes of wanted fragments, cut from their documents."""
+    """(key, part, doc, lo): the cuts of wanted fragments, taken from their documents."""
 
     def make():
         def run(batch: pa.RecordBatch) -> dict:
-            out: dict[str, list] = {"anchor": [], "doc": [], "lo": [], "part": []}
+            out: dict[str, list] = {"key": [], "part": [], "doc": [], "lo": []}
             for doc, data, want in zip(batch["doc"].to_pylist(), _bytes_of(batch), batch["want"].to_pylist()):
                 for w in want:
-                    out["anchor"].append(w["anchor"])
-                    out["doc"].append(doc)
-                    out["lo"].append(w["lo"])
-                    out["part"].append(data[w["lo"] : w["lo"] + w["size"]])
+                    part = data[w["lo"] : w["lo"] + (w["shape"] >> 8)]
+                    for key, at, cut in cuts(part, w["shape"] & 255):
+                        out["key"].append(key - (1 << 63))
+                        out["part"].append(cut)
+                        out["doc"].append(doc)
+                        out["lo"].append(w["lo"] + at)
             return out
 
         return run
 
-    by_doc = wanted.groupBy("doc").agg(F.collect_list(F.struct("anchor", "lo", "size")).alias("want"))
+    by_doc = wanted.groupBy("doc").agg(F.collect_set(F.struct("lo", "shape")).alias("want"))
     ids = _bounded(by_doc.select("doc"))
     # a repeated row has the same bytes: one is enough
     some = (rows.join(ids, "doc", "left_semi") if ids is not None else rows).dropDuplicates(["doc"])
-    return map_slices(some.join(by_doc, "doc").select("doc", "text", "want"), make, "anchor long, doc long, lo long, part binary", 64)
+    return map_slices(some.join(by_doc, "doc").select("doc", "text", "want"), make, "key long, part binary, doc long, lo long", 64)
 
 
 def _bounded(ids: DataFrame) -> DataFrame | None:
@@ -369,7 +413,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     some = kept(spark, every.join(twice, "anchor"), "fragments")
     classes = kept(
         spark,
-        some.groupBy("anchor", "content").agg(F.min(F.struct("doc", "lo", "size")).alias("first"), F.count("*").alias("n")),
+        some.groupBy("anchor", "content").agg(F.min(F.struct("doc", "lo", "shape")).alias("first"), F.count("*").alias("n")),
         "fragment-classes",
     )
     # copies of a fragment beyond the first
@@ -377,13 +421,13 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     copies = (
         some.join(again, ["anchor", "content"])
         .where((F.col("doc") != F.col("doc0")) | (F.col("lo") != F.col("lo0")))
-        .select("doc", "lo", (F.col("lo") + F.col("size")).alias("hi"))
+        .select("doc", "lo", (F.col("lo") + F.shiftright("shape", 8)).alias("hi"))
     )
     # anchors whose fragments differ
     mixed = classes.groupBy("anchor").agg(F.count("*").alias("k")).where("k > 1").select("anchor")
     wanted = kept(spark, classes.join(mixed, "anchor").select("anchor", "first.*"), "fragment-wanted")
     parts = _parts(rows, wanted)
-    dealt = parts.repartition("anchor").sortWithinPartitions("anchor")
+    dealt = parts.repartition("key").sortWithinPartitions("key", "part", "doc", "lo")
     return copies.unionAll(dealt.mapInArrow(_shard_spans, "doc long, lo long, hi long"))
 
 

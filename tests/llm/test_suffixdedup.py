@@ -59,15 +59,14 @@ def test_shuffled_sets_give_the_same(spark, monkeypatch):
 
 def spans_of(rows, limit, monkeypatch):
     monkeypatch.setattr(X, "SHARD_BYTES", limit)
-    batch = pa.RecordBatch.from_pydict({n: [r[k] for r in rows] for k, n in enumerate(("anchor", "doc", "lo", "part"))})
+    batch = pa.RecordBatch.from_pydict({n: [r[k] for r in rows] for k, n in enumerate(("key", "part", "doc", "lo"))})
     return [s for out in X._shard_spans(iter([batch])) for s in zip(*[c.to_pylist() for c in out.columns])]
 
 
 def test_shards_of_one_anchor_are_merged(monkeypatch):
-    """All fragments under one anchor, in shards of any size: the same spans."""
+    """All cuts under one key, in shards of any size: the same spans."""
     docs = [t.encode() for t in texts(9, 40)]
-    rows = [(1, i, p, d[p : p + 180]) for i, d in enumerate(docs) for p in range(0, max(len(d) - 99, 0), 60)]
-    random.Random(2).shuffle(rows)
+    rows = sorted((1, d[p : p + 180], i, p) for i, d in enumerate(docs) for p in range(0, max(len(d) - 99, 0), 60))
     def cover(spans):
         return {(d, b) for d, lo, hi in spans for b in range(lo, hi)}
     whole = cover(spans_of(rows, 1 << 30, monkeypatch))
@@ -121,3 +120,20 @@ def test_null_ids_come_last_and_repeated_rows_are_one(spark):
     rows = [(None, line), (3, line), (3, line), (9, line)]
     got = sorted((r["doc_id"] or 0, r["n_removed"]) for r in X.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect())
     assert got == [(0, len(line)), (3, 0), (3, 0), (9, len(line))]
+
+
+def test_cuts_hold_every_string_once_and_share_its_key():
+    rng = random.Random(3)
+    data = bytes(rng.choice(b"abc") for _ in range(2000))
+    for _, _, lo, hi, own in X.anchors(data):
+        for a, b, o in zip(lo.tolist(), hi.tolist(), own.tolist()):
+            part = data[a:b]
+            starts = []
+            for key, at, cut in X.cuts(part, o - a):
+                assert part[at : at + len(cut)] == cut
+                starts += range(at, at + len(cut) - X.WINDOW + 1)
+                # a string's key depends on its own bytes only
+                for s in range(len(cut) - X.WINDOW + 1):
+                    own_key = [k for k, _, c in X.cuts(cut[s : s + X.WINDOW], o - a - at - s)]
+                    assert own_key == [key]
+            assert starts == list(range(b - a - X.WINDOW + 1))
