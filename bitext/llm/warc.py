@@ -25,13 +25,13 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bitext.llm.common import map_slices, pick
 
 MIN_REVISIT_BYTES = 1000
-#: Payload bytes that an archive file holds on average.
+#: Payload bytes that an archive file holds on average, at most.
 ARCHIVE_BYTES = 24 << 20
 _GZIP = b"\x1f\x8b\x08"
 _END = b"\r\n\r\n"
@@ -221,28 +221,17 @@ def _next_start(data: bytes, at: int) -> int:
 # ---- Spark ------------------------------------------------------------------
 
 
-def with_revisits(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
-    """(page_id, url, html, payload_bytes, sha1, refers_to) for every page.
+def revisits(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
+    """(page_id, held array<struct<sha1, holder>>) of pages whose payload another page holds.
 
-    Only payloads held by several pages are joined back, so a page's html moves
-    once; a payload that very many pages share is one row on the other side of
-    a join that Spark splits when it is skewed.
+    Works on ids and digests only.  A payload that very many pages share is one
+    row on one side of a join that Spark splits when it is skewed.
     """
-    rows = pages.select(
-        "page_id", "url", F.coalesce("html", F.lit("")).alias("html")
-    ).withColumn("payload_bytes", F.octet_length("html").cast("long")).withColumn("sha1", F.sha1(F.col("html").cast("binary")))
-    # a payload that only one page holds needs no entry
-    shared = (
-        rows.where(F.col("payload_bytes") >= min_bytes)
-        .groupBy("sha1", "payload_bytes")
-        .agg(F.max("page_id").alias("holder"), F.count("*").alias("n"))
-        .where("n > 1")
-        .select("sha1", "payload_bytes", "holder")
-    )
-    return rows.join(shared, ["sha1", "payload_bytes"], "left").select(
-        "page_id", "url", "html", "payload_bytes", "sha1",
-        F.when(F.col("page_id") != F.col("holder"), F.col("holder")).alias("refers_to"),
-    )
+    rows = pages.select("page_id", F.octet_length("html").alias("size"), F.sha1(F.col("html").cast("binary")).alias("sha1"))
+    rows = rows.where(F.col("size") >= min_bytes).select("page_id", "sha1")
+    shared = rows.groupBy("sha1").agg(F.max("page_id").alias("holder"), F.count("*").alias("n")).where("n > 1").drop("n")
+    others = rows.join(shared, "sha1").where("page_id <> holder")
+    return others.groupBy("page_id").agg(F.collect_set(F.struct("sha1", "holder")).alias("held"))
 
 
 def write_archives(
@@ -260,21 +249,28 @@ def write_archives(
     id, which no revisit names; rows that repeat the holder's id are responses
     too; an empty table writes no record.
     """
-    rows = pick(pages, page_id=id_col, url=url_col, html=html_col)
+    spark = pages.sparkSession
+    rows = pick(pages, page_id=id_col, url=url_col, html=html_col).withColumn("html", F.coalesce("html", F.lit("")))
     total = rows.agg(F.sum(F.octet_length("html"))).first()[0] or 0
-    marked = with_revisits(rows, min_bytes)
+    # archives of a bounded size, dealt by id: the join needs no other shuffle of the
+    # pages (at fewer partitions than its own, Spark would deal them again)
+    archives = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // archive_bytes))
+    dealt = rows.repartition(archives, "page_id")
+    marked = dealt.join(revisits(rows, min_bytes).repartition(archives, "page_id"), "page_id", "left")
 
     def make():
         def run(batch: pa.RecordBatch) -> dict:
-            cols = [batch[c].to_pylist() for c in ("page_id", "url", "html", "sha1", "refers_to")]
-            made = (gzip_member(build_record(i, u, h.encode(), d, r)) for i, u, h, d, r in zip(*cols))
-            return {"member": [m[:-1] for m in made]}
+            members = []
+            for page_id, url, html, held in zip(*[batch[c].to_pylist() for c in ("page_id", "url", "html", "held")]):
+                body = html.encode()
+                digest = hashlib.sha1(body).hexdigest()
+                holder = next((x["holder"] for x in held or () if x["sha1"] == digest), None)
+                members.append(gzip_member(build_record(page_id, url, body, digest, holder))[:-1])
+            return {"member": members}
 
         return run
 
-    # archives of a bounded size: dealt by id, so that no file holds a whole host
-    dealt = marked.repartition(max(1, -(-total // archive_bytes)), "page_id")
-    members = map_slices(dealt, make, "member binary", 64)
+    members = map_slices(marked.select("page_id", "url", "html", "held"), make, "member binary", 64)
     members.select(F.col("member").cast("string").alias("value")).write.option("lineSep", "\0").text(path)
 
 
