@@ -1,6 +1,6 @@
 """Headline queries at ``$BENCH_SF_DIR`` (default sf0.1) on ``local[$BENCH_CPUS]``.
 
-Each query runs cold (driver-side caches of cut values and tokenizers cleared)
+Each query runs cold (trained tokenizers that a session remembers are dropped)
 and is executed with the ``noop`` sink, so the whole plan runs and nothing is
 collected.  Prints one JSON line.
 """
@@ -15,15 +15,15 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = [
-    "funnel",            # sample -> clean -> word filter -> exact split, one pass of counts
+    "funnel",            # sample -> clean -> word filter -> exact split -> token filter
     "bpe_train",         # word counts + merge rounds on word types
     "filter_token_length",  # two tokenizers + encode both sides + token filter
     "model_rows",        # full layout of every kept pair
     "corpus_bleu",       # n-gram match counts + corpus BLEU
-    "attention_causal",  # multi-head causal attention over the embeddings
+    "attention_causal",  # multi-head causal attention over the embeddings, heads merged
     "greedy_decode",     # pointer-doubling greedy decode of the validation split
     "beam_decode",       # beam search (k=4, 3-gram block) of the validation split
-    "stream_prepare",    # two-drop availableNow streaming preparation
+    "stream_prepare",    # two-drop availableNow streaming preparation with layout
 ]
 
 
@@ -31,7 +31,7 @@ def main():
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or HEADLINE
-    from bitext.plans import catalog, q_prepare, q_tokenize
+    from bitext.plans import catalog, q_tokenize
     from bitext.session import checkpoint_dir, local_session
 
     spark = local_session(cpus, shuffle_partitions=int(cpus) * 2, app="bitext-bench")
@@ -40,8 +40,7 @@ def main():
     spark.read.parquet(f"{sf}/region.parquet").write.format("noop").mode("overwrite").save()
     times = {}
     for name in names:
-        q_prepare._PREP_CACHE.clear()
-        q_tokenize._TOK_CACHE.clear()
+        q_tokenize._TRAINED.clear()
         t0 = time.time()
         df = catalog.QUERIES[name](spark, sf)
         df.write.format("noop").mode("overwrite").save()

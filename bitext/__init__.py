@@ -12,6 +12,3 @@ built on the public PySpark API.  Sub-packages:
 * ``streaming`` – resumable Structured Streaming preparation job
 """
 
-from bitext.config import Params
-
-__all__ = ["Params"]

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from bitext.config import EOS_ID, PAD_ID, SOS_ID
 
+SEQ_LEN = 160  # fixed value: positions of a model row
+
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c

@@ -3,7 +3,9 @@ cleaning, detokenizer and the "13a" BLEU tokenizer.
 
 All are regex built-ins (``regexp_replace`` / ``regexp_extract_all``) so they run
 inside whole-stage codegen; none needs a Python UDF.  Java's ``\\s``/``\\w`` are
-ASCII-only, so the patterns spell out Unicode classes explicitly.
+ASCII-only, so the patterns spell out Unicode classes explicitly.  Two notions of
+white space are needed: text is stripped and split like Python strings (which also
+count U+001C to U+001F), the pre-tokenizer uses the Unicode property.
 """
 
 from __future__ import annotations
@@ -13,13 +15,21 @@ from pyspark.sql import functions as F
 
 # ---------------------------------------------------------------------------
 # Text patterns (Java regex syntax).
-WS_STRIP = r"^[\s\p{Z}]+|[\s\p{Z}]+$"
-WORD = r"[^\s\p{Z}]+"
-PRETOK = r"[\p{L}\p{N}\p{M}_]+|[^\p{L}\p{N}\p{M}_\s]+"
+SPACE = r"\u0009-\u000D\u001C-\u0020\u0085\p{Z}"  # inside a class: str.isspace()
+WHITE_SPACE = r"\u0009-\u000D\u0020\u0085\p{Z}"  # the Unicode property White_Space
+# Unicode word characters: letters, marks, decimal and letter digits, connectors, joiners
+# and the enclosed letters, which count as alphabetic
+WORD_CHARS = (
+    r"\p{L}\p{M}\p{Nd}\p{Nl}\p{Pc}\u200C\u200D\u24B6-\u24E9"
+    r"\x{1F130}-\x{1F149}\x{1F150}-\x{1F169}\x{1F170}-\x{1F189}"
+)
+WS_STRIP = rf"^[{SPACE}]+|[{SPACE}]+$"
+WORD = rf"[^{SPACE}]+"
+PRETOK = rf"[{WORD_CHARS}]+|[^{WORD_CHARS}{WHITE_SPACE}]+"
 NOISE = r"[\u0640\u064B-\u0652]"  # tatweel and Arabic diacritics (Java regex escapes)
 # detokenizer: no space before closing punctuation, none after opening brackets
-DETOK_BEFORE = r"\s+([،,.؟?!:;)\]»])"
-DETOK_AFTER = r"([(\[«])\s+"
+DETOK_BEFORE = rf"[{SPACE}]+([،,.؟?!:;)\]»])"
+DETOK_AFTER = rf"([(\[«])[{SPACE}]+"
 # "13a" BLEU tokenizer steps (public definition), applied to ' ' + text + ' '
 BLEU_13A_STEPS = (
     (r"([\{-\~\[-\` -\&\(-\+\:-\@\/])", " $1 "),

@@ -7,6 +7,12 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed values.
+LEARNING_RATE = 3e-4
+WARMUP_STEPS = 4000
+LABEL_SMOOTHING = 0.1
+LENGTH_PENALTY = 0.6
+
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -112,16 +118,16 @@ def positional(pos, d: int) -> Column:
     )
 
 
-def lr_schedule(step, lr: float = 3e-4, warmup: int = 4000) -> Column:
+def lr_schedule(step, lr: float = LEARNING_RATE, warmup: int = WARMUP_STEPS) -> Column:
     s1 = _c(step).cast("double") + 1
     return F.lit(lr) * F.least(s1 / F.lit(float(warmup)), F.sqrt(F.lit(float(warmup)) / s1))
 
 
-def length_penalty(length, alpha: float = 0.6) -> Column:
+def length_penalty(length, alpha: float = LENGTH_PENALTY) -> Column:
     return F.pow((F.lit(5.0) + _c(length).cast("double")) / F.lit(6.0), F.lit(float(alpha)))
 
 
-def smoothed_ce_row(logp, label, eps: float = 0.1) -> Column:
+def smoothed_ce_row(logp, label, eps: float = LABEL_SMOOTHING) -> Column:
     """Label-smoothed cross-entropy of one row of log-probabilities."""
     def body(lp):
         nll = -F.element_at(lp, _c(label) + 1)

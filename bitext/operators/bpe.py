@@ -8,25 +8,27 @@ split at whitespace).
 
 Training works on DISTINCT words only: the corpus-sized work is one
 ``groupBy(word).count()`` (partial aggregation pre-combines hot words map-side).
-Each round counts adjacent pairs over word types, picks merges on the driver from
-a bounded top list, and rewrites the word table with built-in ``replace``.
+The counts of adjacent pairs are kept between rounds: a round picks merges on the
+driver from a bounded top list, and only words that hold a merged pair give up the
+counts of their old pairs and add those of their new ones.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 
 from bitext.config import END_OF_WORD, SPECIAL_TOKENS, UNK_ID
 from bitext.functions import text as T
+from bitext.session import written
 
 N_SPECIAL = len(SPECIAL_TOKENS)
-INLINE_MERGES = 64  # up to this many merges are applied as nested built-in replace()
-INLINE_VOCAB = 64  # map literals are scanned linearly per lookup: inline only tiny vocabularies
+_CACHE_WORDS = 200_000  # encoded words that a task remembers
 
 
 # ----------------------------------------------------------------- word tables
@@ -154,75 +156,43 @@ def _choose(cands: list, symbols: set, budget: int) -> list:
     return accepted[:budget]
 
 
-def train_bpe(sentences: DataFrame, vocab_size: int = 16000, num_merges: int | None = None,
-              text_col: str = "text", mode: str = "exact", candidates: int = 256,
-              checkpoint_every: int = 8) -> Tokenizer:
-    """Train merges on a sentence table.
+def _pairs(s: str) -> Column:
+    """Adjacent symbol pairs of a symbol string, in order."""
+    lefts = F.regexp_extract_all(F.col(s), F.lit(PAIR_LOOKAHEAD), 1)
+    rights = F.regexp_extract_all(F.col(s), F.lit(PAIR_LOOKAHEAD), 2)
+    return F.arrays_zip(lefts.alias("left_tok"), rights.alias("right_tok"))
 
-    ``num_merges`` caps the merges directly; otherwise ``vocab_size`` bounds
-    specials + alphabet + merges.  ``mode='exact'`` batches merges only when the
-    result equals one-merge-at-a-time; ``mode='approx'`` takes every
-    non-conflicting pair of a round (named as such, not equal to the reference).
-    """
-    from bitext.session import checkpoint_dir
-
-    spark = sentences.sparkSession
-    checkpoint_dir(spark)
-    wf = word_freq(sentences, text_col)
-    ws = word_symbols(wf).checkpoint()  # distinct words: the state of the rounds
-    alpha = [r["symbol"] for r in alphabet(ws.select("word", "freq")).select("symbol").collect()]
-    alpha.sort(key=lambda s: s.encode("utf-8"))
-    symbols = set(alpha)
-    budget = num_merges if num_merges is not None else max(0, vocab_size - N_SPECIAL - len(alpha))
-    merges: list = []
-    rounds = 0
-    while len(merges) < budget:
-        top = (
-            pair_freq(ws)
-            .orderBy(F.col("freq").desc(), F.col("left_tok"), F.col("right_tok"))
-            .limit(candidates + 1)
-            .collect()
-        )
-        if not top:
-            break
-        cands = [(r["left_tok"], r["right_tok"], r["freq"]) for r in top]
-        if mode == "approx":
-            acc, used = [], set()
-            for l, r, _ in cands:
-                if l != r and l not in used and r not in used and (l + r) not in symbols:
-                    acc.append((l, r))
-                    used.update((l, r))
-            acc = acc[: budget - len(merges)] or [(cands[0][0], cands[0][1])]
-        else:
-            acc = _choose(cands, symbols, budget - len(merges))
-        merges.extend(acc)
-        symbols.update(l + r for l, r in acc)
-        ws = ws.withColumn("s", apply_merges_col(F.col("s"), acc))
-        rounds += 1
-        if rounds % checkpoint_every == 0:
-            ws = ws.checkpoint()
-    return Tokenizer(merges=merges, vocab=build_vocab(alpha, merges))
+
+def _sum_pairs(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("side", "left_tok", "right_tok").agg(F.sum("freq").cast("bigint").alias("freq"))
+
+
+def _side_pairs(ws: DataFrame, s: str, sign: int = 1) -> DataFrame:
+    d = ws.select("side", (F.col("freq") * sign).alias("freq"), F.explode(_pairs(s)).alias("p"))
+    return d.select("side", "p.left_tok", "p.right_tok", "freq")
+
+
+def train_bpe(sentences: DataFrame, vocab_size: int = 16000, num_merges: int | None = None,
+              text_col: str = "text", candidates: int = 256) -> Tokenizer:
+    """Train merges on a sentence table; see ``train_bpe_sides``."""
+    one = sentences.select(F.lit("").alias("side"), F.col(text_col).alias("text"))
+    return train_bpe_sides(one, num_merges, vocab_size, candidates=candidates).get("", Tokenizer(vocab=build_vocab([], [])))
 
 
 def train_bpe_sides(sentences: DataFrame, num_merges: int | None = None, vocab_size: int = 16000,
                     text_col: str = "text", side_col: str = "side", candidates: int = 256,
-                    checkpoint_every: int = 4) -> dict:
-    """Train one tokenizer per value of ``side_col`` in the SAME Spark rounds.
+                    rewrite_every: int = 8) -> dict:
+    """Train one tokenizer per value of ``side_col`` in the same Spark rounds.
 
-    Word and pair counts are grouped by side as well, the candidate lists of all
-    sides come back in one bounded collect (sides x candidates rows), and each
-    side's exact merge batch is applied to its own words.  Equal, side by side,
-    to ``train_bpe`` on each side alone.
+    ``num_merges`` caps the merges directly; otherwise ``vocab_size`` bounds
+    specials + alphabet + merges.  A round takes several merges only where the
+    result equals one merge at a time (``_choose``).  The candidate lists of all
+    sides come back in one bounded collect (sides x candidates rows).  Pair counts
+    are written to the shared folder each round, words every ``rewrite_every``.
     """
-    from pyspark.sql import Window
-
-    from bitext.session import checkpoint_dir
-
-    spark = sentences.sparkSession
-    checkpoint_dir(spark)
     toks = sentences.select(F.col(side_col).alias("side"), F.explode(T.pretokenize(text_col)).alias("word"))
     wf = toks.groupBy("side", "word").agg(F.count(F.lit(1)).alias("freq"))
-    ws = wf.select("side", "word", "freq", symbol_string("word").alias("s")).checkpoint()
+    ws = written(wf.select("side", "word", "freq", symbol_string("word").alias("s")), "bpe-words")
     al = ws.select("side", F.explode(initial_symbols("word")).alias("symbol")).distinct().collect()
     sides = sorted({r["side"] for r in al})
     alpha = {sd: sorted((r["symbol"] for r in al if r["side"] == sd), key=lambda x: x.encode("utf-8")) for sd in sides}
@@ -230,43 +200,49 @@ def train_bpe_sides(sentences: DataFrame, num_merges: int | None = None, vocab_s
     budget = {sd: num_merges if num_merges is not None else max(0, vocab_size - N_SPECIAL - len(alpha[sd]))
               for sd in sides}
     merges = {sd: [] for sd in sides}
+    counts = None
     rounds = 0
-    while True:
-        open_sides = [sd for sd in sides if len(merges[sd]) < budget[sd]]
-        if not open_sides:
-            break
-        lefts = F.regexp_extract_all(F.col("s"), F.lit(PAIR_LOOKAHEAD), 1)
-        rights = F.regexp_extract_all(F.col("s"), F.lit(PAIR_LOOKAHEAD), 2)
-        pr = ws.where(F.col("side").isin(open_sides)).select(
-            "side", "freq", F.explode(F.arrays_zip(lefts.alias("left_tok"), rights.alias("right_tok"))).alias("p"))
-        pf = pr.groupBy("side", F.col("p.left_tok").alias("left_tok"), F.col("p.right_tok").alias("right_tok")).agg(
-            F.sum("freq").cast("bigint").alias("freq"))
-        w = Window.partitionBy("side").orderBy(F.col("freq").desc(), F.col("left_tok"), F.col("right_tok"))
-        top = pf.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= candidates + 1).collect()
-        by_side = {sd: [] for sd in open_sides}
-        for r in sorted(top, key=lambda r: (r["side"], r["_r"])):
-            by_side[r["side"]].append((r["left_tok"], r["right_tok"], r["freq"]))
-        expr = F.col("s")
-        progressed = False
-        for sd in open_sides:
-            cands = by_side[sd]
-            if not cands:
+    w = Window.partitionBy("side").orderBy(F.col("freq").desc(), F.col("left_tok"), F.col("right_tok"))
+    while any(len(merges[sd]) < budget[sd] for sd in sides):
+        if counts is None:
+            counts = written(_sum_pairs(_side_pairs(ws, "s")), "bpe-pairs")
+        top = counts.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= candidates + 1).collect()
+        expr, touched, progressed = F.col("s"), F.lit(False), False
+        for sd in sides:
+            cands = [(r["left_tok"], r["right_tok"], r["freq"])
+                     for r in sorted((r for r in top if r["side"] == sd), key=lambda r: r["_r"])]
+            if not cands or len(merges[sd]) >= budget[sd]:
                 budget[sd] = len(merges[sd])  # nothing left to merge on this side
                 continue
             acc = _choose(cands, symbols[sd], budget[sd] - len(merges[sd]))
             merges[sd].extend(acc)
             symbols[sd].update(l + r for l, r in acc)
-            expr = F.when(F.col("side") == sd, apply_merges_col(F.col("s"), acc)).otherwise(expr)
+            here = F.col("side") == sd
+            holds = F.lit(False)
+            for l, r in acc:
+                holds = holds | F.contains(F.col("s"), F.lit(f" {l}  {r} "))
+            touched = touched | (here & holds)
+            expr = F.when(here, apply_merges_col(F.col("s"), acc)).otherwise(expr)
             progressed = True
-        if not progressed:
+        if not progressed or all(len(merges[sd]) >= budget[sd] for sd in sides):
             break
+        changed = ws.where(touched).withColumn("new", expr)
+        delta = _side_pairs(changed, "s", -1).unionAll(_side_pairs(changed, "new"))
+        counts = written(_sum_pairs(counts.unionAll(_sum_pairs(delta))).where("freq > 0"), "bpe-pairs")
         ws = ws.withColumn("s", expr)
         rounds += 1
-        if rounds % checkpoint_every == 0:
-            ws = ws.checkpoint()
+        if rounds % rewrite_every == 0:
+            ws = written(ws, "bpe-words")
     return {sd: Tokenizer(merges=merges[sd], vocab=build_vocab(alpha[sd], merges[sd])) for sd in sides}
 
 
+def corpus_fingerprint(sentences: DataFrame) -> str:
+    """Rows and two order-free sums of hashes of all columns: which corpus this is."""
+    h = F.xxhash64(*sentences.columns)
+    row = sentences.agg(F.count(F.lit(1)), F.sum(F.pmod(h, F.lit((1 << 31) - 1))), F.bit_xor(h)).first()
+    return ":".join(str(x) for x in row)
+
+
 def build_vocab(alpha: list, merges: list) -> dict:
     """Specials 0..7, then the alphabet, then merged tokens by rank (first id wins)."""
     vocab: dict = {}
@@ -291,12 +267,14 @@ def _map_literal(d: dict, key_type: str, value_type: str) -> Column:
 
 
 def encode_col(text: Column, tok: Tokenizer) -> Column:
-    """Text -> ``array<int>`` of subword ids (row-local; no shuffle)."""
-    if len(tok.merges) <= INLINE_MERGES and len(tok.vocab) <= INLINE_VOCAB:
+    """Text -> ``array<int>`` of subword ids (row-local; no shuffle); null gives null.
+
+    Without merges every symbol is a character: built-ins do.  Otherwise one Arrow
+    function encodes, evaluated once a row although filters use its result too.
+    """
+    if not tok.merges:
         vmap = _map_literal(tok.vocab, "string", "int")
-        s = symbol_string(F.array_join(T.pretokenize(text), "\t"))
-        syms = F.split(F.trim(apply_merges_col(s, tok.merges)), r"[ \t]+")
-        syms = F.filter(syms, lambda x: x != "")
+        syms = F.filter(F.split(symbol_string(F.array_join(T.pretokenize(text), "\t")), r"[ \t]+"), lambda x: x != "")
         return F.transform(syms, lambda x: F.coalesce(F.element_at(vmap, x), F.lit(UNK_ID)))
     return _encode_udf(tok)(T.pretokenize(text))
 
@@ -309,7 +287,7 @@ def _encode_udf(tok: Tokenizer):
 
     ranks = {m: i for i, m in enumerate(tok.merges)}
     vocab = dict(tok.vocab)
-    eow, unk = END_OF_WORD, UNK_ID
+    eow, unk, CACHE_WORDS = END_OF_WORD, UNK_ID, _CACHE_WORDS
 
     def _encode_word_py(word, merges_rank, vocab):
         """Per-word helper for large merge lists: apply merges in rank order."""
@@ -338,36 +316,31 @@ def _encode_udf(tok: Tokenizer):
         return [vocab.get(s, unk) for s in sy]
 
     @pandas_udf(Ty.ArrayType(Ty.IntegerType()))
-    def enc(words: pd.Series) -> pd.Series:
+    def enc(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         cache: dict = {}
-        out = []
-        for ws in words:
-            ids: list = []
-            for w in ws:
-                got = cache.get(w)
-                if got is None:
-                    got = cache[w] = _encode_word_py(w, ranks, vocab)
-                ids.extend(got)
-            out.append(ids)
-        return pd.Series(out)
-
-    return enc
-
-
-def encode(df: DataFrame, col: str, tok: Tokenizer, out: str | None = None) -> DataFrame:
-    return df.withColumn(out or f"{col}_ids", encode_col(F.col(col), tok))
+        for words in parts:
+            out = []
+            for ws in words:
+                if ws is None:
+                    out.append(None)
+                    continue
+                ids: list = []
+                for w in ws:
+                    got = cache.get(w)
+                    if got is None:
+                        if len(cache) >= CACHE_WORDS:
+                            cache.clear()
+                        got = cache[w] = _encode_word_py(w, ranks, vocab)
+                    ids.extend(got)
+                out.append(ids)
+            yield pd.Series(out, dtype=object)
+
+    return enc.asNondeterministic()
 
 
 def decode_col(ids: Column, tok: Tokenizer) -> Column:
-    """``array<int>`` -> text: special ids dropped, tokens joined, ``</w>`` -> space."""
-    inv = tok.id_to_token
-    if len(inv) <= INLINE_VOCAB:
-        m = _map_literal(inv, "int", "string")
-        toks = F.transform(F.filter(ids, lambda x: x >= N_SPECIAL), lambda x: F.element_at(m, x))
-        joined = F.array_join(toks, "")
-    else:
-        joined = _decode_udf(tok)(ids)
-    return T.ustrip(F.replace(joined, F.lit(END_OF_WORD), F.lit(" ")))
+    """``array<int>`` -> text: special ids dropped, tokens joined, ``</w>`` -> space; null gives null."""
+    return T.ustrip(F.replace(_decode_udf(tok)(ids), F.lit(END_OF_WORD), F.lit(" ")))
 
 
 def _decode_udf(tok: Tokenizer):
@@ -378,7 +351,8 @@ def _decode_udf(tok: Tokenizer):
 
     @pandas_udf(Ty.StringType())
     def dec(ids: pd.Series) -> pd.Series:
-        return pd.Series(["".join(inv.get(int(i), "") for i in xs if int(i) >= n_special) for xs in ids])
+        texts = [None if xs is None else "".join(inv.get(int(i), "") for i in xs if int(i) >= n_special) for xs in ids]
+        return pd.Series(texts, dtype=object)
 
     return dec
 
@@ -387,6 +361,5 @@ def roundtrip_rate(df: DataFrame, col: str, tok: Tokenizer) -> DataFrame:
     """Share of rows where detok(decode(encode(x))) equals detok(pre-tokens joined)."""
     back = T.detok(decode_col(encode_col(F.col(col), tok), tok))
     ref = T.detok(F.array_join(T.pretokenize(col), " "))
-    return df.agg(
-        F.avg((back == ref).cast("double")).alias("rate"), F.count(F.lit(1)).alias("rows")
-    )
+    same = df.select((back == ref).cast("double").alias("same"))
+    return same.agg(F.avg("same").alias("rate"), F.count(F.lit(1)).alias("rows"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from bitext.functions import layout as L
 
 
-def model_rows(encoded: DataFrame, seq_len: int = 160, src_ids: str = "src_ids", tgt_ids: str = "tgt_ids",
+def model_rows(encoded: DataFrame, seq_len: int = L.SEQ_LEN, src_ids: str = "src_ids", tgt_ids: str = "tgt_ids",
                keep=("pair_id",)) -> DataFrame:
     """All fields of a pair: three layout arrays, padding masks as valid lengths
     plus the encoder mask, and the two texts.  Row-local."""

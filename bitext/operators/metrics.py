@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from bitext.functions import text as T
 
+LOG_EVERY = 50  # fixed value
 
-def log_metrics(metrics: DataFrame, every: int = 50, path: str | None = None) -> DataFrame:
+
+def log_metrics(metrics: DataFrame, every: int = LOG_EVERY, path: str | None = None) -> DataFrame:
     """Rows whose step is a multiple of ``every``; appended to ``path`` when given."""
     out = metrics.where(F.col("step") % every == 0).select("tag", "step", "value")
     if path is not None:
@@ -45,7 +47,7 @@ def batch_loss_mean(losses: DataFrame, max_batches: int = 100, batch_col: str =
 
 
 def corpus_stats(pairs: DataFrame, by: str = "split") -> DataFrame:
-    """Sentence and word-length summaries per split."""
+    """Sentence and word-length summaries per split, and token counts if ids are there."""
     sw, tw = T.word_count("src"), T.word_count("tgt")
     return pairs.groupBy(by).agg(
         F.count(F.lit(1)).alias("pairs"),
@@ -54,4 +56,7 @@ def corpus_stats(pairs: DataFrame, by: str = "split") -> DataFrame:
         F.max(sw).cast("int").alias("max_src_words"),
         F.max(tw).cast("int").alias("max_tgt_words"),
         F.avg(sw).alias("avg_src_words"),
+        *[f(F.size(f"{s}_ids")).cast(t).alias(f"{n}{s}_tokens")
+          for f, t, n in ((F.sum, "bigint", ""), (F.max, "int", "max_")) for s in ("src", "tgt")
+          if f"{s}_ids" in pairs.columns],
     )

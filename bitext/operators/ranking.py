@@ -1,26 +1,28 @@
 """Exact global ranks and exact "first n" cuts without a global window.
 
-``row_number()`` without ``partitionBy`` moves every row into one task.  Here rows
-are bucketed by an order-preserving key prefix, bucket sizes are counted with a
-partial aggregate, bucket start offsets come from a running sum over the (bounded)
-histogram, and ranks are computed inside each bucket only.
-
-* hash order ``md5(seed:key)``: the bucket is the first hex digits of the hash, so
-  buckets are uniform whatever the key distribution;
-* any other order: bucket boundaries are sampled from the data, so a hot value of
-  the first column is split by the later columns.
+``row_number()`` without ``partitionBy`` moves every row into one task.  Instead:
+
+* the first n rows in the hash order ``md5(seed:key)`` are found by narrowing: a
+  histogram over a few hex digits (a partial aggregate) names the digits that hold
+  row n, the next histogram looks inside them only, until few enough candidates are
+  left to be sorted; the cut is then a literal and the filter is row-local;
+* ranks come from a range partitioning on the order columns (Spark samples the
+  bounds, so a hot first column is split by the later ones), written once; counts
+  per partition give offsets, and rows are numbered inside their partition.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HASH_PREFIX_DIGITS = 5  # 16^5 = 1,048,576 buckets at most: the histogram size bound
-ROWS_PER_BUCKET = 1_000_000  # sampled-boundary buckets target this many rows
+from bitext.session import written
+
+DIGITS = 3  # hex digits read by one histogram: at most 4096 rows come back
+CANDIDATES = 20_000  # rows that the driver sorts at the end of the narrowing
+HASH_DIGITS = 32
 
 
 def hash_key(seed, *cols) -> Column:
@@ -29,68 +31,38 @@ def hash_key(seed, *cols) -> Column:
     return F.md5(F.concat_ws(":", *parts))
 
 
-def _offsets(hist: DataFrame, bucket: str) -> DataFrame:
-    """Start offset of each bucket: running sum over the histogram (bounded size)."""
-    w = Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    return hist.select(bucket, F.coalesce(F.sum("n").over(w), F.lit(0)).cast("bigint").alias("_start"), "n")
-
-
-def _rank_in_buckets(d: DataFrame, bucket: str, order: list[Column], rank_col: str) -> DataFrame:
-    hist = d.groupBy(bucket).agg(F.count(F.lit(1)).alias("n"))
-    offs = _offsets(hist, bucket).drop("n")
-    w = Window.partitionBy(bucket).orderBy(*order)
-    ranked = d.withColumn("_rn", F.row_number().over(w))
-    # offsets has at most one row per bucket (bounded by the bucket count): broadcast
-    out = ranked.join(F.broadcast(offs), bucket)
-    return out.withColumn(rank_col, (F.col("_start") + F.col("_rn") - 1).cast("bigint")).drop("_start", "_rn", bucket)
-
-
-def hash_bucket(h: str = "_h", digits: int = HASH_PREFIX_DIGITS) -> Column:
-    return F.conv(F.substring(F.col(h), 1, digits), 16, 10).cast("int")
-
-
-def hash_rank(df: DataFrame, key: str, seed, rank_col: str = "rank", extra: Sequence = (),
-              digits: int = HASH_PREFIX_DIGITS, keep_hash: bool = False) -> DataFrame:
-    """0-based rank of each row in the order ``(md5(seed:extra…:key), key)``."""
-    d = df.withColumn("_h", hash_key(seed, *extra, key)).withColumn("_b", hash_bucket("_h", digits))
-    out = _rank_in_buckets(d, "_b", [F.col("_h"), F.col(key)], rank_col)
-    return out if keep_hash else out.drop("_h")
-
-
-def hash_cut(df: DataFrame, key: str, seed, n: int, digits: int = HASH_PREFIX_DIGITS, among=None):
-    """The ``(hash, key)`` of the n-th row in hash order, or None when n >= rows.
-
-    Two small jobs: a bucket histogram (partial aggregate, ≤ 16^digits rows) and a
-    rank of the single bucket holding row n.  No row is shuffled.
-    """
-    if n <= 0:
-        return ("", None)
-    if among is not None:
-        df = df.where(among)
-    d = df.select(F.col(key), hash_key(seed, key).alias("_h")).withColumn("_b", hash_bucket("_h", digits))
-    hist = d.groupBy("_b").agg(F.count(F.lit(1)).alias("n"))
-    offs = _offsets(hist, "_b")
-    hit = offs.where((F.col("_start") < n) & (F.col("_start") + F.col("n") >= n)).collect()
-    if not hit:
-        return None
-    b, start = hit[0]["_b"], hit[0]["_start"]
-    need = n - start
-    w = Window.orderBy("_h", key)
-    row = (
-        d.where(F.col("_b") == b)
-        .select("_h", key, F.row_number().over(w).alias("_rn"))
-        .where(F.col("_rn") == need)
-        .collect()
-    )
-    return (row[0]["_h"], row[0][key])
-
-
-def hash_first_n(df: DataFrame, key: str, seed, n: int, flag: str | None = None, among=None) -> DataFrame:
-    """Rows among the first n in hash order (``flag`` given: all rows, flag column).
-
-    ``among``: rank only rows where this condition holds (others get flag false).
+def hash_cut(df: DataFrame, key: str, seed, n: int | None = None, fraction: float | None = None):
+    """The ``(hash, key)`` of the n-th row in hash order; None when all rows are within,
+    ``("", None)`` when none is.  ``fraction``: n is ``int(fraction * rows)``.
     """
-    cut = hash_cut(df, key, seed, n, among=among)
+    d = df.select(F.col(key), hash_key(seed, key).alias("_h"))
+    prefix = ""
+    while True:
+        inside = d.where(F.col("_h").startswith(prefix)) if prefix else d
+        digits = min(len(prefix) + DIGITS, HASH_DIGITS)
+        hist = inside.groupBy(F.substring("_h", 1, digits).alias("b")).agg(F.count(F.lit(1)).alias("n"))
+        rows = sorted((r["b"], r["n"]) for r in hist.collect())  # at most 16^DIGITS
+        if not prefix:
+            total = sum(c for _, c in rows)
+            if fraction is not None:
+                n = int(fraction * total)
+            if n <= 0:
+                return "", None
+            if n >= total:
+                return None
+        for prefix, count in rows:
+            if n <= count:
+                break
+            n -= count
+        if count <= CANDIDATES or digits >= HASH_DIGITS:
+            last = d.where(F.col("_h").startswith(prefix)).orderBy("_h", key).limit(n).collect()
+            return last[-1]["_h"], last[-1][key]
+
+
+def hash_first_n(df: DataFrame, key: str, seed, n: int | None = None, flag: str | None = None,
+                 fraction: float | None = None) -> DataFrame:
+    """Rows among the first n in hash order (``flag`` given: all rows and a flag column)."""
+    cut = hash_cut(df, key, seed, n, fraction)
     h = hash_key(seed, key)
     if cut is None:
         cond = F.lit(True)
@@ -99,42 +71,30 @@ def hash_first_n(df: DataFrame, key: str, seed, n: int, flag: str | None = None,
     else:
         ch, ck = cut
         cond = (h < F.lit(ch)) | ((h == F.lit(ch)) & (F.col(key) <= F.lit(ck)))
-    if among is not None:
-        cond = among & cond
-    if flag is None:
-        return df.where(cond)
-    return df.withColumn(flag, cond)
-
-
-def _sample_bounds(df: DataFrame, cols: list[str], buckets: int, total: int) -> list[tuple]:
-    if buckets <= 1:
-        return []
-    want = 40 * buckets
-    frac = min(1.0, want / max(total, 1))
-    rows = df.select(*cols).sample(False, frac, seed=7).orderBy(*cols).collect()
-    if not rows:
-        return []
-    step = len(rows) / buckets
-    bounds = []
-    for i in range(1, buckets):
-        r = rows[min(len(rows) - 1, int(i * step))]
-        t = tuple(r)
-        if not bounds or t > bounds[-1]:
-            bounds.append(t)
-    return bounds
-
-
-def ordered_rank(df: DataFrame, cols: list[str], rank_col: str = "rank",
-                 rows_per_bucket: int = ROWS_PER_BUCKET, max_buckets: int = 4096) -> DataFrame:
-    """0-based rank of each row in the order of ``cols`` (must identify a row)."""
-    total = df.count()
-    buckets = max(1, min(max_buckets, math.ceil(total / rows_per_bucket)))
-    bounds = _sample_bounds(df, cols, buckets, total)
-    key = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)])
-    if bounds:
-        lits = F.array(*[F.struct(*[F.lit(v).alias(f"c{i}") for i, v in enumerate(b)]) for b in bounds])
-        bucket = F.size(F.filter(lits, lambda b: b <= key))
-    else:
-        bucket = F.lit(0)
-    d = df.withColumn("_ob", bucket.cast("int"))
-    return _rank_in_buckets(d, "_ob", [F.col(c) for c in cols], rank_col)
+    return df.where(cond) if flag is None else df.withColumn(flag, cond)
+
+
+def ordered_rank(df: DataFrame, cols: Sequence[str], rank_col: str = "rank", partitions: int | None = None) -> DataFrame:
+    """0-based rank of each row in the order of ``cols`` (must identify a row).
+
+    The range-partitioned rows are written to the shared folder, as a second
+    evaluation could sample other bounds.  Partitions hold neighbouring ranks and
+    are as many as Spark's shuffle partitions unless given.
+    """
+    spark = df.sparkSession
+    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(partitions, *cols).withColumn("_part", F.spark_partition_id())
+    ranged = written(ranged, "ranked")
+    start, starts = 0, []
+    for r in sorted(ranged.groupBy("_part").count().collect()):  # one row per partition
+        starts.append((r["_part"], start))
+        start += r["count"]
+    offsets = F.broadcast(spark.createDataFrame(starts, "_part int, _start bigint"))
+    w = Window.partitionBy("_part").orderBy(*cols)
+    out = ranged.withColumn("_rn", F.row_number().over(w)).join(offsets, "_part")
+    return out.withColumn(rank_col, (F.col("_start") + F.col("_rn") - 1).cast("bigint")).drop("_start", "_rn", "_part")
+
+
+def hash_rank(df: DataFrame, key: str, seed, rank_col: str = "rank", extra: Sequence = ()) -> DataFrame:
+    """0-based rank of each row in the order ``(md5(seed:extra…:key), key)``."""
+    return ordered_rank(df.withColumn("_h", hash_key(seed, *extra, key)), ["_h", key], rank_col).drop("_h")

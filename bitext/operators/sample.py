@@ -1,34 +1,32 @@
-"""Seeded samples, exact splits, batches, limits, top-k and arg-max."""
+"""Seeded samples, exact splits, batches, limits and arg-max."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bitext.operators import ranking as R
 
+# Fixed values.
+SEED = 42
+TRAIN_FRACTION = 0.9
+BATCH_SIZE = 32
 
-def sample_n(df: DataFrame, key: str, n: int, seed=42) -> DataFrame:
+
+def sample_n(df: DataFrame, key: str, n: int, seed=SEED) -> DataFrame:
     """Exactly ``min(n, rows)`` rows: the first n in the seeded hash order."""
     return R.hash_first_n(df, key, seed, n)
 
 
-def split_exact(df: DataFrame, key: str = "pair_id", fraction: float = 0.9, seed=42,
-                split_col: str = "split", among: Column | None = None) -> DataFrame:
+def split_exact(df: DataFrame, key: str = "pair_id", fraction: float = TRAIN_FRACTION, seed=SEED,
+                split_col: str = "split") -> DataFrame:
     """Adds ``split`` = 'train' for exactly ``int(fraction * rows)`` rows, else 'val'.
 
     The first rows of the seeded hash order go to train; a row-local filter, so
-    nothing is shuffled.  Disjoint and complete by construction.  With ``among``
-    only rows meeting the condition are split (the others get a null split).
+    nothing is shuffled.  Disjoint and complete by construction.
     """
-    base = df if among is None else df.where(among)
-    total = base.count()
-    n_train = int(fraction * total)
-    flagged = R.hash_first_n(df, key, seed, n_train, flag="_train", among=among)
-    lab = F.when(F.col("_train"), "train").otherwise("val")
-    if among is not None:
-        lab = F.when(among, lab)
-    return flagged.withColumn(split_col, lab).drop("_train")
+    flagged = R.hash_first_n(df, key, seed, flag="_train", fraction=fraction)
+    return flagged.withColumn(split_col, F.when(F.col("_train"), "train").otherwise("val")).drop("_train")
 
 
 def subset(df: DataFrame, keys: DataFrame, key: str = "pair_id") -> DataFrame:
@@ -36,7 +34,7 @@ def subset(df: DataFrame, keys: DataFrame, key: str = "pair_id") -> DataFrame:
     return df.join(keys.select(key), key, "left_semi")
 
 
-def assign_batches(df: DataFrame, key: str = "pair_id", size: int = 32, seed=42, epoch: int = 0,
+def assign_batches(df: DataFrame, key: str = "pair_id", size: int = BATCH_SIZE, seed=SEED, epoch: int = 0,
                    shuffle: bool = True) -> DataFrame:
     """Adds ``rank`` and ``batch_id = rank div size`` (last batch may be partial).
 
@@ -54,19 +52,11 @@ def limit_batches(df: DataFrame, n: int, batch_col: str = "batch_id") -> DataFra
     return df.where(F.col(batch_col) < n)
 
 
-def topk(df: DataFrame, part, order: list[Column], k: int, rank_col: str = "rk") -> DataFrame:
-    """Top-k rows per partition key (Spark plans a ``WindowGroupLimit`` below the window)."""
-    part = [part] if isinstance(part, str) else list(part)
-    w = Window.partitionBy(*part).orderBy(*order)
-    return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= k)
-
-
-def argmax(df: DataFrame, part, value: str, item: str, out: str | None = None) -> DataFrame:
+def argmax(df: DataFrame, part, value: str, item: str) -> DataFrame:
     """Best ``item`` per key: highest ``value``, ties to the smallest item.
 
     A plain aggregate (partial + final), so a hot key is pre-combined map-side.
     """
     part = [part] if isinstance(part, str) else list(part)
-    out = out or item
-    best = F.max_by(F.col(item), F.struct(F.col(value), -F.col(item)))
-    return df.groupBy(*part).agg(best.alias(out), F.max(value).alias(value))
+    # the smallest of (-value, item)
+    return df.groupBy(*part).agg(F.min(F.struct((-F.col(value)).alias("v"), F.col(item).alias("i")))["i"].alias(item))

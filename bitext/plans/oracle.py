@@ -8,9 +8,15 @@ from __future__ import annotations
 
 # ---------------------------------------------------------------------------
 # RE2 spellings of the text patterns.
-WS = r"^[\s\p{Z}]+|[\s\p{Z}]+$"
-WORD = r"[^\s\p{Z}]+"
-PRETOK = r"[\p{L}\p{N}\p{M}_]+|[^\p{L}\p{N}\p{M}_\s]+"
+SPACE = r"\x{09}-\x{0D}\x{1C}-\x{20}\x{85}\p{Z}"
+WHITE_SPACE = r"\x{09}-\x{0D}\x{20}\x{85}\p{Z}"
+WORD_CHARS = (
+    r"\p{L}\p{M}\p{Nd}\p{Nl}\p{Pc}\x{200C}\x{200D}\x{24B6}-\x{24E9}"
+    r"\x{1F130}-\x{1F149}\x{1F150}-\x{1F169}\x{1F170}-\x{1F189}"
+)
+WS = rf"^[{SPACE}]+|[{SPACE}]+$"
+WORD = rf"[^{SPACE}]+"
+PRETOK = rf"[{WORD_CHARS}]+|[^{WORD_CHARS}{WHITE_SPACE}]+"
 NOISE = r"[\x{0640}\x{064B}-\x{0652}]"
 # ---------------------------------------------------------------------------
 
@@ -34,10 +40,11 @@ PAIRS = f"""pairs AS (
 NOISY = """noisy AS (
   SELECT pair_id, '  ' || src || '  ' AS src, replace(tgt, 'e', 'e' || chr(1600)) AS tgt FROM pairs)"""
 
-# sampled (first 300000 in hash order), cleaned, word-filtered, split 90 %
-PREP = f"""flags AS (
-  SELECT pair_id, {strip('src')} AS src, {strip(f"regexp_replace(tgt, '{NOISE}', '', 'g')")} AS tgt,
-         row_number() OVER (ORDER BY md5('42:' || pair_id), pair_id) <= 300000 AS sampled
+def prep(sample: int | None = None) -> str:
+    """Cleaned, word-filtered and split (90 %) pairs: all, or the first ``sample`` in hash order."""
+    sampled = "true" if sample is None else f"row_number() OVER (ORDER BY md5('42:' || pair_id), pair_id) <= {sample}"
+    return f"""flags AS (
+  SELECT pair_id, {strip('src')} AS src, {strip(f"regexp_replace(tgt, '{NOISE}', '', 'g')")} AS tgt, {sampled} AS sampled
   FROM pairs),
 kflags AS (
   SELECT *, sampled AND {wc('src')} BETWEEN 1 AND 40 AND {wc('tgt')} BETWEEN 1 AND 40 AS kept FROM flags),
@@ -50,6 +57,9 @@ allflags AS (
   SELECT k.*, s.split FROM kflags k LEFT JOIN kept s USING (pair_id))"""
 
 
+PREP = prep()
+
+
 def w(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
@@ -70,10 +80,6 @@ ORACLE["filter_word_count"] = w(PAIRS) + (
 ORACLE["over_length_flag"] = w(PAIRS) + (
     f"SELECT pair_id, CAST({wc('src')} AS INTEGER) AS n_words, {wc('src')} > 40 AS over_length FROM pairs"
 )
-ORACLE["funnel"] = w(PAIRS, PREP) + """SELECT stage, CAST(rows AS BIGINT) AS rows FROM (
-  SELECT count(*) AS input, count(*) FILTER (WHERE sampled) AS sampled, count(*) FILTER (WHERE kept) AS word_filter,
-         count(*) FILTER (WHERE split = 'train') AS train, count(*) FILTER (WHERE split = 'val') AS val
-  FROM allflags) UNPIVOT (rows FOR stage IN (input, sampled, word_filter, train, val))"""
 ORACLE["seeded_sample"] = w(PAIRS) + (
     "SELECT pair_id, src, tgt FROM pairs QUALIFY row_number() OVER (ORDER BY md5('42:' || pair_id), pair_id) <= 5000"
 )
@@ -214,8 +220,8 @@ ORACLE["bpe_decode"] = w(PAIRS, PREP, *bpe_ctes(TRAIN_SRC, M), KEPT_SRC, *encode
     "FROM kept k LEFT JOIN (SELECT e.pair_id, string_agg(v.token, '' ORDER BY e.i, e.j) AS t "
     "FROM enc_sym e JOIN vocab v ON v.id = e.id WHERE e.id >= 8 GROUP BY e.pair_id) d USING (pair_id)"
 )
-DETOK_BEFORE = r"\s+([،,.؟?!:;)\]»])"
-DETOK_AFTER = r"([(\[«])\s+"
+DETOK_BEFORE = rf"[{SPACE}]+([،,.؟?!:;)\]»])"
+DETOK_AFTER = rf"([(\[«])[{SPACE}]+"
 
 
 def detok_sql(x: str) -> str:
@@ -256,6 +262,11 @@ def lab(x: str) -> str:
     return f"({x} || [4]::INTEGER[] || repeat([1]::INTEGER[], greatest(160 - len({x}) - 1, 0)))"
 
 
+ORACLE["funnel"] = w(PAIRS, prep(300000), *ENC2) + """SELECT stage, CAST(rows AS BIGINT) AS rows FROM (
+  SELECT count(*) AS input, count(*) FILTER (WHERE sampled) AS sampled, count(*) FILTER (WHERE kept) AS word_filter,
+         count(*) FILTER (WHERE split = 'train') AS train, count(*) FILTER (WHERE split = 'val') AS val,
+         (SELECT count(*) FROM fit WHERE split = 'train') AS train_tokens, (SELECT count(*) FROM fit WHERE split = 'val') AS val_tokens
+  FROM allflags) UNPIVOT (rows FOR stage IN (input, sampled, word_filter, train, val, train_tokens, val_tokens))"""
 L0 = w(PAIRS, PREP, *ENC2)
 ORACLE["encoder_input"] = L0 + f"SELECT pair_id, {enc_in('src_ids')} AS encoder_input FROM fit"
 ORACLE["decoder_input"] = L0 + f"SELECT pair_id, {dec_in('tgt_ids')} AS decoder_input FROM fit"
@@ -268,7 +279,7 @@ ORACLE["causal_mask"] = L0 + (
     "FROM (SELECT DISTINCT CAST(len(tgt_ids) + 1 AS INTEGER) AS size FROM fit)"
 )
 ORACLE["decoder_mask"] = L0 + (
-    "SELECT valid_len, list_transform(range(160), lambda r: CAST(least(r + 1, valid_len) AS INTEGER)) AS row_true "
+    "SELECT valid_len, list_transform(range(160), lambda r: list_transform(range(160), lambda c: c <= r AND c < valid_len)) AS mask "
     "FROM (SELECT DISTINCT CAST(len(tgt_ids) + 1 AS INTEGER) AS valid_len FROM fit)"
 )
 ORACLE["model_rows"] = L0 + (
@@ -281,8 +292,10 @@ TB = """tb AS (SELECT *, CAST(rank // 32 AS BIGINT) AS batch_id FROM (
   SELECT *, CAST(row_number() OVER (ORDER BY md5('42:1:' || pair_id), pair_id) - 1 AS BIGINT) AS rank
   FROM fit WHERE split = 'train'))"""
 ORACLE["collate"] = w(PAIRS, PREP, *ENC2, TB) + (
-    f"SELECT batch_id, list(pair_id ORDER BY rank) AS pair_id, list({dec_in('tgt_ids')} ORDER BY rank) AS decoder_input "
-    "FROM tb GROUP BY batch_id"
+    f"SELECT batch_id, list(pair_id ORDER BY rank) AS pair_id, list({enc_in('src_ids')} ORDER BY rank) AS encoder_input, "
+    f"list({dec_in('tgt_ids')} ORDER BY rank) AS decoder_input, list({lab('tgt_ids')} ORDER BY rank) AS labels, "
+    f"list(list_transform({enc_in('src_ids')}, lambda x: x <> 1) ORDER BY rank) AS encoder_mask, "
+    "list(CAST(len(tgt_ids) + 1 AS INTEGER) ORDER BY rank) AS decoder_valid_len FROM tb GROUP BY batch_id"
 )
 ORACLE["padding_stats"] = w(PAIRS, PREP, *ENC2, TB) + (
     "SELECT batch_id, rows, pad_positions, positions, round(pad_positions / positions, 6) AS pad_share FROM ("
@@ -466,17 +479,14 @@ ORACLE["attention_scores"] = w(VECS, HEADS) + (
     f"SELECT q.seq_id, q.head, q.pos AS row, k.pos AS column, {rd(dot_sql('q.x', 'k.x') + ' / sqrt(8)')} AS score "
     "FROM hq q JOIN hq k ON k.seq_id = q.seq_id AND k.head = q.head"
 )
-ORACLE["attention_self"] = w(VECS, HEADS, *attn_ctes("none")) + f"SELECT seq_id, head, row, {rda('out')} AS out FROM ot"
-ORACLE["attention_causal"] = w(VECS, HEADS, *attn_ctes("causal")) + (
-    f"SELECT seq_id, head, row, \"column\", {rd('weight')} AS weight FROM wt"
-)
+MERGED = "SELECT seq_id, row AS pos, " + rda("flatten(list(out ORDER BY head))") + " AS vec FROM ot GROUP BY seq_id, row"
+ORACLE["attention_self"] = w(VECS, HEADS, *attn_ctes("none")) + MERGED
+ORACLE["attention_causal"] = w(VECS, HEADS, *attn_ctes("causal")) + MERGED
 SRCV = f"""srcv AS (SELECT seq_id, pos, {layer_norm_sql('vec')} AS vec FROM vecs),
 hk AS (SELECT seq_id, CAST(head AS INTEGER) AS head, pos, vec[head * 8 + 1:head * 8 + 8] AS x
   FROM (SELECT seq_id, pos, vec, unnest(range(8)) AS head FROM srcv)),
 vl AS (SELECT seq_id, CAST(count(*) FILTER (WHERE label <> 1) AS INTEGER) AS valid_len FROM vecs GROUP BY seq_id)"""
-ORACLE["attention_cross"] = w(VECS, HEADS, SRCV, *attn_ctes("valid", "hk")) + (
-    f"SELECT seq_id, head, row, {rda('out')} AS out FROM ot"
-)
+ORACLE["attention_cross"] = w(VECS, HEADS, SRCV, *attn_ctes("valid", "hk")) + MERGED
 
 
 def log_softmax_sql(v: str) -> str:
@@ -513,7 +523,7 @@ BIGRAM = f"""bg AS MATERIALIZED (
       SELECT s, unnest(range(1, len(s))) AS i FROM (
         SELECT ['[SOS]'] || regexp_extract_all(tgt, '{PRETOK}') || ['[EOS]'] AS s FROM kept WHERE split = 'train'))
     GROUP BY 1, 2)),
-ranked AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY prev ORDER BY cnt DESC, token) AS succ_rank FROM bg)"""
+ranked AS MATERIALIZED (SELECT *, round(logp, 9) AS logp9, row_number() OVER (PARTITION BY prev ORDER BY cnt DESC, token) AS succ_rank FROM bg)"""
 SEEDS = f"""seeds AS (SELECT pair_id AS sent_id, ['[SOS]', regexp_extract_all(src, '{PRETOK}')[1]] AS tokens
   FROM kept WHERE split = 'val')"""
 
@@ -527,7 +537,6 @@ def banned_sql(s: str, n: int) -> str:
 D0 = w(PAIRS, PREP, BIGRAM)
 ORACLE["score_table"] = D0 + f"SELECT prev, token, cnt, {rd('logp')} AS logp FROM bg"
 ORACLE["argmax_token"] = D0 + "SELECT prev, token FROM ranked WHERE succ_rank = 1"
-ORACLE["topk_candidates"] = D0 + "SELECT prev, token, cnt, CAST(succ_rank AS INTEGER) AS succ_rank FROM ranked WHERE succ_rank <= 8"
 GREEDY = """g AS (
   SELECT sent_id, tokens, false AS done FROM seeds
   UNION ALL
@@ -545,7 +554,7 @@ ORACLE["ngram_block"] = w(PAIRS, PREP) + (
     f"(SELECT pair_id, ['[SOS]'] || regexp_extract_all(tgt, '{PRETOK}') AS s FROM kept)"
 )
 EXPAND = f"""cand AS MATERIALIZED (
-  SELECT s.sent_id, 0 AS beam, s.tokens, r.token, 0.0 + r.logp AS cs FROM seeds s
+  SELECT s.sent_id, 0 AS beam, s.tokens, r.token, 0.0 + r.logp9 AS cs FROM seeds s
   JOIN ranked r ON r.prev = s.tokens[-1] AND r.succ_rank <= 173 AND r.succ_rank <= 2 * 4 + len({banned_sql('s.tokens', 3)}) + 1
   WHERE NOT (len(s.tokens) = 1 AND r.token = '[EOS]') AND NOT list_contains({banned_sql('s.tokens', 3)}, r.token)),
 sp AS MATERIALIZED (SELECT *, coalesce(sum(CASE WHEN NOT is_eos THEN 1 ELSE 0 END) OVER (PARTITION BY sent_id ORDER BY rk
@@ -558,10 +567,17 @@ ORACLE["beam_split"] = D1 + (
     f"SELECT sent_id, CAST(rk AS INTEGER) AS rk, token, is_eos, CAST(alive_before AS INTEGER) AS alive_before, {rd('cs')} AS cs "
     "FROM sp WHERE alive_before < 4"
 )
-ORACLE["beam_step"] = D1 + (
-    f"SELECT sent_id, CAST(alive_before AS INTEGER) AS beam, list_append(tokens, token) AS tokens, {rd('cs')} AS score FROM ("
-    "SELECT *, sum(CASE WHEN is_eos THEN 1 ELSE 0 END) OVER (PARTITION BY sent_id) AS total_fin FROM sp WHERE alive_before < 4) "
-    "WHERE NOT is_eos AND total_fin < 4"
+STEP = """nx AS MATERIALIZED (SELECT sent_id, CAST(alive_before AS INTEGER) AS beam, list_append(tokens, token) AS tokens, cs AS score FROM (
+  SELECT *, sum(CASE WHEN is_eos THEN 1 ELSE 0 END) OVER (PARTITION BY sent_id) AS total_fin FROM sp WHERE alive_before < 4)
+  WHERE NOT is_eos AND total_fin < 4)"""
+D2 = w(PAIRS, PREP, BIGRAM, SEEDS, EXPAND, STEP)
+ORACLE["beam_step"] = D2 + f"SELECT sent_id, beam, tokens, {rd('score')} AS score FROM nx"
+ORACLE["topk_candidates"] = D2 + (
+    f"SELECT sent_id, CAST(rk AS INTEGER) AS rk, beam, token, {rd('cs')} AS cs FROM ("
+    "SELECT *, row_number() OVER (PARTITION BY sent_id ORDER BY cs DESC, beam, token) AS rk FROM ("
+    "SELECT s.sent_id, s.beam, r.token, s.score + r.logp9 AS cs FROM nx s JOIN ranked r ON r.prev = s.tokens[-1] "
+    f"AND r.succ_rank <= 2 * 4 + len({banned_sql('s.tokens', 3)}) + 1 "
+    f"WHERE NOT list_contains({banned_sql('s.tokens', 3)}, r.token))) WHERE rk <= 8"
 )
 GRID = ("(VALUES (0, 1, 0, 0.6), (1, 1, 3, 0.6), (2, 2, 0, 0.6), (3, 2, 3, 0.6), (4, 4, 0, 0.6), (5, 4, 3, 0.6), "
         "(6, 6, 0, 0.6), (7, 6, 3, 0.6), (8, 4, 3, 0.0), (9, 4, 3, 0.6), (10, 4, 3, 1.0)) AS g(cfg, k, ngram, alpha)")
@@ -571,6 +587,88 @@ ORACLE["cross_param_grid"] = w(PAIRS, PREP) + (
 )
 
 
+
+
+def beam_cte(max_len: int = 160) -> str:
+    """Beam search of ``bseeds(cfg, sent_id, tokens, k, ngram, alpha)`` over ``ranked``: one
+    round per recursion; ``beams`` holds every alive and finished hypothesis."""
+    return f"""beams AS (
+  SELECT cfg, sent_id, k, ngram, alpha, tokens, 0.0::DOUBLE AS score, 0 AS beam, 0 AS nfin, 'alive' AS kind,
+         NULL::DOUBLE AS norm, 0 AS step, 0 AS rk FROM bseeds
+  UNION ALL
+  (WITH a AS (SELECT *, {banned_sql('tokens', 'ngram')} AS ban FROM beams WHERE kind = 'alive'),
+  c AS (SELECT a.*, r.token, a.score + r.logp9 AS cs FROM a JOIN ranked r
+        ON r.prev = a.tokens[-1] AND r.succ_rank <= 2 * a.k + len(a.ban) + 1
+        WHERE len(a.tokens) < {max_len} AND NOT (len(a.tokens) = 1 AND r.token = '[EOS]') AND NOT list_contains(a.ban, r.token)),
+  o AS (SELECT *, row_number() OVER (PARTITION BY cfg, sent_id ORDER BY cs DESC, beam, token) AS pos FROM c),
+  e AS (SELECT *, coalesce(sum(CASE WHEN token <> '[EOS]' THEN 1 ELSE 0 END) OVER (PARTITION BY cfg, sent_id ORDER BY pos
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead FROM o WHERE pos <= 2 * k),
+  p AS (SELECT *, nfin + sum(CASE WHEN token = '[EOS]' THEN 1 ELSE 0 END) OVER (PARTITION BY cfg, sent_id) AS fins FROM e WHERE ahead < k)
+  SELECT cfg, sent_id, k, ngram, alpha, list_append(tokens, token), cs, CAST(ahead AS INTEGER), CAST(fins AS INTEGER), 'alive',
+         NULL::DOUBLE, step + 1, 0 FROM p WHERE token <> '[EOS]' AND fins < k
+  UNION ALL
+  SELECT cfg, sent_id, k, ngram, alpha, list_append(tokens, token), cs, 0, 0, 'done',
+         cs / pow((5.0 + len(tokens) + 1) / 6.0, alpha), step + 1, CAST(pos AS INTEGER) FROM p WHERE token = '[EOS]'
+  UNION ALL
+  SELECT cfg, sent_id, k, ngram, alpha, tokens, score, 0, 0, 'done', score / pow((5.0 + len(tokens)) / 6.0, alpha), step + 1, 0
+  FROM a WHERE beam = 0 AND nfin = 0 AND NOT EXISTS (SELECT 1 FROM p WHERE p.cfg = a.cfg AND p.sent_id = a.sent_id))),
+beamed AS (SELECT cfg, sent_id, tokens, norm FROM beams WHERE kind = 'done'
+  QUALIFY row_number() OVER (PARTITION BY cfg, sent_id ORDER BY norm DESC, step, rk) = 1)"""
+
+
+def hyp_text(tokens: str) -> str:
+    return detok_sql(f"array_to_string(list_filter({tokens}, lambda t: t NOT IN ('[SOS]', '[EOS]')), ' ')")
+
+
+ONE = "bseeds AS (SELECT 0 AS cfg, sent_id, tokens, 4 AS k, 3 AS ngram, 0.6::DOUBLE AS alpha FROM seeds)"
+R0 = "WITH RECURSIVE " + ",\n".join([PAIRS, PREP, BIGRAM, SEEDS, ONE, beam_cte(), GREEDY])
+ORACLE["beam_decode"] = R0 + f"\nSELECT sent_id, tokens, {rd('norm')} AS norm FROM beamed"
+ORACLE["compare_methods"] = R0 + (
+    f"\nSELECT s.sent_id, k.src AS source, k.tgt AS target, {hyp_text('g.tokens')} AS greedy, {hyp_text('b.tokens')} AS beam "
+    "FROM (SELECT sent_id FROM seeds ORDER BY sent_id LIMIT 5) s JOIN kept k ON k.pair_id = s.sent_id "
+    "JOIN greedy g ON g.sent_id = s.sent_id JOIN beamed b ON b.sent_id = s.sent_id"
+)
+SWEEP = [
+    f"bseeds AS (SELECT CAST(g.cfg AS INTEGER) AS cfg, s.sent_id, s.tokens, g.k, g.ngram, g.alpha::DOUBLE AS alpha FROM seeds s, {GRID})",
+    beam_cte(), GREEDY,
+    "hyps AS (SELECT cfg, sent_id, tokens FROM beamed UNION ALL SELECT -1, sent_id, tokens FROM greedy)",
+    f"hr AS MATERIALIZED (SELECT h.cfg || ':' || h.sent_id AS hid, h.cfg, {hyp_text('h.tokens')} AS hyp, k.tgt AS ref "
+    "FROM hyps h JOIN kept k ON k.pair_id = h.sent_id)",
+    f"tk AS MATERIALIZED (SELECT hid, cfg, {tok13a('hyp')} AS hyp_tokens, {tok13a('ref')} AS ref_tokens FROM hr)",
+    *matches_ctes("tk", key="hid", by="cfg"),
+    f"scored AS ({bleu_select('cfg')})",
+]
+ORACLE["bleu_sweep"] = "WITH RECURSIVE " + ",\n".join([PAIRS, PREP, BIGRAM, SEEDS, *SWEEP]) + (
+    "\nSELECT CAST(s.cfg AS INTEGER) AS cfg, CASE WHEN s.cfg = -1 THEN 'greedy' ELSE 'beam' END AS method, "
+    "CAST(coalesce(g.k, 1) AS INTEGER) AS k, CAST(coalesce(g.ngram, 0) AS INTEGER) AS ngram, "
+    f"CAST(coalesce(g.alpha, 0.0) AS DOUBLE) AS alpha, s.bleu FROM scored s LEFT JOIN {GRID} ON g.cfg = s.cfg"
+)
+SUBWORD = [
+    "tv AS MATERIALIZED (SELECT list(token ORDER BY id) AS names FROM t_vocab)",
+    "sv AS MATERIALIZED (SELECT list(token ORDER BY id) AS names FROM s_vocab)",
+    BIGRAM.replace(
+        f"['[SOS]'] || regexp_extract_all(tgt, '{PRETOK}') || ['[EOS]'] AS s FROM kept WHERE",
+        "['[SOS]'] || list_transform(tgt_ids, lambda i: names[i + 1]) || ['[EOS]'] AS s FROM encoded, tv WHERE"),
+    "first AS (SELECT pair_id AS sent_id, src, sv.names[src_ids[1] + 1] AS token, tv.names AS known FROM encoded, sv, tv WHERE split = 'val')",
+    "bseeds AS (SELECT 0 AS cfg, sent_id, ['[SOS]', CASE WHEN list_contains(known, token) THEN token ELSE '[UNK]' END] AS tokens, "
+    "4 AS k, 3 AS ngram, 0.6::DOUBLE AS alpha FROM first)",
+    beam_cte(),
+]
+SPECIAL_LIST = "('[UNK]', '[PAD]', '[CLS]', '[SEP]', '[EOS]', '[SOS]', '[BOS]', '[MASK]')"
+SUBWORD_TEXT = f"replace(array_to_string(list_filter(b.tokens, lambda t: t NOT IN {SPECIAL_LIST}), ''), '</w>', ' ')"
+ORACLE["translate_batch"] = "WITH RECURSIVE " + ",\n".join([PAIRS, PREP, *ENC2, *SUBWORD]) + (
+    f"\nSELECT f.sent_id, {wc('f.src')} > 40 AS over_length, {detok_sql(strip(SUBWORD_TEXT))} AS text "
+    "FROM beamed b JOIN first f ON f.sent_id = b.sent_id"
+)
+ORACLE["roundtrip"] = w(PAIRS, PREP, *bpe_ctes(TRAIN_SRC, M), KEPT_SRC, *encode_ctes("kept_src", M)) + (
+    f"SELECT {rd('avg(CASE WHEN back = want THEN 1.0 ELSE 0.0 END)')} AS rate, CAST(count(*) AS BIGINT) AS rows FROM ("
+    f"SELECT {detok_sql(strip("replace(coalesce(d.t, ''), '</w>', ' ')"))} AS back, "
+    f"{detok_sql(f"array_to_string(regexp_extract_all(k.src, '{PRETOK}'), ' ')")} AS want "
+    "FROM kept k LEFT JOIN (SELECT e.pair_id, string_agg(v.token, '' ORDER BY e.i, e.j) AS t "
+    "FROM enc_sym e JOIN vocab v ON v.id = e.id WHERE e.id >= 8 GROUP BY e.pair_id) d USING (pair_id))"
+)
+
+
 # ----------------------------------------------------------------- metrics, stores, attention analysis, stream
 ORACLE["metric_log"] = w(METRICS) + "SELECT tag, step, value FROM metrics WHERE step % 50 = 0"
 ORACLE["epoch_loss"] = w(METRICS) + (
@@ -587,11 +685,13 @@ ORACLE["batch_loss_mean"] = w(LOGITS) + (
     f"SELECT label, {log_softmax_sql('logits')} AS lp, (row_number() OVER (ORDER BY vec_id) - 1) // 64 AS batch_id FROM lg) "
     "WHERE label <> 1 AND batch_id < 100 GROUP BY batch_id)"
 )
-ORACLE["corpus_stats"] = w(PAIRS, PREP) + (
+ORACLE["corpus_stats"] = L0 + (
     f"SELECT split, CAST(count(*) AS BIGINT) AS pairs, CAST(sum({wc('src')}) AS BIGINT) AS src_words, "
     f"CAST(sum({wc('tgt')}) AS BIGINT) AS tgt_words, CAST(max({wc('src')}) AS INTEGER) AS max_src_words, "
-    f"CAST(max({wc('tgt')}) AS INTEGER) AS max_tgt_words, {rd(f'avg({wc(chr(115) + chr(114) + chr(99))})')} AS avg_src_words "
-    "FROM kept GROUP BY split"
+    f"CAST(max({wc('tgt')}) AS INTEGER) AS max_tgt_words, {rd(f"avg({wc('src')})")} AS avg_src_words, "
+    "CAST(sum(len(src_ids)) AS BIGINT) AS src_tokens, CAST(sum(len(tgt_ids)) AS BIGINT) AS tgt_tokens, "
+    "CAST(max(len(src_ids)) AS INTEGER) AS max_src_tokens, CAST(max(len(tgt_ids)) AS INTEGER) AS max_tgt_tokens "
+    "FROM encoded GROUP BY split"
 )
 ORACLE["vocab_lookup"] = w(PAIRS, PREP, *bpe_ctes(TRAIN_SRC, M)) + (
     "SELECT o.pair_id, CAST(o.pos AS INTEGER) AS pos, o.token, CAST(coalesce(v.id, 0) AS INTEGER) AS id, "
@@ -644,8 +744,6 @@ ORACLE["attn_valid"] = ATT + (
     f"SELECT a.seq_id, a.head, a.row, a.\"column\", {rd('a.value')} AS value FROM attn a JOIN vl ON vl.seq_id = a.seq_id "
     "WHERE a.type = 'encoder' AND a.\"column\" < vl.valid_len"
 )
-ORACLE["stream_prepare"] = w(PAIRS, NOISY) + (
-    f"SELECT pair_id, src, tgt FROM (SELECT pair_id, {strip('src')} AS src, "
-    f"{strip(f"regexp_replace(tgt, '{NOISE}', '', 'g')")} AS tgt FROM noisy) "
-    f"WHERE {wc('src')} BETWEEN 1 AND 40 AND {wc('tgt')} BETWEEN 1 AND 40"
+ORACLE["stream_prepare"] = L0 + (
+    f"SELECT pair_id, {enc_in('src_ids')} AS encoder_input, {dec_in('tgt_ids')} AS decoder_input, {lab('tgt_ids')} AS labels FROM fit"
 )

@@ -1,49 +1,50 @@
-"""Corpus preparation: sample → clean → word filter → split (→ token filter), and the
-per-stage funnel computed in one pass."""
+"""Corpus preparation: (sample ->) clean -> word filter -> split (-> token filter),
+and the rows left after each stage.
+
+Nothing is materialised: the sample and the split are cuts in a seeded hash order,
+found by narrow jobs over ids and applied as literals to the raw plan.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bitext.config import DEFAULT, Params
 from bitext.operators import ranking as R
-from bitext.operators.clean import clean_pairs, word_count_flag
-from bitext.operators.sample import split_exact
-
+from bitext.operators.clean import MAX_WORDS, clean_pairs, filter_word_count, word_count_flag
+from bitext.operators.sample import SEED, TRAIN_FRACTION, split_exact
 
-def prepare_flags(pairs: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    """Every input row with flags ``sampled``, ``kept`` and its ``split`` (null when
-    not kept).  No stage filters rows, so one aggregate can count them all."""
-    from bitext.session import checkpoint_dir
+#: Pairs that the sampling stage of the funnel draws (its feature; no other query samples).
+SAMPLE_PAIRS = 300_000
 
-    checkpoint_dir(pairs.sparkSession)
-    # the input is read by several small cut jobs: write it once to the shared
-    # checkpoint folder instead of re-deriving it from raw text for each job
-    base = pairs.persist()
-    base = base.checkpoint()
-    d = R.hash_first_n(base, "pair_id", p.seed, p.num_samples, flag="sampled")
-    d = clean_pairs(d)
-    d = d.withColumn("kept", F.col("sampled") & word_count_flag("src", "tgt", p.max_words))
-    d = d.checkpoint()
-    return split_exact(d, "pair_id", p.train_fraction, p.seed, among=F.col("kept"))
 
+def prepare(pairs: DataFrame, num_samples: int | None = None, max_words: int = MAX_WORDS,
+            fraction: float = TRAIN_FRACTION, seed=SEED) -> DataFrame:
+    """Kept pairs ``(pair_id, src, tgt, split)`` of all pairs, or of ``num_samples`` of them."""
+    base = pairs if num_samples is None else R.hash_first_n(pairs, "pair_id", seed, num_samples)
+    return split_exact(filter_word_count(clean_pairs(base), max_words), "pair_id", fraction, seed)
 
-def prepare(pairs: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    """Kept pairs ``(pair_id, src, tgt, split)``."""
-    return prepare_flags(pairs, p).where("kept").drop("sampled", "kept")
 
+def funnel(pairs: DataFrame, num_samples: int = SAMPLE_PAIRS, max_words: int = MAX_WORDS, seed=SEED,
+           encode=None, seq_len: int | None = None) -> DataFrame:
+    """``(stage, rows)``: rows left after each stage.
 
-def funnel(pairs: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    """``(stage, rows)``: rows left after each stage, counted in one aggregate pass."""
-    d = prepare_flags(pairs, p)
-    agg = d.agg(
+    ``encode(kept)`` adds ``src_ids`` and ``tgt_ids`` to the kept pairs; the token
+    stage counts the pairs of each split whose ids fit ``seq_len``.
+    """
+    d = R.hash_first_n(pairs, "pair_id", seed, num_samples, flag="sampled")
+    d = clean_pairs(d).withColumn("kept", F.col("sampled") & word_count_flag("src", "tgt", max_words))
+    counts = d.agg(
         F.count(F.lit(1)).alias("input"),
         F.count_if(F.col("sampled")).alias("sampled"),
         F.count_if(F.col("kept")).alias("word_filter"),
-        F.count_if(F.col("split") == "train").alias("train"),
-        F.count_if(F.col("split") == "val").alias("val"),
-    )
-    return agg.unpivot([], ["input", "sampled", "word_filter", "train", "val"], "stage", "rows").select(
-        "stage", F.col("rows").cast("bigint").alias("rows")
-    )
+    ).unpivot([], ["input", "sampled", "word_filter"], "stage", "rows")
+    kept = prepare(pairs, num_samples, max_words, seed=seed)
+    split = F.col("split")
+    stages = {"train": split == "train", "val": split == "val"}
+    if encode is not None:
+        kept = encode(kept)
+        fits = (F.size("src_ids") <= seq_len - 2) & (F.size("tgt_ids") <= seq_len - 2)
+        stages |= {"train_tokens": (split == "train") & fits, "val_tokens": (split == "val") & fits}
+    late = kept.agg(*[F.count_if(c).alias(n) for n, c in stages.items()]).unpivot([], list(stages), "stage", "rows")
+    return counts.unionByName(late).select("stage", F.col("rows").cast("bigint").alias("rows"))

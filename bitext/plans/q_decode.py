@@ -4,15 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from bitext.config import DEFAULT
+from bitext.config import END_OF_WORD, SPECIAL_TOKENS, UNK_ID
 from bitext.functions import text as T
+from bitext.functions.layout import SEQ_LEN
+from bitext.functions.vectors import LENGTH_PENALTY
 from bitext.operators import bleu as BL
+from bitext.operators import bpe as B
+from bitext.operators import clean as C
 from bitext.operators import decode as D
+from bitext.operators.sample import argmax
 from bitext.plans.catalog import query, r6
 from bitext.plans.q_prepare import kept_split
+from bitext.plans.q_tokenize import tokenizers
 
-P = DEFAULT
-MAX_LEN = P.seq_len  # decode budget in tokens, SOS included (as the reference)
+MAX_LEN = SEQ_LEN  # decode budget in tokens, SOS included (as the reference)
 # The sweep grid (beam size x n-gram block, then length penalty at beam 4).
 GRID_BEAMS = (1, 2, 4, 6)
 GRID_NGRAMS = (0, 3)
@@ -35,8 +40,8 @@ def scorer(spark, sf):
     return D.BigramScorer(scores(spark, sf), keep=KEEP)
 
 
-def seeds(spark, sf, cfg: int = 0, k: int = P.beam_size, ngram: int = P.no_repeat_ngram,
-          alpha: float = P.length_penalty):
+def seeds(spark, sf, cfg: int = 0, k: int = D.BEAM_SIZE, ngram: int = D.NO_REPEAT_NGRAM,
+          alpha: float = LENGTH_PENALTY):
     """Validation pairs; decoding starts from ``[SOS, first source pre-token]``."""
     val = kept_split(spark, sf).where(F.col("split") == "val")
     tokens = F.array(F.lit(D.SOS), F.element_at(T.pretokenize("src"), 1))
@@ -79,14 +84,16 @@ def q_score_table(spark, sf):
 
 @query("argmax_token")
 def q_argmax_token(spark, sf):
-    return D.BigramScorer(scores(spark, sf)).best_next()
+    return argmax(scores(spark, sf), "prev", "cnt", "token")
 
 
 @query("topk_candidates")
 def q_topk(spark, sf):
-    return D.top_successors(scores(spark, sf), 2 * P.beam_size).select(
-        "prev", "token", "cnt", F.col("succ_rank").cast("int").alias("succ_rank")
-    )
+    """The best 2k continuations of each sentence in its second round, over all its beams."""
+    sc = scorer(spark, sf)
+    nxt = D.beam_step(D.start_state(seeds(spark, sf)), sc, 1, MAX_LEN).where("live")
+    top = D.top_candidates(D.expand(nxt, sc, MAX_LEN).where("token is not null"))
+    return top.select("sent_id", F.col("pos").cast("int").alias("rk"), "beam", "token", r6("cs").alias("cs"))
 
 
 @query("greedy_decode")
@@ -110,34 +117,29 @@ def q_repeat_rate(spark, sf):
 def q_ngram_block(spark, sf):
     ks = kept_split(spark, sf)
     seq = F.concat(F.array(F.lit(D.SOS)), T.pretokenize("tgt"))
-    return ks.select("pair_id", F.array_sort(D.banned_tokens(seq, P.no_repeat_ngram)).alias("banned"))
+    return ks.select("pair_id", F.array_sort(D.banned_tokens(seq, D.NO_REPEAT_NGRAM)).alias("banned"))
 
 
 def _expand(spark, sf):
-    s = seeds(spark, sf)
-    alive = s.select("cfg", "sent_id", "k", "ngram", "alpha", "tokens", F.lit(0.0).alias("score"),
-                     F.lit(0).alias("beam"), F.lit(0).alias("nfin"))
-    return alive, D.expand(alive, scorer(spark, sf))
+    """Candidates of the first round (rows without a token left out)."""
+    return D.expand(D.start_state(seeds(spark, sf)), scorer(spark, sf), MAX_LEN).where("token is not null")
 
 
 @query("beam_expand")
 def q_beam_expand(spark, sf):
-    _, c = _expand(spark, sf)
-    return c.select("sent_id", "beam", "token", r6("cs").alias("cs"))
+    return _expand(spark, sf).select("sent_id", "beam", "token", r6("cs").alias("cs"))
 
 
 @query("beam_split")
 def q_beam_split(spark, sf):
-    _, c = _expand(spark, sf)
-    sp = D.split_candidates(c)
-    return sp.select("sent_id", F.col("rk").cast("int").alias("rk"), "token", "is_eos",
+    sp = D.split_candidates(_expand(spark, sf))
+    return sp.select("sent_id", F.col("pos").cast("int").alias("rk"), "token", "is_eos",
                      F.col("alive_before").cast("int").alias("alive_before"), r6("cs").alias("cs"))
 
 
 @query("beam_step")
 def q_beam_step(spark, sf):
-    alive, _ = _expand(spark, sf)
-    nxt, fin, fb = D.beam_step(alive, scorer(spark, sf), 1)
+    nxt = D.beam_step(D.start_state(seeds(spark, sf)), scorer(spark, sf), 1, MAX_LEN).where("live")
     return nxt.select("sent_id", F.col("beam").cast("int").alias("beam"), "tokens", r6("score").alias("score"))
 
 
@@ -147,10 +149,49 @@ def q_beam_decode(spark, sf):
     return out.select("sent_id", "tokens", r6("norm").alias("norm"))
 
 
+def subword_tokens(ids, tok):
+    """Ids of a tokenizer as token strings (specials included)."""
+    names = F.array(*[F.lit(t) for t, _ in sorted(tok.vocab.items(), key=lambda x: x[1])])
+    return F.transform(ids, lambda i: F.get(names, i))
+
+
+def translate(kept, texts, toks, method: str = "beam", k: int = D.BEAM_SIZE, ngram: int = D.NO_REPEAT_NGRAM,
+              alpha: float = LENGTH_PENALTY, seq_len: int = SEQ_LEN):
+    """Text to text: ``(sent_id, over_length, text)`` for ``texts(sent_id, text)``.
+
+    Subword encoding, cut to ``seq_len - 2`` ids, greedy or beam decoding over
+    subwords, decoding to text, detokenising.  The stand-in scorer is a bigram
+    model of the target side's subwords; it starts from the first source subword
+    (``[UNK]`` where the target side lacks it).
+    """
+    src, tgt = toks["src"], toks["tgt"]
+    train = kept.where(F.col("split") == "train").select(
+        F.concat(F.array(F.lit(D.SOS)), subword_tokens(B.encode_col(F.col("tgt"), tgt), tgt), F.array(F.lit(D.EOS))).alias("tokens"))
+    sc = D.BigramScorer(D.bigram_scores(train), keep=KEEP)
+    ids = C.truncate_ids(B.encode_col(T.ustrip("text"), src), seq_len - 2)
+    first = F.get(subword_tokens(ids, src), F.lit(0))
+    known = F.array(*[F.lit(t) for t in tgt.vocab])
+    seed = F.when(F.array_contains(known, first), first).otherwise(F.lit(SPECIAL_TOKENS[UNK_ID]))
+    start = texts.select(
+        F.lit(0).alias("cfg"), "sent_id", C.over_length_col("text").alias("over_length"),
+        F.array(F.lit(D.SOS), seed).alias("tokens"),
+        F.lit(k).alias("k"), F.lit(ngram).alias("ngram"), F.lit(float(alpha)).alias("alpha"))
+    if method == "greedy":
+        out = D.greedy(start, sc, seq_len, keys=("sent_id",))
+    elif method == "beam":
+        out = D.beam_search(start, sc, seq_len)
+    else:
+        raise ValueError(method)
+    plain = F.filter("tokens", lambda t: ~t.isin(*SPECIAL_TOKENS))
+    text = T.detok(T.ustrip(F.replace(F.array_join(plain, ""), F.lit(END_OF_WORD), F.lit(" "))))
+    return out.join(start.select("sent_id", "over_length"), "sent_id").select("sent_id", "over_length", text.alias("text"))
+
+
 @query("translate_batch")
 def q_translate(spark, sf):
-    out = D.beam_search(seeds(spark, sf), scorer(spark, sf), MAX_LEN)
-    return out.select("sent_id", text_of(F.col("tokens")).alias("text"))
+    kept = kept_split(spark, sf)
+    texts = kept.where(F.col("split") == "val").select(F.col("pair_id").alias("sent_id"), F.col("src").alias("text"))
+    return translate(kept, texts, tokenizers(kept))
 
 
 @query("compare_methods")

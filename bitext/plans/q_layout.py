@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from bitext.config import DEFAULT
 from bitext.functions import layout as L
 from bitext.operators import layout as LO
 from bitext.operators import sample as S
@@ -12,8 +11,7 @@ from bitext.operators.clean import filter_token_length, truncate_ids, validate_f
 from bitext.plans.catalog import query
 from bitext.plans.q_tokenize import encoded_pairs
 
-P = DEFAULT
-SEQ = P.seq_len
+SEQ = L.SEQ_LEN
 
 
 def fit_pairs(spark, sf):
@@ -53,16 +51,9 @@ def q_causal_mask(spark, sf):
 @query("decoder_mask")
 def q_decoder_mask(spark, sf):
     """Decoder mask per distinct valid length (pads are a suffix, so the length decides)."""
-    lens = fit_pairs(spark, sf).select((F.size("tgt_ids") + 1).cast("int").alias("valid_len")).distinct()
-    dec = F.concat(
-        F.array_repeat(F.lit(7).cast("int"), F.col("valid_len")),
-        F.array_repeat(F.lit(1).cast("int"), F.lit(SEQ) - F.col("valid_len")),
-    )
-    m = L.decoder_mask(dec)
-    return lens.select(
-        "valid_len",
-        F.transform(m, lambda row: F.size(F.filter(row, lambda x: x)).cast("int")).alias("row_true"),
-    )
+    rows = fit_pairs(spark, sf).select(L.decoder_input("tgt_ids", SEQ).alias("d"))
+    one = rows.groupBy(L.valid_len("d").alias("valid_len")).agg(F.min("d").alias("d"))  # at most SEQ rows
+    return one.select("valid_len", L.decoder_mask("d").alias("mask"))
 
 
 @query("model_rows")
@@ -72,15 +63,14 @@ def q_model_rows(spark, sf):
 
 def train_batches(spark, sf):
     fit = fit_pairs(spark, sf).where(F.col("split") == "train")
-    return S.assign_batches(fit, "pair_id", P.batch_size, P.seed, epoch=1)
+    return S.assign_batches(fit, "pair_id", epoch=1)
 
 
 @query("collate")
 def q_collate(spark, sf):
-    b = train_batches(spark, sf).select(
-        "batch_id", "rank", "pair_id", L.decoder_input("tgt_ids", SEQ).alias("decoder_input")
-    )
-    return LO.collate(b, cols=["pair_id", "decoder_input"])
+    """Every array of a batch: three layouts, the encoder mask and the decoder's valid lengths."""
+    rows = LO.model_rows(train_batches(spark, sf), SEQ, keep=("batch_id", "rank", "pair_id"))
+    return LO.collate(rows, cols=["pair_id", "encoder_input", "decoder_input", "labels", "encoder_mask", "decoder_valid_len"])
 
 
 @query("padding_stats")

@@ -5,24 +5,24 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from bitext.config import DEFAULT
 from bitext.functions import text as T
 from bitext.functions import vectors as V
 from bitext.operators import attention as A
 from bitext.operators import attention_stats as AS
 from bitext.operators import bpe as B
 from bitext.operators import metrics as M
+from bitext.operators.clean import filter_token_length
+from bitext.operators.layout import model_rows
 from bitext.operators.ranking import ordered_rank
 from bitext.plans.catalog import query, r6
 from bitext.plans.q_prepare import kept_split
-from bitext.plans.q_tokenize import NUM_MERGES, tokenizer, train_sentences
+from bitext.plans.q_tokenize import NUM_MERGES, encode_sides, encoded_pairs, tokenizer, tokenizers, train_sentences
 from bitext.session import scratch_path
 from bitext.sources import fixtures as X
 from bitext.sources import snapshots as SN
 from bitext.sources import vocab_store as VS
 from bitext.streaming import prepare_stream as ST
 
-P = DEFAULT
 H = 8
 N_SHOW = 20  # attention maps show at most 20 tokens per axis (a display limit)
 
@@ -30,7 +30,7 @@ N_SHOW = 20  # attention maps show at most 20 tokens per axis (a display limit)
 # ----------------------------------------------------------------- metrics
 @query("metric_log")
 def q_metric_log(spark, sf):
-    return M.log_metrics(X.metrics(spark, sf), P.log_every)
+    return M.log_metrics(X.metrics(spark, sf))
 
 
 @query("epoch_loss")
@@ -53,15 +53,15 @@ def q_batch_loss_mean(spark, sf):
     lg = X.logits(spark, sf)
     ranked = ordered_rank(lg, ["vec_id"], rank_col="rank").withColumn("batch_id", (F.col("rank") / 64).cast("bigint"))
     losses = ranked.where(F.col("label") != 1).select(
-        "batch_id", V.smoothed_ce_row(V.log_softmax("logits"), F.col("label"), P.label_smoothing).alias("loss"))
+        "batch_id", V.smoothed_ce_row(V.log_softmax("logits"), F.col("label")).alias("loss"))
     return M.batch_loss_mean(losses, 100).select(r6("loss").alias("loss"), "batches")
 
 
 @query("corpus_stats")
 def q_corpus_stats(spark, sf):
-    s = M.corpus_stats(kept_split(spark, sf))
+    s = M.corpus_stats(encoded_pairs(spark, sf))
     return s.select("split", "pairs", "src_words", "tgt_words", "max_src_words", "max_tgt_words",
-                    r6("avg_src_words").alias("avg_src_words"))
+                    r6("avg_src_words").alias("avg_src_words"), "src_tokens", "tgt_tokens", "max_src_tokens", "max_tgt_tokens")
 
 
 # ----------------------------------------------------------------- vocabulary
@@ -98,7 +98,7 @@ def q_snapshot_write(spark, sf):
     root = scratch_path(spark, "snap")
     m = M.epoch_loss(X.metrics(spark, sf))
     for v in range(3):
-        SN.write_snapshot(m.where(F.col("epoch") <= v), root, v, P.keep_last)
+        SN.write_snapshot(m.where(F.col("epoch") <= v), root, v)
     rows = [(v, SN.read_snapshot(spark, root, v).count()) for v in SN.list_versions(spark, root)]
     return spark.createDataFrame(rows, "version int, rows bigint")
 
@@ -107,7 +107,7 @@ def q_snapshot_write(spark, sf):
 def q_snapshot_read(spark, sf):
     root = scratch_path(spark, "snap")
     m = M.epoch_loss(X.metrics(spark, sf))
-    SN.write_snapshot(m, root, 0, P.keep_last)
+    SN.write_snapshot(m, root, 0)
     return SN.read_snapshot(spark, root).select("epoch", r6("loss").alias("loss"), "steps")
 
 
@@ -178,21 +178,28 @@ def q_attn_valid(spark, sf):
 # ----------------------------------------------------------------- stream
 @query("stream_prepare")
 def q_stream_prepare(spark, sf):
-    """Pairs arrive as 4 files in two drops; two availableNow runs over one
-    checkpoint give the batch result (clean + word filter) exactly once."""
+    """Pairs arrive as files in two drops; two availableNow runs over one checkpoint
+    give the batch result (clean, word filter, token filter, layout) exactly once."""
     root = scratch_path(spark, "stream")
     stage, inp, out, ck = f"{root}/stage", f"{root}/in", f"{root}/out", f"{root}/ck"
-    X.pairs_noisy(spark, sf).repartition(4, "pair_id").write.parquet(stage)
+    X.pairs_noisy(spark, sf).repartition("pair_id").write.parquet(stage)
     jvm = spark._jvm
     fs = jvm.org.apache.hadoop.fs.Path(stage).getFileSystem(spark._jsc.hadoopConfiguration())
     files = sorted(st.getPath().toString() for st in fs.listStatus(jvm.org.apache.hadoop.fs.Path(stage))
                    if st.getPath().getName().endswith(".parquet"))
     fs.mkdirs(jvm.org.apache.hadoop.fs.Path(inp))
     half = (len(files) + 1) // 2
+    toks = tokenizers(kept_split(spark, sf))
+
+    def layout(pairs):
+        enc = encode_sides(pairs.withColumn("split", F.lit(None).cast("string")), toks)
+        rows = model_rows(filter_token_length(enc))
+        return rows.select("pair_id", "encoder_input", "decoder_input", "labels")
+
     for drop in (files[:half], files[half:]):
         for f in drop:
             name = f.rsplit("/", 1)[1]
             fs.rename(jvm.org.apache.hadoop.fs.Path(f), jvm.org.apache.hadoop.fs.Path(f"{inp}/{name}"))
-        ST.prepare_stream(spark, inp, out, ck, P.max_words)
-    ST.prepare_stream(spark, inp, out, ck, P.max_words)  # idle run: nothing new, nothing redone
-    return ST.read_prepared(spark, out)
+        ST.prepare_stream(spark, inp, out, ck, layout=layout)
+    ST.prepare_stream(spark, inp, out, ck, layout=layout)  # idle run: nothing new, nothing redone
+    return spark.read.parquet(out)

@@ -4,42 +4,42 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from bitext.config import DEFAULT
 from bitext.functions import text as T
 from bitext.operators import clean as C
 from bitext.operators import sample as S
 from bitext.plans.catalog import query
-from bitext.plans.prepare import funnel, prepare
+from bitext.plans.prepare import prepare
+from bitext.session import scratch_path
 from bitext.sources import fixtures as X
-from bitext.sources.tables import normalize_pairs, sentences
+from bitext.sources.tables import PAIR_SCHEMA, normalize_pairs, read_pairs, sentences, write_pairs
 
-P = DEFAULT
 SAMPLE_N = 5000  # seeded_sample: the size of the sample is the feature
 
 
-_PREP_CACHE: dict = {}
-
 
 def kept_split(spark, sf):
-    """Kept pairs with their split (the prepared corpus).
-
-    The plan embeds the sample and split cut values found by small driver jobs;
-    it is built once per session and data folder and reused by later queries.
-    """
-    key = (id(spark), sf)
-    if key not in _PREP_CACHE:
-        _PREP_CACHE[key] = prepare(X.pairs(spark, sf), P)
-    return _PREP_CACHE[key]
+    """Kept pairs of all pairs with their split (the prepared corpus)."""
+    return prepare(X.pairs(spark, sf))
 
 
 @query("scan_pairs")
 def scan_pairs(spark, sf):
-    return X.pairs(spark, sf)
+    """Pairs stored as Parquet, JSON lines and TSV files (a third each), read back."""
+    root = scratch_path(spark, "pairs")
+    third = F.pmod(F.xxhash64("pair_id"), F.lit(3))
+    parts = []
+    for i, fmt in enumerate(("parquet", "json", "tsv")):
+        write_pairs(X.pairs(spark, sf).where(third == i), f"{root}/{fmt}", fmt)
+        parts.append(read_pairs(spark, f"{root}/{fmt}", fmt, schema=PAIR_SCHEMA))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @query("normalize_pairs")
 def q_normalize_pairs(spark, sf):
-    return normalize_pairs(X.pairs_nested(spark, sf), "src", "tgt")
+    """Half of the pairs in a nested struct, half in flat language columns."""
+    nested = X.pairs_nested(spark, sf).where("pair_id % 2 = 0")
+    flat = X.pairs(spark, sf).where("pair_id % 2 = 1").withColumnsRenamed({"src": "en", "tgt": "ar"})
+    return normalize_pairs(nested, "src", "tgt").unionByName(normalize_pairs(flat, "en", "ar"))
 
 
 @query("monolingual")
@@ -60,23 +60,18 @@ def q_strip_text(spark, sf):
 
 @query("filter_word_count")
 def q_filter_word_count(spark, sf):
-    return C.filter_word_count(X.pairs(spark, sf), P.max_words)
+    return C.filter_word_count(X.pairs(spark, sf))
 
 
 @query("over_length_flag")
 def q_over_length(spark, sf):
-    d = C.flag_over_length(X.pairs(spark, sf), P.max_words, "src")
+    d = C.flag_over_length(X.pairs(spark, sf), col="src")
     return d.select("pair_id", T.word_count("src").cast("int").alias("n_words"), "over_length")
 
 
-@query("funnel")
-def q_funnel(spark, sf):
-    return funnel(X.pairs(spark, sf), P)
-
-
 @query("seeded_sample")
 def q_seeded_sample(spark, sf):
-    return S.sample_n(X.pairs(spark, sf), "pair_id", SAMPLE_N, P.seed)
+    return S.sample_n(X.pairs(spark, sf), "pair_id", SAMPLE_N)
 
 
 @query("train_val_split")
@@ -93,7 +88,7 @@ def q_subset(spark, sf):
 @query("epoch_batches")
 def q_epoch_batches(spark, sf):
     train = kept_split(spark, sf).where(F.col("split") == "train").select("pair_id")
-    return S.assign_batches(train, "pair_id", P.batch_size, P.seed, epoch=1)
+    return S.assign_batches(train, "pair_id", epoch=1)
 
 
 @query("ordered_batches")

@@ -5,18 +5,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from bitext.config import DEFAULT
 from bitext.functions import text as T
 from bitext.operators import bpe as B
 from bitext.operators.clean import filter_token_length
 from bitext.plans.catalog import query
+from bitext.functions.layout import SEQ_LEN
+from bitext.plans.prepare import funnel
 from bitext.plans.q_prepare import kept_split
 from bitext.sources import fixtures as X
 
-P = DEFAULT
 NUM_MERGES = 10  # merges of the tokenizer the S-checked queries use
 
-_TOK_CACHE: dict = {}
+_TRAINED: dict = {}  # (application, corpus fingerprint, merges) -> tokenizers of both sides
 
 
 def train_sentences(spark, sf, side="src"):
@@ -24,16 +24,22 @@ def train_sentences(spark, sf, side="src"):
     return kept_split(spark, sf).where(F.col("split") == "train").select(F.col(side).alias("text"))
 
 
+def tokenizers(kept, num_merges=NUM_MERGES) -> dict:
+    """Tokenizers of both sides of a prepared corpus, trained in the same rounds.
+
+    Trained ones are reused only for a corpus with the same fingerprint.
+    """
+    train = kept.where(F.col("split") == "train").select("src", "tgt")
+    key = (kept.sparkSession.sparkContext.applicationId, B.corpus_fingerprint(train), num_merges)
+    if key not in _TRAINED:
+        sides = F.array(*[F.struct(F.lit(sd).alias("side"), F.col(sd).alias("text")) for sd in ("src", "tgt")])
+        both = train.select(F.inline(sides))
+        _TRAINED[key] = B.train_bpe_sides(both, num_merges=num_merges)
+    return _TRAINED[key]
+
+
 def tokenizer(spark, sf, side="src", num_merges=NUM_MERGES) -> B.Tokenizer:
-    """The tokenizer of one side; both sides are trained together in the same rounds."""
-    key = (sf, side, num_merges)
-    if key not in _TOK_CACHE:
-        ks = kept_split(spark, sf).where(F.col("split") == "train")
-        both = ks.select(F.lit("src").alias("side"), F.col("src").alias("text")).unionByName(
-            ks.select(F.lit("tgt").alias("side"), F.col("tgt").alias("text")))
-        for sd, tok in B.train_bpe_sides(both, num_merges=num_merges).items():
-            _TOK_CACHE[(sf, sd, num_merges)] = tok
-    return _TOK_CACHE[key]
+    return tokenizers(kept_split(spark, sf), num_merges)[side]
 
 
 @query("pretokenize")
@@ -80,16 +86,20 @@ def q_vocab_size(spark, sf):
     return B.vocab_table(spark, tokenizer(spark, sf)).agg(F.count(F.lit(1)).alias("vocab_size"))
 
 
-def encoded_pairs(spark, sf, num_merges=NUM_MERGES):
-    ks = kept_split(spark, sf)
-    ts, tt = tokenizer(spark, sf, "src", num_merges), tokenizer(spark, sf, "tgt", num_merges)
-    return ks.select(
+def encode_sides(kept, toks):
+    """``src_ids`` and ``tgt_ids`` beside the texts."""
+    return kept.select(
         "pair_id", "split", "src", "tgt",
-        B.encode_col(F.col("src"), ts).alias("src_ids"),
-        B.encode_col(F.col("tgt"), tt).alias("tgt_ids"),
+        B.encode_col(F.col("src"), toks["src"]).alias("src_ids"),
+        B.encode_col(F.col("tgt"), toks["tgt"]).alias("tgt_ids"),
     )
 
 
+def encoded_pairs(spark, sf, num_merges=NUM_MERGES):
+    kept = kept_split(spark, sf)
+    return encode_sides(kept, tokenizers(kept, num_merges))
+
+
 @query("bpe_encode")
 def q_bpe_encode(spark, sf):
     ks = kept_split(spark, sf)
@@ -122,7 +132,13 @@ def q_roundtrip(spark, sf):
     )
 
 
+@query("funnel")
+def q_funnel(spark, sf):
+    """Rows left after sampling, the word filter, the split and the token filter."""
+    return funnel(X.pairs(spark, sf), encode=lambda kept: encode_sides(kept, tokenizers(kept)), seq_len=SEQ_LEN)
+
+
 @query("filter_token_length")
 def q_filter_token_length(spark, sf):
     enc = encoded_pairs(spark, sf)
-    return filter_token_length(enc, P.seq_len).select("pair_id", "split")
+    return filter_token_length(enc).select("pair_id", "split")

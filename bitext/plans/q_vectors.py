@@ -4,15 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from bitext.config import DEFAULT
 from bitext.functions import text as T
 from bitext.functions import vectors as V
 from bitext.operators import attention as A
+from bitext.operators import linear as LN
 from bitext.operators.clean import filter_word_count
 from bitext.plans.catalog import query, r6, r6a
 from bitext.sources import fixtures as X
 
-P = DEFAULT
 D = 64  # embedding width of the driver table
 H = 8
 DK = D // H
@@ -65,8 +64,9 @@ def _weights(spark, n_out, n_in, salt=0):
 
 @query("linear")
 def q_linear(spark, sf):
-    w, b = _weights(spark, 8, D)
-    return X.vecs(spark, sf).select("vec_id", r6a(V.linear("vec", w, b)).alias("out"))
+    """The weights stay a table (a matrix of any size): join on the dimension, then sum."""
+    out = LN.linear(X.vecs(spark, sf), X.weight_rows(spark, 8, D, 0), "vec_id", "vec")
+    return out.select("vec_id", r6a("out").alias("out"))
 
 
 @query("feed_forward")
@@ -95,13 +95,13 @@ def q_attention_scores(spark, sf):
 @query("attention_self")
 def q_attention_self(spark, sf):
     _, outs = A.attention(X.vecs(spark, sf), "vec", H, "none", dk=DK)
-    return outs.select("seq_id", "head", "row", r6a("out").alias("out"))
+    return A.merge_heads(outs).select("seq_id", "pos", r6a("vec").alias("vec"))
 
 
 @query("attention_causal")
 def q_attention_causal(spark, sf):
-    wts, _ = A.attention(X.vecs(spark, sf), "vec", H, "causal", dk=DK)
-    return wts.select("seq_id", "head", "row", "column", r6("weight").alias("weight"))
+    _, outs = A.attention(X.vecs(spark, sf), "vec", H, "causal", dk=DK)
+    return A.merge_heads(outs).select("seq_id", "pos", r6a("vec").alias("vec"))
 
 
 @query("attention_cross")
@@ -112,7 +112,7 @@ def q_attention_cross(spark, sf):
     src = v.select("seq_id", "pos", V.layer_norm("vec").alias("src_vec"))
     valid = v.groupBy("seq_id").agg(F.count_if(F.col("label") != 1).cast("int").alias("valid_len"))
     _, outs = A.attention(v, "vec", H, "valid", kv_df=src, kv_vec="src_vec", valid=valid, dk=DK)
-    return outs.select("seq_id", "head", "row", r6a("out").alias("out"))
+    return A.merge_heads(outs).select("seq_id", "pos", r6a("vec").alias("vec"))
 
 
 @query("softmax")
@@ -129,18 +129,18 @@ def q_log_softmax(spark, sf):
 def q_smoothed_ce(spark, sf):
     """Mean label-smoothed loss over rows whose label is not PAD (1)."""
     lg = X.logits(spark, sf).where(F.col("label") != 1)
-    per = lg.select(V.smoothed_ce_row(V.log_softmax("logits"), F.col("label"), P.label_smoothing).alias("l"))
+    per = lg.select(V.smoothed_ce_row(V.log_softmax("logits"), F.col("label")).alias("l"))
     return per.agg(r6(F.avg("l")).alias("loss"), F.count(F.lit(1)).alias("rows"))
 
 
 @query("lr_schedule")
 def q_lr_schedule(spark, sf):
     m = X.metrics(spark, sf)
-    return m.select("step", F.round(V.lr_schedule(F.col("step") - 1, P.learning_rate, P.warmup_steps), 12).alias("lr"))
+    return m.select("step", F.round(V.lr_schedule(F.col("step") - 1), 12).alias("lr"))
 
 
 @query("length_penalty")
 def q_length_penalty(spark, sf):
-    k = filter_word_count(X.pairs(spark, sf), P.max_words)
+    k = filter_word_count(X.pairs(spark, sf))
     n = (T.word_count("tgt") + 2).cast("int")
-    return k.select("pair_id", n.alias("len"), r6(V.length_penalty(n, P.length_penalty)).alias("lp"))
+    return k.select("pair_id", n.alias("len"), r6(V.length_penalty(n)).alias("lp"))

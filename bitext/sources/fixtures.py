@@ -70,29 +70,6 @@ def hyp_ref(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("pair_id", hyp.alias("hyp"), F.col("tgt").alias("ref"))
 
 
-def chat_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """User turn followed by the assistant turn of the same conversation.
-
-    ``lead`` over one conversation: the window partition is one conversation,
-    bounded by its number of turns.
-    """
-    from pyspark.sql import Window
-
-    c = table(spark, sf_dir, "conversations")
-    w = Window.partitionBy("conv_id").orderBy("turn")
-    nxt = c.select(
-        "conv_id",
-        "turn",
-        "role",
-        "text",
-        F.lead("role").over(w).alias("next_role"),
-        F.lead("text").over(w).alias("next_text"),
-    )
-    return nxt.where((F.col("role") == "user") & (F.col("next_role") == "assistant")).select(
-        "conv_id", "turn", T.ustrip("text").alias("src"), T.ustrip("next_text").alias("tgt")
-    )
-
-
 def vecs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(seq_id, pos, vec_id, label, vec)``: embeddings grouped into sequences of
     12 consecutive ``vec_id`` values; floats cast to double.

@@ -18,13 +18,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+PAIR_SCHEMA = "pair_id bigint, src string, tgt string"
+_TSV = {"sep": "\t", "header": "true", "escape": '"', "nullValue": "\\N"}
+
+
+def write_pairs(pairs: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Store a pair corpus as Parquet, JSON lines or TSV (``fmt='tsv'``)."""
+    if fmt == "tsv":
+        pairs.write.options(**_TSV, ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false").csv(path)
+    else:
+        pairs.write.format(fmt).save(path)
+
+
 def read_pairs(spark: SparkSession, path: str, fmt: str = "parquet", schema=None, **options) -> DataFrame:
     """Load a pair corpus from Parquet, JSON lines or TSV (``fmt='tsv'``)."""
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
     if fmt == "tsv":
-        return reader.options(sep="\t", header=options.pop("header", "true"), **options).csv(path)
+        return reader.options(**(_TSV | options)).csv(path)
     return reader.format(fmt).options(**options).load(path)
 
 

@@ -30,9 +30,10 @@ def load_tokenizer(spark: SparkSession, path: str) -> B.Tokenizer:
 
 def get_or_build_tokenizer(spark: SparkSession, path: str, sentences: DataFrame, vocab_size: int = 16000,
                            num_merges: int | None = None, text_col: str = "text") -> tuple[B.Tokenizer, bool]:
-    """Load the stored tokenizer when its parameters equal the requested ones,
-    otherwise train and store it.  Returns ``(tokenizer, reused)``."""
-    params = {"vocab_size": vocab_size, "num_merges": num_merges, "mode": "exact"}
+    """Load the stored tokenizer when its parameters and its corpus equal the requested
+    ones, otherwise train and store it.  Returns ``(tokenizer, reused)``."""
+    corpus = B.corpus_fingerprint(sentences.select(text_col))
+    params = {"vocab_size": vocab_size, "num_merges": num_merges, "corpus": corpus}
     if _exists(spark, f"{path}/params"):
         stored = spark.read.parquet(f"{path}/params").first()["params"]
         if json.loads(stored) == params:

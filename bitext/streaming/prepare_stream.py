@@ -1,17 +1,19 @@
 """Resumable preparation as Structured Streaming.
 
-New pair files in a folder are cleaned and word-filtered (row-local operators,
-no state) and appended to a Parquet sink.  ``availableNow`` processes what has
+New pair files in a folder are cleaned, word-filtered and laid out (row-local
+operators, no state) and appended to a Parquet sink.  ``availableNow`` processes what has
 arrived and stops; the checkpoint records finished files, so a later run picks
 up only new ones.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as Ty
 
-from bitext.operators.clean import clean_pairs, filter_word_count
+from bitext.operators.clean import MAX_WORDS, clean_pairs, filter_word_count
 
 PAIR_SCHEMA = Ty.StructType([
     Ty.StructField("pair_id", Ty.LongType()),
@@ -20,16 +22,20 @@ PAIR_SCHEMA = Ty.StructType([
 ])
 
 
-def prepare_stream(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str,
-                   max_words: int = 40, schema: Ty.StructType = PAIR_SCHEMA, files_per_trigger: int = 1):
-    """Run one ``availableNow`` pass over the files not yet processed."""
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(in_dir)
-    out = filter_word_count(clean_pairs(src), max_words)
+def prepare_stream(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str, max_words: int = MAX_WORDS,
+                   schema: Ty.StructType = PAIR_SCHEMA, layout: Callable[[DataFrame], DataFrame] | None = None,
+                   files_per_trigger: int | None = None):
+    """Run one ``availableNow`` pass over the files not yet processed.
+
+    ``layout`` maps kept pairs to model rows (encode, token filter, arrays).  Without
+    ``files_per_trigger`` a micro-batch takes up to Spark's default number of files.
+    """
+    reader = spark.readStream.schema(schema)
+    if files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    out = filter_word_count(clean_pairs(reader.parquet(in_dir)), max_words)
+    out = layout(out) if layout is not None else out
     q = (out.writeStream.format("parquet").option("path", out_dir).option("checkpointLocation", checkpoint)
          .outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
     return q
-
-
-def read_prepared(spark: SparkSession, out_dir: str) -> DataFrame:
-    return spark.read.schema(PAIR_SCHEMA).parquet(out_dir)

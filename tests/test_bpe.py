@@ -9,7 +9,7 @@ from bitext.operators import bpe as B
 
 from conftest import SF001
 
-PRETOK = regex.compile(r"[\p{L}\p{N}\p{M}_]+|[^\p{L}\p{N}\p{M}_\s]+")
+PRETOK = regex.compile(r"\w+|[^\w\s]+")
 
 
 def py_train(texts, num_merges):
@@ -52,22 +52,45 @@ def test_train_matches_one_at_a_time(spark):
     assert tok.vocab["[UNK]"] == 0 and tok.vocab["[PAD]"] == 1 and tok.vocab["[EOS]"] == 4 and tok.vocab["[SOS]"] == 5
 
 
-def test_encode_paths_agree_and_decode(spark):
+def py_encode(text, tok):
+    """Merges of a word in rank order, each wherever it occurs."""
+    out = []
+    for word in PRETOK.findall(text):
+        s = list(word[:-1]) + [word[-1] + "</w>"]
+        for l, r in tok.merges:
+            i = 0
+            while i < len(s) - 1:
+                if (s[i], s[i + 1]) == (l, r):
+                    s[i : i + 2] = [l + r]
+                i += 1
+        out += [tok.vocab.get(x, 0) for x in s]
+    return out
+
+
+def test_encode_and_decode(spark):
     df, t = texts(spark)
-    tok = B.train_bpe(df, num_merges=40)
-    a = df.select(B.encode_col(F.col("text"), tok).alias("ids"))
-    old = B.INLINE_VOCAB
-    try:
-        B.INLINE_VOCAB = 10**9
-        inline = [r["ids"] for r in df.select(B.encode_col(F.col("text"), tok).alias("ids")).collect()]
-    finally:
-        B.INLINE_VOCAB = old
-    udf = [r["ids"] for r in a.collect()]
-    assert inline == udf
+    for n in (0, 40):
+        tok = B.train_bpe(df, num_merges=n)
+        rows = df.select("text", B.encode_col(F.col("text"), tok).alias("ids")).collect()
+        assert all(r["ids"] == py_encode(r["text"], tok) for r in rows)
     back = [r["x"] for r in df.select(B.decode_col(B.encode_col(F.col("text"), tok), tok).alias("x")).collect()]
     # every training word is covered by the alphabet: decoding gives the pre-tokens back
     for src, got in zip(t[:50], back[:50]):
         assert got.split() == PRETOK.findall(src)
+    nulls = spark.createDataFrame([(None,), ("",)], "text string")
+    assert [tuple(r) for r in nulls.select(B.encode_col(F.col("text"), tok).alias("i")).withColumn("d", B.decode_col(F.col("i"), tok)).collect()] == [(None, None), ([], "")]
+
+
+def test_several_hundred_merges(spark):
+    df, t = texts(spark)
+    assert B.train_bpe(df, num_merges=300).merges == py_train(t, 300)
+
+
+def test_fingerprint_tells_corpora_apart(spark):
+    df, _ = texts(spark)
+    assert B.corpus_fingerprint(df) == B.corpus_fingerprint(df.orderBy(F.desc("text")))
+    assert B.corpus_fingerprint(df) != B.corpus_fingerprint(df.limit(3))
+    assert B.train_bpe(df.limit(0), num_merges=5).merges == []
 
 
 def test_sides_trained_together_equal_alone(spark):

@@ -42,17 +42,61 @@ def test_snapshot_retention(spark):
     assert SN.read_snapshot(spark, root, 2).count() == 3
 
 
-def test_vocab_store_and_stream(spark):
-    assert QUERIES["vocab_store"](spark, SF001).count() > 8
-    s = QUERIES["stream_prepare"](spark, SF001)
-    batch = QUERIES["clean_noise"](spark, SF001)
-    from bitext.operators.clean import filter_word_count
+def test_a_reader_in_mid_swap_finds_a_version(spark, monkeypatch):
+    root = scratch_path(spark, "snaptest")
+    SN.write_snapshot(spark.range(3), root, 0)
+    seen = []
+    point = SN._point_to
+
+    def watched(spark_, root_, version):
+        seen.append(SN.read_snapshot(spark_, root_).count())  # data written, pointer not yet moved
+        point(spark_, root_, version)
+        seen.append(SN.read_snapshot(spark_, root_).count())
+
+    monkeypatch.setattr(SN, "_point_to", watched)
+    SN.write_snapshot(spark.range(8), root, 1)
+    assert seen == [3, 8] and SN.list_versions(spark, root) == [1]
+
+
+def test_vocab_store_trains_anew_for_another_corpus(spark):
+    from bitext.sources import vocab_store as VS
+
+    path = scratch_path(spark, "vocab")
+    one = spark.createDataFrame([("low lower lowest",)] * 3, "text string")
+    two = spark.createDataFrame([("new newer newest",)] * 3, "text string")
+    a, reused = VS.get_or_build_tokenizer(spark, path, one, num_merges=3)
+    assert not reused and VS.get_or_build_tokenizer(spark, path, one, num_merges=3)[1]
+    b, reused = VS.get_or_build_tokenizer(spark, path, two, num_merges=3)
+    assert not reused and a.merges != b.merges
+
+
+def test_metric_log_appends(spark):
+    from bitext.operators import metrics as M
+
+    path = scratch_path(spark, "log")
+    rows = spark.range(1, 201).selectExpr("'t' AS tag", "id AS step", "cast(id AS double) AS value")
+    for _ in range(2):
+        M.log_metrics(rows, 50, path)
+    assert spark.read.parquet(path).count() == 8
+
+
+def test_linear_table_equals_literals(spark):
+    from bitext.functions import vectors as V
+    from bitext.operators import linear as LN
 
-    want = filter_word_count(batch, 40)
-    assert s.count() == want.count() == s.distinct().count()
-    assert s.exceptAll(want).count() == 0
+    w = [[1.0, 2.0, -1.0], [0.5, 0.0, 4.0]]
+    df = spark.createDataFrame([(1, [1.0, 2.0, 3.0]), (2, [0.0, -1.0, 1.0])], "k int, v array<double>")
+    table = spark.createDataFrame([(i, x, float(i)) for i, x in enumerate(w)], "out int, w array<double>, b double")
+    want = sorted((r["k"], r["o"]) for r in df.select("k", V.linear("v", w, [0.0, 1.0]).alias("o")).collect())
+    assert sorted(map(tuple, LN.linear(df, table, "k", "v").collect())) == want
+    LN.BROADCAST_CELLS, old = 0, LN.BROADCAST_CELLS
+    try:
+        assert sorted(map(tuple, LN.linear(df, table, "k", "v").collect())) == want
+    finally:
+        LN.BROADCAST_CELLS = old
 
 
-def test_rows_only_queries_run(spark):
-    for name in ("roundtrip", "compare_methods", "translate_batch"):
-        assert QUERIES[name](spark, SF001).count() > 0
+def test_clipped_matches(spark):
+    df = spark.createDataFrame([(["the"] * 7, ["the", "cat", "the"]), ([], ["a"]), (None, ["a"])], "h array<string>, r array<string>")
+    got = [r["m"] for r in df.select(BL.clipped_matches(F.col("h"), F.col("r")).alias("m")).collect()]
+    assert got == [[2, 0, 0, 0], [0] * 4, [0] * 4]

@@ -9,7 +9,9 @@ from conftest import SF001
 
 NAMES = ["funnel", "train_val_split", "epoch_batches", "word_freq", "bpe_train", "bpe_encode",
          "model_rows", "corpus_bleu", "attention_causal", "smoothed_ce", "beam_step", "greedy_decode",
-         "attn_entropy", "running_loss"]
+         "attn_entropy", "running_loss", "scan_pairs", "normalize_pairs", "collate", "decoder_mask", "attention_self",
+         "linear", "corpus_stats", "stream_prepare", "topk_candidates", "beam_decode", "translate_batch",
+         "compare_methods", "roundtrip", "vocab_store", "snapshot_write", "ordered_batches", "detok"]
 
 
 def norm(v):
