@@ -117,7 +117,8 @@ def q_repeat_rate(spark, sf):
 def q_ngram_block(spark, sf):
     ks = kept_split(spark, sf)
     seq = F.concat(F.array(F.lit(D.SOS)), T.pretokenize("tgt"))
-    return ks.select("pair_id", F.array_sort(D.banned_tokens(seq, D.NO_REPEAT_NGRAM)).alias("banned"))
+    ks = ks.select("pair_id", seq.alias("tokens"))
+    return ks.select("pair_id", F.array_sort(D.banned_tokens("tokens", D.NO_REPEAT_NGRAM)).alias("banned"))
 
 
 def _expand(spark, sf):
