@@ -67,6 +67,11 @@ def word_count(col) -> Column:
     return F.size(words(col))
 
 
+def has_words(col, most: int) -> Column:
+    """Whether a text has 1 to ``most`` words: one possessive pattern, no arrays."""
+    return F.rlike(_c(col), F.lit(rf"^[{SPACE}]*+(?:[^{SPACE}]++[{SPACE}]*+){{1,{most}}}\z"))
+
+
 def pretokenize(col) -> Column:
     """Runs of word characters, or runs of other non-space characters; case kept."""
     return F.regexp_extract_all(_c(col), F.lit(PRETOK), 0)

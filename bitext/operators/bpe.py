@@ -190,9 +190,19 @@ def train_bpe_sides(sentences: DataFrame, num_merges: int | None = None, vocab_s
     sides come back in one bounded collect (sides x candidates rows).  Pair counts
     are written to the shared folder each round, words every ``rewrite_every``.
     """
+    return train_on_words(side_words(sentences, text_col, side_col), num_merges, vocab_size, candidates, rewrite_every)
+
+
+def side_words(sentences: DataFrame, text_col: str = "text", side_col: str = "side") -> DataFrame:
+    """``(side, word, freq, s)``: counted word types with their symbol strings, written once."""
     toks = sentences.select(F.col(side_col).alias("side"), F.explode(T.pretokenize(text_col)).alias("word"))
     wf = toks.groupBy("side", "word").agg(F.count(F.lit(1)).alias("freq"))
-    ws = written(wf.select("side", "word", "freq", symbol_string("word").alias("s")), "bpe-words")
+    return written(wf.select("side", "word", "freq", symbol_string("word").alias("s")), "bpe-words")
+
+
+def train_on_words(ws: DataFrame, num_merges: int | None = None, vocab_size: int = 16000,
+                   candidates: int = 256, rewrite_every: int = 8) -> dict:
+    """The rounds of ``train_bpe_sides`` on its word types."""
     al = ws.select("side", F.explode(initial_symbols("word")).alias("symbol")).distinct().collect()
     sides = sorted({r["side"] for r in al})
     alpha = {sd: sorted((r["symbol"] for r in al if r["side"] == sd), key=lambda x: x.encode("utf-8")) for sd in sides}

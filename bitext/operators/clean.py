@@ -18,13 +18,11 @@ def clean_pairs(pairs: DataFrame, noise: str = T.NOISE, src: str = "src", tgt: s
 
 def filter_word_count(pairs: DataFrame, max_words: int = MAX_WORDS, src: str = "src", tgt: str = "tgt") -> DataFrame:
     """Keep ``0 < words(src) <= max_words and 0 < words(tgt) <= max_words``."""
-    return pairs.where(
-        T.word_count(src).between(1, max_words) & T.word_count(tgt).between(1, max_words)
-    )
+    return pairs.where(word_count_flag(src, tgt, max_words))
 
 
 def word_count_flag(src: str = "src", tgt: str = "tgt", max_words: int = MAX_WORDS):
-    return T.word_count(src).between(1, max_words) & T.word_count(tgt).between(1, max_words)
+    return T.has_words(src, max_words) & T.has_words(tgt, max_words)
 
 
 def filter_token_length(encoded: DataFrame, seq_len: int = SEQ_LEN,

@@ -60,9 +60,10 @@ def hash_cut(df: DataFrame, key: str, seed, n: int | None = None, fraction: floa
 
 
 def hash_first_n(df: DataFrame, key: str, seed, n: int | None = None, flag: str | None = None,
-                 fraction: float | None = None) -> DataFrame:
-    """Rows among the first n in hash order (``flag`` given: all rows and a flag column)."""
-    cut = hash_cut(df, key, seed, n, fraction)
+                 fraction: float | None = None, ids: DataFrame | None = None) -> DataFrame:
+    """Rows among the first n in hash order (``flag`` given: all rows and a flag column);
+    ``ids``: the same keys from a narrow table."""
+    cut = hash_cut(df if ids is None else ids, key, seed, n, fraction)
     h = hash_key(seed, key)
     if cut is None:
         cond = F.lit(True)

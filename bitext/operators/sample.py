@@ -19,13 +19,14 @@ def sample_n(df: DataFrame, key: str, n: int, seed=SEED) -> DataFrame:
 
 
 def split_exact(df: DataFrame, key: str = "pair_id", fraction: float = TRAIN_FRACTION, seed=SEED,
-                split_col: str = "split") -> DataFrame:
+                split_col: str = "split", ids: DataFrame | None = None) -> DataFrame:
     """Adds ``split`` = 'train' for exactly ``int(fraction * rows)`` rows, else 'val'.
 
     The first rows of the seeded hash order go to train; a row-local filter, so
-    nothing is shuffled.  Disjoint and complete by construction.
+    nothing is shuffled.  Disjoint and complete by construction.  ``ids`` may give the
+    rows' keys where reading them from ``df`` is dear.
     """
-    flagged = R.hash_first_n(df, key, seed, flag="_train", fraction=fraction)
+    flagged = R.hash_first_n(df, key, seed, flag="_train", fraction=fraction, ids=ids)
     return flagged.withColumn(split_col, F.when(F.col("_train"), "train").otherwise("val")).drop("_train")
 
 

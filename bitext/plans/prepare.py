@@ -1,7 +1,7 @@
 """Corpus preparation: (sample ->) clean -> word filter -> split (-> token filter),
 and the rows left after each stage.
 
-Nothing is materialised: the sample and the split are cuts in a seeded hash order,
+No text is materialised: the sample and the split are cuts in a seeded hash order,
 found by narrow jobs over ids and applied as literals to the raw plan.
 """
 
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from bitext.operators import ranking as R
 from bitext.operators.clean import MAX_WORDS, clean_pairs, filter_word_count, word_count_flag
 from bitext.operators.sample import SEED, TRAIN_FRACTION, split_exact
+from bitext.session import written
 
 #: Pairs that the sampling stage of the funnel draws (its feature; no other query samples).
 SAMPLE_PAIRS = 300_000
@@ -22,7 +23,10 @@ def prepare(pairs: DataFrame, num_samples: int | None = None, max_words: int = M
             fraction: float = TRAIN_FRACTION, seed=SEED) -> DataFrame:
     """Kept pairs ``(pair_id, src, tgt, split)`` of all pairs, or of ``num_samples`` of them."""
     base = pairs if num_samples is None else R.hash_first_n(pairs, "pair_id", seed, num_samples)
-    return split_exact(filter_word_count(clean_pairs(base), max_words), "pair_id", fraction, seed)
+    kept = filter_word_count(clean_pairs(base), max_words)
+    # the jobs that find the cut read ids only, written by one pass over the texts
+    ids = written(kept.select("pair_id"), "kept-ids")
+    return split_exact(kept, "pair_id", fraction, seed, ids=ids)
 
 
 def funnel(pairs: DataFrame, num_samples: int = SAMPLE_PAIRS, max_words: int = MAX_WORDS, seed=SEED,

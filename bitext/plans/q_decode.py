@@ -26,24 +26,24 @@ KEEP = 2 * max(GRID_BEAMS) + MAX_LEN + 1  # successors kept per token: exact for
 EXAMPLES = 5  # compare_methods shows the first rows (the feature is a short report)
 
 
-def target_sequences(spark, sf):
-    ks = kept_split(spark, sf).where(F.col("split") == "train")
+def target_sequences(kept):
+    ks = kept.where(F.col("split") == "train")
     seq = F.concat(F.array(F.lit(D.SOS)), T.pretokenize("tgt"), F.array(F.lit(D.EOS)))
     return ks.select(seq.alias("tokens"))
 
 
-def scores(spark, sf):
-    return D.bigram_scores(target_sequences(spark, sf))
+def scores(kept):
+    return D.bigram_scores(target_sequences(kept))
 
 
-def scorer(spark, sf):
-    return D.BigramScorer(scores(spark, sf), keep=KEEP)
+def scorer(kept):
+    return D.BigramScorer(scores(kept), keep=KEEP)
 
 
-def seeds(spark, sf, cfg: int = 0, k: int = D.BEAM_SIZE, ngram: int = D.NO_REPEAT_NGRAM,
+def seeds(kept, cfg: int = 0, k: int = D.BEAM_SIZE, ngram: int = D.NO_REPEAT_NGRAM,
           alpha: float = LENGTH_PENALTY):
     """Validation pairs; decoding starts from ``[SOS, first source pre-token]``."""
-    val = kept_split(spark, sf).where(F.col("split") == "val")
+    val = kept.where(F.col("split") == "val")
     tokens = F.array(F.lit(D.SOS), F.element_at(T.pretokenize("src"), 1))
     return val.select(
         F.lit(cfg).alias("cfg"), F.col("pair_id").alias("sent_id"), tokens.alias("tokens"),
@@ -79,27 +79,28 @@ def text_of(tokens):
 
 @query("score_table")
 def q_score_table(spark, sf):
-    return scores(spark, sf).select("prev", "token", "cnt", r6("logp").alias("logp"))
+    return scores(kept_split(spark, sf)).select("prev", "token", "cnt", r6("logp").alias("logp"))
 
 
 @query("argmax_token")
 def q_argmax_token(spark, sf):
-    return argmax(scores(spark, sf), "prev", "cnt", "token")
+    return argmax(scores(kept_split(spark, sf)), "prev", "cnt", "token")
 
 
 @query("topk_candidates")
 def q_topk(spark, sf):
     """The best 2k continuations of each sentence in its second round, over all its beams."""
-    sc = scorer(spark, sf)
-    nxt = D.beam_step(D.start_state(seeds(spark, sf)), sc, 1, MAX_LEN).where("live")
+    kept = kept_split(spark, sf)
+    sc = scorer(kept)
+    nxt = D.beam_step(D.start_state(seeds(kept)), sc, 1, MAX_LEN).where("live")
     top = D.top_candidates(D.expand(nxt, sc, MAX_LEN).where("token is not null"))
     return top.select("sent_id", F.col("pos").cast("int").alias("rk"), "beam", "token", r6("cs").alias("cs"))
 
 
 @query("greedy_decode")
 def q_greedy(spark, sf):
-    s = seeds(spark, sf)
-    return D.greedy(s, scorer(spark, sf), MAX_LEN, keys=("sent_id",))
+    kept = kept_split(spark, sf)
+    return D.greedy(seeds(kept), scorer(kept), MAX_LEN, keys=("sent_id",))
 
 
 @query("repeat_rate")
@@ -123,7 +124,8 @@ def q_ngram_block(spark, sf):
 
 def _expand(spark, sf):
     """Candidates of the first round (rows without a token left out)."""
-    return D.expand(D.start_state(seeds(spark, sf)), scorer(spark, sf), MAX_LEN).where("token is not null")
+    kept = kept_split(spark, sf)
+    return D.expand(D.start_state(seeds(kept)), scorer(kept), MAX_LEN).where("token is not null")
 
 
 @query("beam_expand")
@@ -140,13 +142,15 @@ def q_beam_split(spark, sf):
 
 @query("beam_step")
 def q_beam_step(spark, sf):
-    nxt = D.beam_step(D.start_state(seeds(spark, sf)), scorer(spark, sf), 1, MAX_LEN).where("live")
+    kept = kept_split(spark, sf)
+    nxt = D.beam_step(D.start_state(seeds(kept)), scorer(kept), 1, MAX_LEN).where("live")
     return nxt.select("sent_id", F.col("beam").cast("int").alias("beam"), "tokens", r6("score").alias("score"))
 
 
 @query("beam_decode")
 def q_beam_decode(spark, sf):
-    out = D.beam_search(seeds(spark, sf), scorer(spark, sf), MAX_LEN)
+    kept = kept_split(spark, sf)
+    out = D.beam_search(seeds(kept), scorer(kept), MAX_LEN)
     return out.select("sent_id", "tokens", r6("norm").alias("norm"))
 
 
@@ -198,30 +202,30 @@ def q_translate(spark, sf):
 @query("compare_methods")
 def q_compare(spark, sf):
     """Source, target, greedy and beam output side by side for the first rows."""
-    s = seeds(spark, sf)
-    first = s.orderBy("sent_id").limit(EXAMPLES)
-    sc = scorer(spark, sf)
+    kept = kept_split(spark, sf)
+    first = seeds(kept).orderBy("sent_id").limit(EXAMPLES)
+    sc = scorer(kept)
     g = D.greedy(first, sc, MAX_LEN, keys=("sent_id",)).select("sent_id", text_of(F.col("tokens")).alias("greedy"))
     b = D.beam_search(first, sc, MAX_LEN).select("sent_id", text_of(F.col("tokens")).alias("beam"))
-    val = kept_split(spark, sf).select(F.col("pair_id").alias("sent_id"), F.col("src").alias("source"),
+    val = kept.select(F.col("pair_id").alias("sent_id"), F.col("src").alias("source"),
                                        F.col("tgt").alias("target"))
     return first.select("sent_id").join(val, "sent_id").join(g, "sent_id").join(b, "sent_id")
 
 
 @query("cross_param_grid")
 def q_cross_param_grid(spark, sf):
-    return with_grid(seeds(spark, sf).drop("tokens")).select("cfg", "sent_id", "k", "ngram", "alpha")
+    return with_grid(seeds(kept_split(spark, sf)).drop("tokens")).select("cfg", "sent_id", "k", "ngram", "alpha")
 
 
 @query("bleu_sweep")
 def q_bleu_sweep(spark, sf):
     """BLEU of greedy and of every grid cell, all cells decoded in the same rounds."""
-    s = seeds(spark, sf)
-    sc = scorer(spark, sf)
+    kept = kept_split(spark, sf)
+    s, sc = seeds(kept), scorer(kept)
     beams = D.beam_search(with_grid(s), sc, MAX_LEN)
     greedy = D.greedy(s, sc, MAX_LEN, keys=("sent_id",)).select(F.lit(-1).alias("cfg"), "sent_id", "tokens")
     hyps = beams.select("cfg", "sent_id", "tokens").unionByName(greedy)
-    refs = kept_split(spark, sf).select(F.col("pair_id").alias("sent_id"), F.col("tgt").alias("ref"))
+    refs = kept.select(F.col("pair_id").alias("sent_id"), F.col("tgt").alias("ref"))
     hr = hyps.join(refs, "sent_id").select("cfg", "sent_id", text_of(F.col("tokens")).alias("hyp"), "ref")
     b = BL.corpus_bleu(hr, key="sent_id", by=["cfg"])
     grid = spark.createDataFrame([(-1, 1, 0, 0.0)] + grid_rows(), "cfg int, k int, ngram int, alpha double")

@@ -29,12 +29,11 @@ def tokenizers(kept, num_merges=NUM_MERGES) -> dict:
 
     Trained ones are reused only for a corpus with the same fingerprint.
     """
-    train = kept.where(F.col("split") == "train").select("src", "tgt")
-    key = (kept.sparkSession.sparkContext.applicationId, B.corpus_fingerprint(train), num_merges)
+    sides = F.array(*[F.struct(F.lit(sd).alias("side"), F.col(sd).alias("text")) for sd in ("src", "tgt")])
+    words = B.side_words(kept.where(F.col("split") == "train").select(F.inline(sides)))
+    key = (kept.sparkSession.sparkContext.applicationId, B.corpus_fingerprint(words), num_merges)
     if key not in _TRAINED:
-        sides = F.array(*[F.struct(F.lit(sd).alias("side"), F.col(sd).alias("text")) for sd in ("src", "tgt")])
-        both = train.select(F.inline(sides))
-        _TRAINED[key] = B.train_bpe_sides(both, num_merges=num_merges)
+        _TRAINED[key] = B.train_on_words(words, num_merges)
     return _TRAINED[key]
 
 
@@ -103,19 +102,19 @@ def encoded_pairs(spark, sf, num_merges=NUM_MERGES):
 @query("bpe_encode")
 def q_bpe_encode(spark, sf):
     ks = kept_split(spark, sf)
-    return ks.select("pair_id", B.encode_col(F.col("src"), tokenizer(spark, sf)).alias("src_ids"))
+    return ks.select("pair_id", B.encode_col(F.col("src"), tokenizers(ks)["src"]).alias("src_ids"))
 
 
 @query("bpe_encode_chars")
 def q_bpe_encode_chars(spark, sf):
     ks = kept_split(spark, sf)
-    return ks.select("pair_id", B.encode_col(F.col("src"), tokenizer(spark, sf, num_merges=0)).alias("src_ids"))
+    return ks.select("pair_id", B.encode_col(F.col("src"), tokenizers(ks, 0)["src"]).alias("src_ids"))
 
 
 @query("bpe_decode")
 def q_bpe_decode(spark, sf):
-    tok = tokenizer(spark, sf)
     ks = kept_split(spark, sf)
+    tok = tokenizers(ks)["src"]
     return ks.select("pair_id", B.decode_col(B.encode_col(F.col("src"), tok), tok).alias("text"))
 
 
@@ -126,8 +125,8 @@ def q_detok(spark, sf):
 
 @query("roundtrip")
 def q_roundtrip(spark, sf):
-    tok = tokenizer(spark, sf)
-    return B.roundtrip_rate(kept_split(spark, sf), "src", tok).select(
+    ks = kept_split(spark, sf)
+    return B.roundtrip_rate(ks, "src", tokenizers(ks)["src"]).select(
         F.round("rate", 6).alias("rate"), F.col("rows").cast("bigint").alias("rows")
     )
 

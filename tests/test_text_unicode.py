@@ -29,3 +29,10 @@ def test_strip_and_words_equal_python(df):
 def test_detok_takes_unicode_space(spark):
     df = spark.createDataFrame([("a !",), ("( a \x1c)",), ("he said ( ok ) , yes ؟ « x »",)], "t string")
     assert [r["d"] for r in df.select(T.detok("t").alias("d")).collect()] == ["a!", "(a)", "he said (ok), yes؟ «x»"]
+
+
+def test_word_bounds_by_pattern_equal_counting(spark):
+    texts = TEXTS + ["w " * n for n in (0, 1, 39, 40, 41, 5000)] + ["\n".join(["w"] * 40) + "\n", "\u2028a\u2028", None, "x" * 100_000]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r["h"] for r in df.select(T.has_words("t", 40).alias("h")).collect()]
+    assert got == [None if t is None else 1 <= len(t.split()) <= 40 for t in texts]
