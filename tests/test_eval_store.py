@@ -5,11 +5,9 @@ import math
 from pyspark.sql import functions as F
 
 from bitext.operators import bleu as BL
-from bitext.plans.catalog import QUERIES
 from bitext.session import scratch_path
 from bitext.sources import snapshots as SN
 
-from conftest import SF001
 
 
 def test_bleu_identity_is_100(spark):
