@@ -1,15 +1,18 @@
 """Main text of web pages by removal of site templates.
 
-A page is parsed into a tree; every element subtree outside the article's own
-prose gets a hash of its markup and text.  Spark counts, per host, on how many
-different pages each subtree occurs; those on a large share of a host's pages
-are the site's template and are deleted, with everything below.  What says by
+A page is parsed into a tree; every container subtree gets a hash of its markup
+and text, those inside the article with their prose too.  Spark counts, per
+host, on how many different pages each subtree occurs; those on ``MIN_PAGES`` or
+more are the site's template and are deleted, with everything below.  A passage
+that many pages quote stays if it is a bare paragraph or a block quote; a box
+around it that recurs as a whole is template.  What says by
 its tag, role, class or id that it is a menu, header, footer, sidebar, notice,
 advert, form or comment goes too.  The rest of the article is the main text.
 
 Scale: counting is a partial aggregate over (host, hash, page digest), so a host
-with a third of all pages is summed before it moves.  A host's template list is
-bounded (a subtree counts only if a fixed share of the host's pages has it).
+with a third of all pages is summed before it moves.  Only templates that occur
+inside an article are listed; up to ``BROADCAST_HASHES`` of them go to every task
+as eight bytes each, more are joined with the pages' subtrees by host and hash.
 """
 
 from __future__ import annotations
@@ -17,6 +20,7 @@ from __future__ import annotations
 import html as entities
 import re
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -25,12 +29,12 @@ from pyspark.sql import functions as F
 from bitext.llm.common import kept, map_slices, pick
 from bitext.llm.urlfilter import host_of
 
-#: A subtree is template if so many different pages of its host have it ...
+#: A subtree is template if so many different pages of its host have it.
 MIN_PAGES = 4
-#: ... and at least this share of them (which bounds a host's list).
-MIN_SHARE = 0.3
-#: Template hashes in all up to which the per-host lists are broadcast.
+#: Template hashes in all up to which they are broadcast; beyond, a shuffle join.
 BROADCAST_HASHES = 500_000
+#: Parts of a (host, hash) in that join, for templates on very many pages.
+SALTS = 16
 
 # Element names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -177,17 +181,18 @@ def subtree_hashes(root: Node) -> dict[int, int]:
     return out
 
 
-def candidates(root: Node) -> list[Node]:
-    """Elements that template removal may delete.
+def candidates(root: Node) -> list[tuple[Node, bool]]:
+    """(element, whether it is inside the article) of what template removal may delete.
 
     Outside the article every element that isn't void; inside it only
-    containers, never prose (paragraphs, headings, list items, cells) nor
-    what encloses the article: a passage that many pages quote stays.
+    containers, with the prose they hold, but never prose by itself (paragraphs,
+    headings, list items, cells), what a block quote holds, nor what encloses
+    the article: a passage that many pages quote stays.
     """
-    mains = {id(m) for m in main_nodes(root)}
-    whole = all(m.tag in ("body", "#root") for m in main_nodes(root))
+    tops = main_nodes(root)
+    mains = {id(m) for m in tops}
     above = set()
-    for m in main_nodes(root):
+    for m in tops:
         node = m.parent
         while node is not None:
             above.add(id(node))
@@ -197,22 +202,13 @@ def candidates(root: Node) -> list[Node]:
         node, inside = todo.pop()
         inside = inside or id(node) in mains
         if node is not root and id(node) not in above and id(node) not in mains and node.tag not in VOID:
-            if not inside or node.tag not in PROSE and node.tag in BLOCKS and (whole or not _has_prose(node)):
-                out.append(node)
-        todo += [(x, inside) for x in node.parts if not isinstance(x, str)]
+            if not inside or node.tag not in PROSE and node.tag in BLOCKS:
+                out.append((node, inside))
+        if not inside or node.tag != "blockquote":
+            todo += [(x, inside) for x in node.parts if not isinstance(x, str)]
     return out
 
 
-def _has_prose(node: Node) -> bool:
-    todo = [node]
-    while todo:
-        node = todo.pop()
-        if node.tag in PROSE and node.tag not in ("li", "td", "th", "dd", "dt"):
-            return True
-        todo += [x for x in node.parts if not isinstance(x, str)]
-    return False
-
-
 def text_of(root: Node, gone: set[int]) -> str:
     """Blocks of the article, one a line, without marked elements and those in ``gone``."""
     blocks: list[list[str]] = [[]]
@@ -257,8 +253,14 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >= 1 << 63 else value
 
 
+def _key(host: str, value: int) -> int:
+    """Spark's ``xxhash64(host, hash)``: one word for a template of a host."""
+    return _signed(xxhash.xxh64_intdigest(value.to_bytes(8, "little"), seed=xxhash.xxh64_intdigest(host.encode(), seed=42)))
+
+
 def subtree_counts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, hash, pages, host_pages): on how many different pages each subtree occurs.
+    """(host, hash, pages, inside): on how many different pages each subtree occurs,
+    and whether it is inside an article on any of them.
 
     Pages of a host with equal bodies count once, so copies of a page don't turn
     its text into template.
@@ -266,38 +268,58 @@ def subtree_counts(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
 
     def make():
         def run(batch: pa.RecordBatch) -> dict:
-            host, page, value = [], [], []
+            host, page, value, within = [], [], [], []
             for h, text in zip(batch["host"].to_pylist(), batch["html"].to_pylist()):
                 root = parse(text or "")
-                mains = main_nodes(root)
                 hashes = subtree_hashes(root)
-                body = xxhash.xxh64_intdigest(b"".join(hashes[id(m)].to_bytes(8, "little") for m in mains))
-                found = {hashes[id(x)] for x in candidates(root)} | {0}  # 0: the page itself
+                body = xxhash.xxh64_intdigest(b"".join(hashes[id(m)].to_bytes(8, "little") for m in main_nodes(root)))
+                found: dict[int, bool] = {}
+                for x, inside in candidates(root):
+                    found[hashes[id(x)]] = inside or found.get(hashes[id(x)], False)
                 host += [h] * len(found)
                 page += [_signed(body)] * len(found)
                 value += [_signed(x) for x in found]
-            return {"host": host, "page": page, "hash": value}
+                within += found.values()
+            return {"host": host, "page": page, "hash": value, "inside": within}
 
         return run
 
-    rows = map_slices(_rows(pages, id_col, url_col, html_col).select("host", "html"), make, "host string, page long, hash long")
-    counts = rows.distinct().groupBy("host", "hash").agg(F.count("*").alias("pages"))
-    return counts
+    rows = map_slices(
+        _rows(pages, id_col, url_col, html_col).select("host", "html"), make, "host string, page long, hash long, inside boolean"
+    )
+    return rows.distinct().groupBy("host", "hash").agg(F.count("*").alias("pages"), F.max("inside").alias("inside"))
+
+
+def templates(counts: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+    """(host, hash): the template subtrees that deleting can matter for."""
+    return counts.where((F.col("pages") >= min_pages) & F.col("inside")).select("host", "hash")
 
 
-def templates(counts: DataFrame, min_pages: int = MIN_PAGES, share: float = MIN_SHARE) -> DataFrame:
-    """(host, gone array<long>): the template subtrees of each host that has any."""
-    hosts = counts.where("hash = 0").select("host", F.col("pages").alias("host_pages"))
-    some = counts.where((F.col("hash") != 0) & (F.col("pages") >= min_pages))
-    return (
-        some.join(hosts, "host").where(F.col("pages") >= share * F.col("host_pages"))
-        .groupBy("host").agg(F.sort_array(F.collect_list("hash")).alias("gone"))
-    )
+def _gone(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """(host, at, gone): the templates on each different page, by a shuffle join."""
+
+    def make():
+        def run(batch: pa.RecordBatch) -> dict:
+            out: dict[str, list] = {"host": [], "at": [], "hash": []}
+            for host, at, page in zip(batch["host"].to_pylist(), batch["at"].to_pylist(), batch["html"].to_pylist()):
+                root = parse(page or "")
+                hashes = subtree_hashes(root)
+                own = {hashes[id(x)] for x, inside in candidates(root) if inside}
+                out["host"] += [host] * len(own)
+                out["at"] += [at] * len(own)
+                out["hash"] += [_signed(x) for x in own]
+            return out
+
+        return run
+
+    own = map_slices(rows.select("host", "at", "html"), make, "host string, at long, hash long", 128).distinct()
+    own = own.withColumn("salt", F.pmod("at", F.lit(SALTS)))
+    salted = found.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return own.join(salted, ["host", "hash", "salt"]).groupBy("host", "at").agg(F.collect_list("hash").alias("gone"))
 
 
 def extract(
-    pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-    min_pages: int = MIN_PAGES, share: float = MIN_SHARE,
+    pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_pages: int = MIN_PAGES,
 ) -> DataFrame:
     """(page_id, url, text, n_chars) for every page.
 
@@ -306,24 +328,40 @@ def extract(
     an empty result.
     """
     spark = pages.sparkSession
-    lists = kept(spark, templates(kept(spark, subtree_counts(pages, id_col, url_col, html_col), "subtrees"), min_pages, share), "templates")
-    total = lists.agg(F.sum(F.size("gone") + 1)).first()[0] or 0
-    if total <= BROADCAST_HASHES:
-        lists = F.broadcast(lists)
-    rows = _rows(pages, id_col, url_col, html_col).join(lists, "host", "left")
+    found = kept(spark, templates(subtree_counts(pages, id_col, url_col, html_col), min_pages), "templates")
+    rows = _rows(pages, id_col, url_col, html_col)
+    few = found.count() <= BROADCAST_HASHES
+    if few:
+        keys = found.select(F.xxhash64("host", "hash").alias("key")).toPandas()["key"].to_numpy(np.int64)
+        shared = spark.sparkContext.broadcast(np.sort(keys).tobytes())
+        rows = rows.select("page_id", "url", "html", "host")
+    else:
+        # a page's list may hold more of its host's templates than it needs, so 64 bits of its text do
+        rows = rows.withColumn("at", F.xxhash64("html"))
+        rows = rows.join(_gone(rows, found), ["host", "at"], "left").select("page_id", "url", "html", "gone")
 
     def make():
+        known = np.frombuffer(shared.value, np.int64) if few else None
+
+        def dropped(root: Node, host: str, gone: list[int] | None) -> set[int]:
+            if not (len(known) if few else gone):
+                return set()
+            hashes = subtree_hashes(root)
+            own = [x for x, inside in candidates(root) if inside]
+            if few:
+                keys = np.array([_key(host, hashes[id(x)]) for x in own], np.int64)
+                at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+                return {id(x) for x, hit in zip(own, known[at] == keys) if hit}
+            bad = {x & (1 << 64) - 1 for x in gone}
+            return {id(x) for x in own if hashes[id(x)] in bad}
+
         def run(batch: pa.RecordBatch) -> dict:
             texts = []
-            for page, gone in zip(batch["html"].to_pylist(), batch["gone"].to_pylist()):
+            for page, by in zip(batch["html"].to_pylist(), batch["host" if few else "gone"].to_pylist()):
                 root = parse(page or "")
-                drop: set[int] = set()
-                if gone:
-                    bad, hashes = {x & (1 << 64) - 1 for x in gone}, subtree_hashes(root)
-                    drop = {id(x) for x in candidates(root) if hashes[id(x)] in bad}
-                texts.append(text_of(root, drop))
+                texts.append(text_of(root, dropped(root, by, None) if few else dropped(root, "", by)))
             return {"page_id": batch["page_id"], "url": batch["url"], "text": texts, "n_chars": [len(t) for t in texts]}
 
         return run
 
-    return map_slices(rows.select("page_id", "url", "html", "gone"), make, "page_id long, url string, text string, n_chars long", 128)
+    return map_slices(rows, make, "page_id long, url string, text string, n_chars long", 128)

@@ -46,6 +46,20 @@ def test_article_pages_are_untouched_by_templates(spark):
     assert all(r["text"] == f"H\nSame paragraph.\n{r['page_id']}" and r["n_chars"] == len(r["text"]) for r in got)
 
 
+def test_boxes_with_prose_that_recur_in_articles_go(spark, monkeypatch):
+    """Also where each of many layouts has less than a third of the host's pages; bare passages stay."""
+    box = "<div class='x1'><p>We use cookies, version {}.</p></div>"
+    quote = "<p>A passage that many pages quote.</p><blockquote><div><p>Another one.</p></div></blockquote>"
+    pages = [(i, f"http://hot.example/{i}", f"<body><article><h1>H{i}</h1>{box.format(i % 5)}<p>Own {i}</p>{quote}</article></body>", "", "") for i in range(25)]
+    pages += [(100 + i, f"http://rare.example/{i}", f"<body><article><p>Own {i}</p>{box.format(0)}</article></body>", "", "") for i in range(3)]
+    docs = spark.createDataFrame(pages, SCHEMA).repartition(4)
+    want = {i: f"H{i}\nOwn {i}\nA passage that many pages quote.\nAnother one." for i in range(25)}
+    want |= {100 + i: f"Own {i}\nWe use cookies, version 0." for i in range(3)}
+    assert {r["page_id"]: r["text"] for r in H.extract(docs).collect()} == want
+    monkeypatch.setattr(H, "BROADCAST_HASHES", 0)
+    assert {r["page_id"]: r["text"] for r in H.extract(docs).collect()} == want
+
+
 def test_shuffled_lists_give_the_same(spark, monkeypatch):
     pages = spark.createDataFrame([(i, f"http://s/{i}", f"<body><div>Top</div><p>{i}</p></body>", "", "") for i in range(9)], SCHEMA)
     one = sorted(map(tuple, H.extract(pages).collect()))
