@@ -23,7 +23,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bitext.llm.common import kept, map_slices, pick
@@ -64,17 +64,24 @@ def fingerprint(text: str | None, size: int) -> int:
     return int(np.packbits(bits, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 4) -> DataFrame:
-    """(doc_id, fp): the 64-bit fingerprint as a signed long; null text = no words = 0."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 4, digest: bool = False) -> DataFrame:
+    """(doc_id, fp[, sum]): the 64-bit fingerprint as a signed long; null text = no words = 0.
+
+    ``sum`` (with ``digest``) tells texts apart.
+    """
 
     def make():
         def run(batch: pa.RecordBatch) -> dict:
             fps = np.array([fingerprint(t, size) for t in batch["text"].to_pylist()], np.uint64)
-            return {"doc_id": batch["doc_id"], "fp": pa.array(fps.view(np.int64))}
+            out = {"doc_id": batch["doc_id"], "fp": pa.array(fps.view(np.int64))}
+            return out | {"sum": batch["sum"]} if digest else out
 
         return run
 
-    return map_slices(pick(docs, doc_id=id_col, text=text_col), make, "doc_id long, fp long")
+    rows = pick(docs, doc_id=id_col, text=text_col)
+    if digest:
+        rows = rows.withColumn("sum", _digest(F.col("text")))
+    return map_slices(rows, make, "doc_id long, fp long" + ", sum binary" * digest)
 
 
 def segments(max_bits: int) -> list[tuple[int, int]]:
@@ -241,18 +248,55 @@ def near_duplicates(
     )
 
 
+#: Columns that tell the rows of a table apart by id and text.
+OWN = ["__none", "__id", "__sum"]
+
+
+def _row_key(docs: DataFrame, id_col: str, text_col: str) -> list[Column]:
+    number = docs[id_col].cast("long")
+    values = (number.isNull(), F.coalesce(number, F.lit(0)), _digest(docs[text_col]))
+    return [v.alias(name) for v, name in zip(values, OWN)]
+
+
+def _digest(text: Column) -> Column:
+    """128 bits of a text; a null text has no bytes at all."""
+    return F.coalesce(F.unhex(F.md5(text.cast("string").cast("binary"))), F.lit(b""))
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 4, max_bits: int = 4) -> DataFrame:
-    """The rows of ``docs`` with the smallest id of their component, all columns kept.
+    """The first row of ``docs`` of each component, by id (null after all others) and then text (null first), all columns kept.
 
-    A repeated row (same id and text) is a copy of itself, so one of them stays.
-    Rows with a null id stay only where no other id is in their component.
+    Rows are judged one by one, so two texts under one id, or without one, may
+    be in different components.  A repeated row (same id and text) is a copy of
+    itself, so one of them stays.
     """
-    last = F.lit(2**63 - 1)
-    found = kept(docs.sparkSession, near_duplicates(docs, id_col, text_col, size, max_bits), "near")
-    stay = found.groupBy(F.coalesce("doc_id", last).alias("__id")).agg(
-        F.min(F.coalesce("component_id", last)).alias("root"), F.count("*").alias("n")
-    ).where("__id = root")
-    out = docs.withColumn("__id", F.coalesce(F.col(id_col).cast("long"), last)).join(stay, "__id", "left_semi")
+    spark = docs.sparkSession
+    key = ["none", "id", "sum"]  # a row's id and text
+    prints = fingerprints(docs, id_col, text_col, size, digest=True)
+    rows = kept(spark, prints.select("fp", F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), "sum"), "near")
+    # of each fingerprint the smallest id with the number of its texts, one of them and how many rows have that
+    texts = rows.groupBy("fp", *key).agg(F.count("*").alias("n"))
+    by_id = texts.groupBy("fp", "none", "id").agg(F.count("*").alias("texts"), F.min(F.struct("sum", "n")).alias("one"))
+    classes = by_id.groupBy("fp").agg(F.min(F.struct("none", "id", "texts", "one")).alias("first")).select("fp", "first.*")
+    classes = kept(spark, classes, "near-class")
+    roots = kept(spark, components(links(classes, max_bits)), "near-root")
+    root = F.coalesce("root", "fp").alias("root")
+    named = kept(spark, classes.join(roots, classes.fp == roots.node, "left").select(root, *classes.columns), "near-named")
+    by_id = named.groupBy("root", "none", "id").agg(F.sum("texts").alias("texts"), F.min("one").alias("one"))
+    first = by_id.groupBy("root").agg(F.min(F.struct("none", "id", "texts", "one")).alias("first")).select("root", "first.*")
+    first = kept(spark, first, "near-first")
+    stay = first.where("texts = 1").select("none", "id", "one.sum", "one.n")
+    own = docs.select("*", *_row_key(docs, id_col, text_col))
+    tied = first.where("texts > 1").select("root", "none", "id")
+    if not tied.isEmpty():
+        # several texts under the smallest id: only theirs are compared
+        some = texts.join(named.select("root", "fp"), "fp").join(tied, ["root", "none", "id"])
+        some = kept(spark, some.select("root", *[F.col(c).alias(f"__{c}") for c in key], "n"), "near-tied")
+        least = own.select(*OWN, F.col(text_col).cast("string").alias("__text")).join(some, OWN)
+        least = least.groupBy("root").agg(F.min(F.struct(F.col("__text").isNotNull(), "__text", *OWN, "n")).alias("row"))
+        stay = stay.unionByName(least.select(*[F.col(f"row.__{c}").alias(c) for c in key], "row.n"))
+    stay = kept(spark, stay.select(*[F.col(c).alias(f"__{c}") for c in key], "n"), "near-stay")
+    out = own.join(stay.drop("n"), OWN, "left_semi")
     if not stay.where("n > 1").isEmpty():
-        out = out.dropDuplicates(["__id", text_col])
-    return out.drop("__id")
+        out = out.dropDuplicates(OWN)
+    return out.drop(*OWN)

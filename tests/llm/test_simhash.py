@@ -91,3 +91,16 @@ def test_edges_of_the_input(edge_docs, no_docs):
 def test_repeated_rows_keep_one(spark):
     docs = spark.createDataFrame([(4, "some words that stand here for a test"), (4, "some words that stand here for a test")], "doc_id long, text string")
     assert simhash.keep_one(docs).count() == 1
+
+
+def test_rows_of_one_id_or_none_are_judged_one_by_one(spark):
+    words = [[f"{c}{i}" for i in range(40)] for c in "abcdef"]
+    a, b, c, d, e, f = (" ".join(w) for w in words)
+    near = [e, e.upper()]  # texts of one fingerprint
+    rows = [(1, a), (None, a + " "), (None, b), (None, b), (None, c.upper()), (None, c), (7, a), (7, d), (9, d), (8, near[0]), (8, near[1]), (8, f), (2**63 - 1, f + " ")]
+    docs = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, n long").repartition(3)
+    out = simhash.keep_one(docs)
+    assert out.columns == docs.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str)
+    # near[1] is before near[0], c.upper() before c
+    assert got == sorted([(1, a), (None, b), (None, c.upper()), (7, d), (8, near[1]), (8, f)], key=str)
