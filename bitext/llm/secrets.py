@@ -3,8 +3,9 @@
 Ordinary words are long tokens of a trained vocabulary, random strings are not:
 a run of key characters that yields few characters per token is likely a key.
 Runs whose look explains them are excluded first: hex digests of known lengths,
-UUIDs, numbers, paths and dotted or dashed identifiers made of plain words, and
-whatever a base pattern already covers.
+UUIDs, numbers, and whatever a base pattern already covers.  Paths and dotted or
+dashed identifiers are judged by their parts, so that separators and short
+known words don't pass for random.
 """
 
 from __future__ import annotations
@@ -45,7 +46,8 @@ _RUN = re.compile(r"(?<![A-Za-z0-9+/_=.\-])[A-Za-z0-9+/_=.\-]{16,}")
 _DIGEST = re.compile(r"(?:0x)?[0-9a-fA-F]+")
 _DIGEST_SIZES = {32, 40, 48, 56, 64, 96, 128}
 _UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
-_WORDS = re.compile(r"[A-Za-z]?[a-z]*|[A-Z]+|[0-9]+")
+_LETTERS = re.compile(r"[A-Za-z]?[a-z]*|[A-Z]+")
+_SEPARATORS = re.compile(r"[+/_=.\-]+")
 _TOKENIZERS: dict[str, tiktoken.Encoding] = {}
 
 
@@ -62,14 +64,13 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def is_identifier(run: str) -> bool:
-    """Whether the run's look explains it: digest, UUID, number, or joined plain words."""
+def is_known(run: str) -> bool:
+    """Whether the run's look explains it: digest, UUID, or nothing but numbers."""
     if _DIGEST.fullmatch(run) and (len(run.removeprefix("0x")) in _DIGEST_SIZES or run.isdigit()):
         return True
     if _UUID.fullmatch(run):
         return True
-    parts = [p for p in re.split(r"[+/_=.\-]+", run) if p]
-    return all(_WORDS.fullmatch(p) for p in parts)
+    return all(p.isdigit() for p in _SEPARATORS.split(run) if p)
 
 
 class Scanner:
@@ -84,14 +85,34 @@ class Scanner:
         for m in _RUN.finditer(text):
             run = m[0].rstrip(".-")
             a, b = m.start(), m.start() + len(run)
-            if len(run) < MIN_RUN or is_identifier(run):
+            if len(run) < MIN_RUN or is_known(run):
                 continue
             if any(s < b and a < e for s, e, _ in base):
                 continue
-            if len(run) / len(self.tokens.encode_ordinary(run)) < self.max_ratio:
+            if self.is_random(run):
                 out.append((a, b, 3))
         return out
 
+    def is_random(self, run: str) -> bool:
+        """Whether the run, or what it joins, yields few characters per token.
+
+        Parts that are letters of one case (a capital may begin them) count one
+        by one, without numbers; any other run counts as it stands.
+        """
+        parts = [p for p in _SEPARATORS.split(run) if p and not p.isdigit()]
+        if not all(_LETTERS.fullmatch(p) for p in parts):
+            return len(run) / len(self.tokens.encode_ordinary(run)) < self.max_ratio
+        sizes = [(len(p), self.count(p)) for p in parts]
+        if any(n >= MIN_RUN and n / k < self.max_ratio for n, k in sizes):
+            return True
+        # a part that is one token is a word; the others tell together, if most of the letters are theirs
+        total, letters = sum(map(len, parts)), sum(n for n, k in sizes if k > 1)
+        return total >= MIN_RUN and 2 * letters > total and letters / sum(k for _, k in sizes if k > 1) < self.max_ratio
+
+    def count(self, part: str) -> int:
+        """Tokens of a part; capitals may be a word that the vocabulary has in small letters."""
+        return min(len(self.tokens.encode_ordinary(p)) for p in ({part, part.lower()} if part.isupper() else {part}))
+
     def scan(self, text: str) -> tuple[list, list]:
         base = base_spans(text)
         return base, sorted(base + self.random_spans(text, base))
