@@ -1,7 +1,9 @@
 """Removal of repeated 100-byte strings, by suffix arrays over shards.
 
 A byte goes if a string of ``WINDOW`` bytes that covers it also starts earlier
-(in a document of a smaller id, or earlier in the same one).
+(in a document of a smaller id, or earlier in the same one).  A document is an id
+(null after all others) with a digest of its text: texts that share an id, or have
+none, are documents of their own, in the order of their digests.
 
 1. Every string has an anchor: of its ``GRAM``-byte pieces the first with the
    smallest hash.  Equal strings have equal anchors at the same offset, so
@@ -270,8 +272,10 @@ def _runs(doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return doc[head], start[head], start[last] + WINDOW
 
 
-def _solve(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(key, part, doc, lo) of whole keys -> spans of the strings that start earlier elsewhere."""
+def _solve(rows: list[tuple]) -> tuple[list[tuple], np.ndarray, np.ndarray]:
+    """(key, part, doc, lo[, sum]) of whole keys -> spans of the strings that start earlier elsewhere."""
+    names = sorted({(r[2], *r[4:]) for r in rows})
+    rank = {name: i for i, name in enumerate(names)}
     shards, at = [], 0
     while at < len(rows):
         end, held = at, 0
@@ -279,34 +283,38 @@ def _solve(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             held += len(rows[end][1])
             end += 1
         part = rows[at:end]
-        shards.append(Shard(np.array([r[2] for r in part]), np.array([r[3] for r in part]), [r[1] for r in part]))
+        shards.append(Shard(np.array([rank[(r[2], *r[4:])] for r in part]), np.array([r[3] for r in part]), [r[1] for r in part]))
         at = end
     if len(shards) > 1:
         merge(shards)
     found = [s.repeats() for s in shards]
-    return _runs(np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]))
+    doc, lo, hi = _runs(np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]))
+    return [names[i] for i in doc.tolist()], lo, hi
 
 
 def _shard_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, part, doc, lo) in that order -> spans of strings that start earlier elsewhere.
+    """Rows (key, part, doc, lo[, sum]), in order with ``sum`` before ``lo`` -> spans of strings that start earlier elsewhere.
 
     A row equal to the one before it in key and part repeats it wholly; of the
     others, keys with a single one have nothing to repeat.
     """
-    schema = pa.schema([("doc", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64())])
-
-    def table(doc, lo, hi) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(lo, pa.int64()), pa.array(hi, pa.int64())], schema=schema)
+    def table(names, lo, hi) -> pa.RecordBatch:
+        cols = {"doc": [n[0] for n in names], "lo": lo, "hi": hi}
+        if width > 4:
+            cols["sum"] = [n[1] for n in names]
+        return pa.RecordBatch.from_pydict({n: pa.array(x, pa.int64()) for n, x in cols.items()})
 
+    width = 4
     ready: list[tuple] = []  # rows of keys with several parts
     size = 0
     key: list[tuple] = []  # rows of the key at hand
     for batch in batches:
         copies: tuple[list, list, list] = ([], [], [])
+        width = batch.num_columns
         for row in zip(*[c.to_pylist() for c in batch.columns]):
             if key and row[0] == key[-1][0] and row[1] == key[-1][1]:
                 if row[2:] != key[-1][2:]:  # the very same place is no copy
-                    for to, x in zip(copies, (row[2], row[3], row[3] + len(row[1]))):
+                    for to, x in zip(copies, ((row[2], *row[4:]), row[3], row[3] + len(row[1]))):
                         to.append(x)
                 continue
             if key and row[0] != key[-1][0]:
@@ -334,24 +342,24 @@ def _bytes_of(batch: pa.RecordBatch) -> list[bytes]:
 
 
 def _fragments(rows: DataFrame) -> DataFrame:
-    """(anchor, content, doc, lo, shape) of every fragment of every document; ``shape``
+    """(anchor, content, doc, sum, lo, shape) of every fragment of every document; ``shape``
     holds the fragment's size and, in its low byte, the anchor's place within."""
 
     def make():
         def run(batch: pa.RecordBatch) -> dict:
-            found: list[list[np.ndarray]] = [[], [], [], [], []]
-            for doc, data in zip(batch["doc"].to_pylist(), _bytes_of(batch)):
+            found: list[list[np.ndarray]] = [[], [], [], [], [], []]
+            for doc, digest, data in zip(batch["doc"].to_pylist(), batch["sum"].to_pylist(), _bytes_of(batch)):
                 for a, c, lo, hi, own in anchors(data):
                     shape = (hi - lo) << 8 | (own - lo)
-                    for to, x in zip(found, (a.view(np.int64), c.view(np.int64), np.full(len(a), doc), lo, shape)):
+                    for to, x in zip(found, (a.view(np.int64), c.view(np.int64), np.full(len(a), doc), np.full(len(a), digest), lo, shape)):
                         to.append(x)
             cols = [np.concatenate(x) if x else np.empty(0, np.int64) for x in found]
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32())
-            return {n: pa.array(x, k) for n, x, k in zip(("anchor", "content", "doc", "lo", "shape"), cols, kinds)}
+            kinds = (*[pa.int64()] * 5, pa.int32())
+            return {n: pa.array(x, k) for n, x, k in zip(("anchor", "content", "doc", "sum", "lo", "shape"), cols, kinds)}
 
         return run
 
-    return map_slices(rows, make, "anchor long, content long, doc long, lo long, shape int", 256)
+    return map_slices(rows, make, "anchor long, content long, doc long, sum long, lo long, shape int", 256)
 
 
 def cuts(part: bytes, own: int) -> Iterator[tuple[int, int, bytes]]:
@@ -369,28 +377,29 @@ def cuts(part: bytes, own: int) -> Iterator[tuple[int, int, bytes]]:
 
 
 def _parts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(key, part, doc, lo): the cuts of wanted fragments, taken from their documents."""
+    """(key, part, doc, lo, sum): the cuts of wanted fragments, taken from their documents."""
 
     def make():
         def run(batch: pa.RecordBatch) -> dict:
-            out: dict[str, list] = {"key": [], "part": [], "doc": [], "lo": []}
-            for doc, data, want in zip(batch["doc"].to_pylist(), _bytes_of(batch), batch["want"].to_pylist()):
+            out: dict[str, list] = {"key": [], "part": [], "doc": [], "lo": [], "sum": []}
+            for doc, digest, data, want in zip(batch["doc"].to_pylist(), batch["sum"].to_pylist(), _bytes_of(batch), batch["want"].to_pylist()):
                 for w in want:
                     part = data[w["lo"] : w["lo"] + (w["shape"] >> 8)]
                     for key, at, cut in cuts(part, w["shape"] & 255):
                         out["key"].append(key - (1 << 63))
                         out["part"].append(cut)
                         out["doc"].append(doc)
+                        out["sum"].append(digest)
                         out["lo"].append(w["lo"] + at)
             return out
 
         return run
 
-    by_doc = wanted.groupBy("doc").agg(F.collect_set(F.struct("lo", "shape")).alias("want"))
-    ids = _bounded(by_doc.select("doc"))
+    by_doc = wanted.groupBy("doc", "sum").agg(F.collect_set(F.struct("lo", "shape")).alias("want"))
+    ids = _bounded(wanted.select("doc").distinct())  # of a wanted document or another of its id
     # a repeated row has the same bytes: one is enough
-    some = (rows.join(ids, "doc", "left_semi") if ids is not None else rows).dropDuplicates(["doc"])
-    return map_slices(some.join(by_doc, "doc").select("doc", "text", "want"), make, "key long, part binary, doc long, lo long", 64)
+    some = (rows.join(ids, "doc", "left_semi") if ids is not None else rows).dropDuplicates(["doc", "sum"])
+    return map_slices(some.join(by_doc, ["doc", "sum"]).select("doc", "sum", "text", "want"), make, "key long, part binary, doc long, lo long, sum long", 64)
 
 
 def _bounded(ids: DataFrame) -> DataFrame | None:
@@ -399,11 +408,11 @@ def _bounded(ids: DataFrame) -> DataFrame | None:
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc, lo, hi): bytes covered by a string that starts earlier (spans may overlap).
+    """(doc, lo, hi, sum): bytes covered by a string that starts earlier (spans may overlap).
 
     ``doc`` is the id, a null id counting after all others.  Texts under
-    ``WINDOW`` bytes and null texts have none.  Rows that repeat an id are one
-    document, so a repeated row isn't an earlier copy of itself.
+    ``WINDOW`` bytes and null texts have none.  Rows that repeat an id and its text
+    (``sum`` is its digest) are one document: a repeated row isn't an earlier copy of itself.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -413,27 +422,27 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     some = kept(spark, every.join(twice, "anchor"), "fragments")
     classes = kept(
         spark,
-        some.groupBy("anchor", "content").agg(F.min(F.struct("doc", "lo", "shape")).alias("first"), F.count("*").alias("n")),
+        some.groupBy("anchor", "content").agg(F.min(F.struct("doc", "sum", "lo", "shape")).alias("first"), F.count("*").alias("n")),
         "fragment-classes",
     )
     # copies of a fragment beyond the first
-    again = classes.where("n > 1").select("anchor", "content", F.col("first.doc").alias("doc0"), F.col("first.lo").alias("lo0"))
+    again = classes.where("n > 1").select("anchor", "content", F.col("first.doc").alias("doc0"), F.col("first.sum").alias("sum0"), F.col("first.lo").alias("lo0"))
     copies = (
         some.join(again, ["anchor", "content"])
-        .where((F.col("doc") != F.col("doc0")) | (F.col("lo") != F.col("lo0")))
-        .select("doc", "lo", (F.col("lo") + F.shiftright("shape", 8)).alias("hi"))
+        .where((F.col("doc") != F.col("doc0")) | (F.col("sum") != F.col("sum0")) | (F.col("lo") != F.col("lo0")))
+        .select("doc", "lo", (F.col("lo") + F.shiftright("shape", 8)).alias("hi"), "sum")
     )
     # anchors whose fragments differ
     mixed = classes.groupBy("anchor").agg(F.count("*").alias("k")).where("k > 1").select("anchor")
     wanted = kept(spark, classes.join(mixed, "anchor").select("anchor", "first.*"), "fragment-wanted")
     parts = _parts(rows, wanted)
-    dealt = parts.repartition("key").sortWithinPartitions("key", "part", "doc", "lo")
-    return copies.unionAll(dealt.mapInArrow(_shard_spans, "doc long, lo long, hi long"))
+    dealt = parts.repartition("key").sortWithinPartitions("key", "part", "doc", "sum", "lo")
+    return copies.unionAll(dealt.mapInArrow(_shard_spans, "doc long, lo long, hi long, sum long"))
 
 
 def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = pick(docs, doc_id=id_col, text=text_col)
-    return rows.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), "doc_id", "text")
+    return rows.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), F.xxhash64("text").alias("sum"), "doc_id", "text")
 
 
 def _kept(data: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, int]:
@@ -462,7 +471,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     spark = docs.sparkSession
     spans = kept(spark, repeated_spans(docs, id_col, text_col), "spans")
-    by_doc = kept(spark, spans.groupBy("doc").agg(F.collect_set(F.struct("lo", "hi")).alias("spans")), "spans-by-doc")
+    by_doc = kept(spark, spans.groupBy("doc", "sum").agg(F.collect_set(F.struct("lo", "hi")).alias("spans")), "spans-by-doc")
     rows = _documents(docs, id_col, text_col)
     names = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") + ("kept",) * content
 
@@ -480,10 +489,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return run
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * content
-    ids = _bounded(by_doc.select("doc"))
+    ids = _bounded(by_doc.select("doc").distinct())
     if ids is None:
-        return map_slices(rows.join(by_doc, "doc", "left").select("doc_id", "text", "spans"), make, schema, 128)
+        return map_slices(rows.join(by_doc, ["doc", "sum"], "left").select("doc_id", "text", "spans"), make, schema, 128)
     # documents without a span stay where they are
     clean = rows.join(ids, "doc", "left_anti").select("doc_id", "text")
-    cut = rows.join(ids, "doc", "left_semi").join(by_doc, "doc").select("doc_id", "text", "spans")
+    cut = rows.join(ids, "doc", "left_semi").join(by_doc, ["doc", "sum"], "left").select("doc_id", "text", "spans")
     return map_slices(clean, make, schema, 128).unionAll(map_slices(cut, make, schema, 128))

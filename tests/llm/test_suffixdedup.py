@@ -122,6 +122,18 @@ def test_null_ids_come_last_and_repeated_rows_are_one(spark):
     assert got == [(0, len(line)), (3, 0), (3, 0), (9, len(line))]
 
 
+def test_texts_of_one_id_or_none_are_documents_of_their_own(spark, monkeypatch):
+    rng = random.Random(12)
+    a, b, c, x = ("".join(rng.choice("abcdefgh ") for _ in range(n)) for n in (150, 300, 200, 60))
+    rows = [(1, a), (None, a + x), (None, b), (5, c), (5, b + "!" * 20), (5, c)]
+    want = sorted([(1, a, 0), (None, a + x, 150), (None, b, 300), (5, c, 0), (5, b + "!" * 20, 0), (5, c, 0)], key=str)
+    want = [(i, len(t), n) for i, t, n in want]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for limit in (X.BROADCAST_IDS, 0):
+        monkeypatch.setattr(X, "BROADCAST_IDS", limit)
+        assert sorted(((r[0], r[1], r[2]) for r in X.remove_repeats(docs).collect()), key=str) == sorted(want, key=str)
+
+
 def test_cuts_hold_every_string_once_and_share_its_key():
     rng = random.Random(3)
     data = bytes(rng.choice(b"abc") for _ in range(2000))
