@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from bitext.llm import bytebpe, cascade, decontam, htmltext, quality, secrets, simhash, suffixdedup, urlfilter, warc
+from bitext.llm import bytebpe, cascade, collocations, decontam, htmltext, quality, secrets, simhash, suffixdedup, urlfilter, warc
 from bitext.session import scratch_path
 
 VOCAB = "byte_bpe_50k.tiktoken"
@@ -75,11 +75,16 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixdedup.remove_repeats(_table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_decontaminate, op2_url_filter, op3_byte_bpe, op4_warc, op5_quality,
         op6_secrets, op7_html_text, op8_quality_rules, op9_simhash_dedup, op10_suffix_dedup,
+        op11_collocations,
     )
 } | {"pipeline": corpus_pipeline.run}
 
@@ -95,6 +100,7 @@ ORACLE = {
     "op2_url_filter": urlfilter.judge_sql(),
     "op4_warc": WARC_SQL,
     "op8_quality_rules": cascade.judge_sql(),
+    "op11_collocations": collocations.mine_sql(),
 }
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
