@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from bitext.llm import bytebpe, cascade, collocations, decontam, htmltext, quality, secrets, simhash, suffixdedup, urlfilter, warc
+from bitext.llm import bytebpe, cascade, collocations, decontam, fim, htmltext, quality, secrets, simhash, suffixdedup, toxicity, urlfilter, warc
 from bitext.session import scratch_path
 
 VOCAB = "byte_bpe_50k.tiktoken"
@@ -79,12 +79,20 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.mine(_table(spark, sf_dir, "documents"))
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.fill_in_middle(_table(spark, sf_dir, "documents"), output=False)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_decontaminate, op2_url_filter, op3_byte_bpe, op4_warc, op5_quality,
         op6_secrets, op7_html_text, op8_quality_rules, op9_simhash_dedup, op10_suffix_dedup,
-        op11_collocations,
+        op11_collocations, op12_toxicity, op13_fill_in_middle,
     )
 } | {"pipeline": corpus_pipeline.run}
 
@@ -101,6 +109,7 @@ ORACLE = {
     "op4_warc": WARC_SQL,
     "op8_quality_rules": cascade.judge_sql(),
     "op11_collocations": collocations.mine_sql(),
+    "op13_fill_in_middle": fim.fill_sql(),
 }
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
