@@ -45,7 +45,7 @@ def assign_batches(df: DataFrame, key: str = "pair_id", size: int = BATCH_SIZE,
         ranked = R.hash_rank(df, key, seed, rank_col="rank", extra=(F.lit(epoch),))
     else:
         ranked = R.ordered_rank(df, [key], rank_col="rank")
-    return ranked.withColumn("batch_id", (F.col("rank") / size).cast("bigint"))
+    return ranked.withColumn("batch_id", F.expr(f"rank div {int(size)}"))
 
 
 def limit_batches(df: DataFrame, n: int, batch_col: str = "batch_id") -> DataFrame:

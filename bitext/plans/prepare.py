@@ -1,8 +1,9 @@
 """Corpus preparation: (sample ->) clean -> word filter -> split (-> token filter),
 and the rows left after each stage.
 
-No text is materialised: the sample and the split are cuts in a seeded hash order,
-found by narrow jobs over ids and applied as literals to the raw plan.
+The texts are read and cleaned once: the kept pairs are written to the shared folder,
+and every later step (the cuts of the sample and the split in a seeded hash order,
+tokenizer training, layout, decoding) reads that table, often only its ids.
 """
 
 from __future__ import annotations
@@ -23,10 +24,8 @@ def prepare(pairs: DataFrame, num_samples: int | None = None, max_words: int = M
             fraction: float = TRAIN_FRACTION, seed=SEED) -> DataFrame:
     """Kept pairs ``(pair_id, src, tgt, split)`` of all pairs, or of ``num_samples`` of them."""
     base = pairs if num_samples is None else R.hash_first_n(pairs, "pair_id", seed, num_samples)
-    kept = filter_word_count(clean_pairs(base), max_words)
-    # the jobs that find the cut read ids only, written by one pass over the texts
-    ids = written(kept.select("pair_id"), "kept-ids")
-    return split_exact(kept, "pair_id", fraction, seed, ids=ids)
+    kept = written(filter_word_count(clean_pairs(base), max_words), "kept-pairs")
+    return split_exact(kept, "pair_id", fraction, seed)
 
 
 def funnel(pairs: DataFrame, num_samples: int = SAMPLE_PAIRS, max_words: int = MAX_WORDS, seed=SEED,
@@ -36,14 +35,17 @@ def funnel(pairs: DataFrame, num_samples: int = SAMPLE_PAIRS, max_words: int = M
     ``encode(kept)`` adds ``src_ids`` and ``tgt_ids`` to the kept pairs; the token
     stage counts the pairs of each split whose ids fit ``seq_len``.
     """
-    d = R.hash_first_n(pairs, "pair_id", seed, num_samples, flag="sampled")
-    d = clean_pairs(d).withColumn("kept", F.col("sampled") & word_count_flag("src", "tgt", max_words))
+    # one pass over the texts: every pair with what becomes of it, before and after the sample is drawn
+    flagged = clean_pairs(pairs).withColumn("fits", word_count_flag("src", "tgt", max_words))
+    short = F.when(F.col("fits"), F.col("src")), F.when(F.col("fits"), F.col("tgt"))
+    every = written(flagged.select("pair_id", "fits", short[0].alias("src"), short[1].alias("tgt")), "cleaned-pairs")
+    d = R.hash_first_n(every, "pair_id", seed, num_samples, flag="sampled")
     counts = d.agg(
         F.count(F.lit(1)).alias("input"),
         F.count_if(F.col("sampled")).alias("sampled"),
-        F.count_if(F.col("kept")).alias("word_filter"),
+        F.count_if(F.col("sampled") & F.col("fits")).alias("word_filter"),
     ).unpivot([], ["input", "sampled", "word_filter"], "stage", "rows")
-    kept = prepare(pairs, num_samples, max_words, seed=seed)
+    kept = split_exact(d.where(F.col("sampled") & F.col("fits")).drop("sampled", "fits"), "pair_id", TRAIN_FRACTION, seed)
     split = F.col("split")
     stages = {"train": split == "train", "val": split == "val"}
     if encode is not None:

@@ -33,7 +33,7 @@ def q_corpus_bleu(spark, sf):
 @query("grouped_bleu")
 def q_grouped_bleu(spark, sf):
     """BLEU per document language (the pair's document decides the group)."""
-    hr = X.hyp_ref(spark, sf).withColumn("doc_id", (F.col("pair_id") / 100000).cast("bigint"))
+    hr = X.hyp_ref(spark, sf).withColumn("doc_id", F.expr(f"pair_id div {X.PAIR_ID_STRIDE}"))
     docs = table(spark, sf, "documents").select("doc_id", "lang")
     g = hr.join(docs, "doc_id")
     return _bleu_cols(BL.corpus_bleu(g, by=["lang"]), ["lang"])

@@ -51,7 +51,7 @@ def q_running_loss(spark, sf):
 @query("batch_loss_mean")
 def q_batch_loss_mean(spark, sf):
     lg = X.logits(spark, sf)
-    ranked = ordered_rank(lg, ["vec_id"], rank_col="rank").withColumn("batch_id", (F.col("rank") / 64).cast("bigint"))
+    ranked = ordered_rank(lg, ["vec_id"], rank_col="rank").withColumn("batch_id", F.expr("rank div 64"))
     losses = ranked.where(F.col("label") != 1).select(
         "batch_id", V.smoothed_ce_row(V.log_softmax("logits"), F.col("label")).alias("loss"))
     return M.batch_loss_mean(losses, 100).select(r6("loss").alias("loss"), "batches")

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from bitext.functions import text as T
 from bitext.operators import bpe as B
+from bitext.operators import bpe_encode as BE
+from bitext.operators import bpe_train as BT
 from bitext.operators.clean import filter_token_length
 from bitext.plans.catalog import query
 from bitext.functions.layout import SEQ_LEN
@@ -14,7 +16,8 @@ from bitext.plans.prepare import funnel
 from bitext.plans.q_prepare import kept_split
 from bitext.sources import fixtures as X
 
-NUM_MERGES = 10  # merges of the tokenizer the S-checked queries use
+NUM_MERGES = 10  # merges of the tokenizer of the queries whose DuckDB twins unroll training
+VOCAB_SIZE = 16_000  # fixed value: of the tokenizers that a real run trains (keys *_16k, without twins)
 
 _TRAINED: dict = {}  # (application, corpus fingerprint, merges) -> tokenizers of both sides
 
@@ -24,8 +27,9 @@ def train_sentences(spark, sf, side="src"):
     return kept_split(spark, sf).where(F.col("split") == "train").select(F.col(side).alias("text"))
 
 
-def tokenizers(kept, num_merges=NUM_MERGES) -> dict:
-    """Tokenizers of both sides of a prepared corpus, trained in the same rounds.
+def tokenizers(kept, num_merges: int | None = NUM_MERGES) -> dict:
+    """Tokenizers of both sides of a prepared corpus, trained in the same rounds; without
+    ``num_merges`` up to ``VOCAB_SIZE`` tokens each.
 
     Trained ones are reused only for a corpus with the same fingerprint.
     """
@@ -33,7 +37,7 @@ def tokenizers(kept, num_merges=NUM_MERGES) -> dict:
     words = B.side_words(kept.where(F.col("split") == "train").select(F.inline(sides)))
     key = (kept.sparkSession.sparkContext.applicationId, B.corpus_fingerprint(words), num_merges)
     if key not in _TRAINED:
-        _TRAINED[key] = B.train_on_words(words, num_merges)
+        _TRAINED[key] = BT.train_on_words(words, VOCAB_SIZE, num_merges)
     return _TRAINED[key]
 
 
@@ -141,3 +145,26 @@ def q_funnel(spark, sf):
 def q_filter_token_length(spark, sf):
     enc = encoded_pairs(spark, sf)
     return filter_token_length(enc).select("pair_id", "split")
+
+
+# ----------------------------------------------------------------- vocabulary of a real run
+def encode_sides_large(kept, toks):
+    """``src_ids`` and ``tgt_ids`` beside the texts, for large vocabularies."""
+    ids = [BE.encode_col(F.col(side), toks[side]).alias(f"{side}_ids") for side in ("src", "tgt")]
+    return kept.select("pair_id", "split", "src", "tgt", *ids)
+
+
+@query("bpe_train_16k")
+def q_bpe_train_16k(spark, sf):
+    """Merges of both sides up to the vocabulary of a real run: ``(side, rank, left_tok, right_tok)``."""
+    toks = tokenizers(kept_split(spark, sf), None)
+    tables = [tok.merges_df(spark).select(F.lit(side).alias("side"), "rank", "left_tok", "right_tok") for side, tok in sorted(toks.items())]
+    return tables[0].unionByName(tables[1])
+
+
+@query("bpe_encode_16k")
+def q_bpe_encode_16k(spark, sf):
+    """Ids of all kept pairs under those vocabularies that pass the token filter."""
+    kept = kept_split(spark, sf)
+    fit = filter_token_length(encode_sides_large(kept, tokenizers(kept, None)), SEQ_LEN)
+    return fit.select("pair_id", "split", "src_ids", "tgt_ids")

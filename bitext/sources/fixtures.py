@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bitext.functions import text as T
-from bitext.sources.tables import table
+from bitext.sources.tables import spread, table
 
 # ---------------------------------------------------------------------------
 # Fixed values of the fixtures.
@@ -26,10 +26,14 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(pair_id, src, tgt)``: odd pieces of a document paired with the next one.
 
     Pieces come from one array per document (row-local ``transform``), so this
-    needs no self-join and no shuffle.
+    needs no self-join and no shuffle.  A document with more pieces than
+    ``PAIR_ID_STRIDE`` has ids for raises, as its pairs would take those of another.
     """
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.split("text", PIECE_SPLIT).alias("a"))
-    pieces = docs.where(F.size("a") >= 2).select(
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = docs.select("doc_id", F.split("text", PIECE_SPLIT).alias("a"))
+    too_many = F.raise_error(F.concat(F.lit("too many pieces for the ids of document "), F.col("doc_id"))).cast("boolean")
+    docs = docs.where(F.when(F.size("a") <= PAIR_ID_STRIDE, F.size("a") >= 2).otherwise(too_many))
+    pieces = docs.select(
         "doc_id",
         F.explode(
             F.expr("transform(sequence(1, size(a) - 1, 2), k -> named_struct('k', k, 's', a[k - 1], 't', a[k]))")
@@ -79,7 +83,7 @@ def vecs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     e = table(spark, sf_dir, "embeddings")
     return e.select(
-        (F.col("vec_id") / SEQ_LEN_VEC).cast("bigint").alias("seq_id"),
+        F.expr(f"vec_id div {SEQ_LEN_VEC}").alias("seq_id"),
         (F.col("vec_id") % SEQ_LEN_VEC).cast("int").alias("pos"),
         "vec_id",
         "label",
@@ -120,6 +124,6 @@ def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.select(
         F.lit("Loss/train").alias("tag"),
         (F.col("r") + 1).cast("bigint").alias("step"),
-        (F.col("r") / METRIC_EPOCH_STEPS).cast("bigint").alias("epoch"),
+        F.expr(f"r div {METRIC_EPOCH_STEPS}").alias("epoch"),
         F.col("value").cast("double").alias("value"),
     )

@@ -18,6 +18,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+#: Bytes a core below which a table's rows are dealt out anew.
+SPREAD_BYTES = 16 << 20
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores where a table is so small that its scan would not use them
+    (one Parquet row group is one task, however many cores wait); larger tables stay as they are."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(n) if size < SPREAD_BYTES * n else df
+
+
 PAIR_SCHEMA = "pair_id bigint, src string, tgt string"
 _TSV = {"sep": "\t", "header": "true", "escape": '"', "nullValue": "\\N"}
 
