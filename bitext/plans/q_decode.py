@@ -154,6 +154,15 @@ def q_beam_decode(spark, sf):
     return out.select("sent_id", "tokens", r6("norm").alias("norm"))
 
 
+@query("beam_decode_trigram")
+def q_beam_decode_trigram(spark, sf):
+    """Beam search under a back-off model whose scores depend on the last two tokens."""
+    kept = kept_split(spark, sf)
+    model = D.BackoffScorer(D.context_counts(target_sequences(kept)))
+    out = D.beam_search(seeds(kept), model, MAX_LEN)
+    return out.select("sent_id", "tokens", r6("norm").alias("norm"))
+
+
 def subword_tokens(ids, tok):
     """Ids of a tokenizer as token strings (specials included)."""
     names = F.array(*[F.lit(t) for t, _ in sorted(tok.vocab.items(), key=lambda x: x[1])])
