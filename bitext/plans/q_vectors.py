@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from bitext.functions import text as T
 from bitext.functions import vectors as V
 from bitext.operators import attention as A
+from bitext.operators import attention_blocks as AB
 from bitext.operators import linear as LN
 from bitext.operators.clean import filter_word_count
 from bitext.plans.catalog import query, r6, r6a
@@ -57,24 +58,19 @@ def q_layer_norm(spark, sf):
     return X.vecs(spark, sf).select("vec_id", r6a(V.layer_norm("vec")).alias("vec"))
 
 
-def _weights(spark, n_out, n_in, salt=0):
-    rows = X.weight_rows(spark, n_out, n_in, salt).orderBy("out").collect()  # n_out rows
-    return [r["w"] for r in rows], [r["b"] for r in rows]
-
-
 @query("linear")
 def q_linear(spark, sf):
-    """The weights stay a table (a matrix of any size): join on the dimension, then sum."""
+    """The weights stay a table: sent to the tasks if small, else multiplied in blocks."""
     out = LN.linear(X.vecs(spark, sf), X.weight_rows(spark, 8, D, 0), "vec_id", "vec")
     return out.select("vec_id", r6a("out").alias("out"))
 
 
 @query("feed_forward")
 def q_feed_forward(spark, sf):
-    w1, b1 = _weights(spark, 16, D, 0)
-    w2, b2 = _weights(spark, D, 16, 5)
-    h = V.relu(V.linear("vec", w1, b1))
-    return X.vecs(spark, sf).select("vec_id", r6a(V.linear(h, w2, b2)).alias("out"))
+    """Both weight matrices stay tables, whatever their size."""
+    w1, w2 = X.weight_rows(spark, 16, D, 0), X.weight_rows(spark, D, 16, 5)
+    out = LN.feed_forward(X.vecs(spark, sf), w1, w2, "vec_id", "vec")
+    return out.select("vec_id", r6a("out").alias("out"))
 
 
 @query("split_heads")
@@ -94,14 +90,14 @@ def q_attention_scores(spark, sf):
 
 @query("attention_self")
 def q_attention_self(spark, sf):
-    _, outs = A.attention(X.vecs(spark, sf), "vec", H, "none", dk=DK)
-    return A.merge_heads(outs).select("seq_id", "pos", r6a("vec").alias("vec"))
+    out = AB.attention(X.vecs(spark, sf), "vec", H, "none", max_len=X.SEQ_LEN_VEC)
+    return out.select("seq_id", "pos", r6a("vec").alias("vec"))
 
 
 @query("attention_causal")
 def q_attention_causal(spark, sf):
-    _, outs = A.attention(X.vecs(spark, sf), "vec", H, "causal", dk=DK)
-    return A.merge_heads(outs).select("seq_id", "pos", r6a("vec").alias("vec"))
+    out = AB.attention(X.vecs(spark, sf), "vec", H, "causal", max_len=X.SEQ_LEN_VEC)
+    return out.select("seq_id", "pos", r6a("vec").alias("vec"))
 
 
 @query("attention_cross")
@@ -111,8 +107,9 @@ def q_attention_cross(spark, sf):
     v = X.vecs(spark, sf)
     src = v.select("seq_id", "pos", V.layer_norm("vec").alias("src_vec"))
     valid = v.groupBy("seq_id").agg(F.count_if(F.col("label") != 1).cast("int").alias("valid_len"))
-    _, outs = A.attention(v, "vec", H, "valid", kv_df=src, kv_vec="src_vec", valid=valid, dk=DK)
-    return A.merge_heads(outs).select("seq_id", "pos", r6a("vec").alias("vec"))
+    keys = src.join(valid, "seq_id").where("pos < valid_len")
+    out = AB.attention(v, "vec", H, "none", kv_df=keys, kv_vec="src_vec", max_len=X.SEQ_LEN_VEC)
+    return out.select("seq_id", "pos", r6a("vec").alias("vec"))
 
 
 @query("softmax")
