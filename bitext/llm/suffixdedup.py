@@ -23,7 +23,11 @@ none, are documents of their own, in the order of their digests.
    neighbours, and runs of at least ``WINDOW`` common bytes give each string's
    earliest place.  A piece with more cuts than a shard holds spans several
    shards, whose sorted strings are merged by binary search.
-5. The spans go back to their documents.
+5. An anchor with more than ``HOT_CUTS`` different fragments (a line that very many
+   documents hold between different contexts) is dealt to several tasks by the
+   content of its cuts.  Each solves its own share and names every different string
+   by a 128-bit hash with the earliest place there; Spark finds the earliest of all.
+6. The spans go back to their documents.
 """
 
 from __future__ import annotations
@@ -49,6 +53,12 @@ SIDE = (WINDOW - GRAM) // 2
 SHARD_BYTES = 1 << 19
 #: Ids of documents up to which a set of them is broadcast; beyond, a shuffle join.
 BROADCAST_IDS = 4_000_000
+#: Different fragments of an anchor up to which its cuts stay together in one task.
+HOT_CUTS = 8_000
+#: Fragments of an anchor beyond which its rows are dealt by place, not by anchor; more
+#: where more than ``HOT_ANCHORS`` could have so many.
+HOT_ROWS = 10_000
+HOT_ANCHORS = 100_000
 NO_ID = 2**63 - 1  # stands for a null id: after all others
 _SPAN = WINDOW - GRAM + 1  # anchors that a string chooses from
 
@@ -272,8 +282,11 @@ def _runs(doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return doc[head], start[head], start[last] + WINDOW
 
 
-def _solve(rows: list[tuple]) -> tuple[list[tuple], np.ndarray, np.ndarray]:
-    """(key, part, doc, lo[, sum]) of whole keys -> spans of the strings that start earlier elsewhere."""
+def _solve(rows: list[tuple], strings: list | None = None) -> tuple[list[tuple], np.ndarray, np.ndarray]:
+    """(key, part, doc, lo[, sum]) of whole keys -> spans of the strings that start earlier elsewhere.
+
+    ``strings`` gets (hash, name, start) of the earliest place of every different string.
+    """
     names = sorted({(r[2], *r[4:]) for r in rows})
     rank = {name: i for i, name in enumerate(names)}
     shards, at = [], 0
@@ -287,22 +300,43 @@ def _solve(rows: list[tuple]) -> tuple[list[tuple], np.ndarray, np.ndarray]:
         at = end
     if len(shards) > 1:
         merge(shards)
+    if strings is not None:
+        for s in shards:
+            data, at = s.text.tobytes(), s.sample.tolist()
+            hashes = [xxhash.xxh3_128_digest(data[a : a + WINDOW]) for a in at]
+            strings += zip(hashes, [names[i] for i in s.least_doc.tolist()], s.least_start.tolist())
     found = [s.repeats() for s in shards]
     doc, lo, hi = _runs(np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]))
     return [names[i] for i in doc.tolist()], lo, hi
 
 
 def _shard_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, part, doc, lo[, sum]), in order with ``sum`` before ``lo`` -> spans of strings that start earlier elsewhere.
+    """Rows (key, part, doc, lo[, sum[, share]]), in order with ``sum`` before ``lo`` -> spans
+    of strings that start earlier elsewhere.
 
-    A row equal to the one before it in key and part repeats it wholly; of the
-    others, keys with a single one have nothing to repeat.
+    A row equal to the one before it in key, share and part repeats it wholly; of the
+    others, keys with a single one have nothing to repeat.  Of keys in several shares
+    (``share`` not negative) the different strings come too, with their ``hash``.
     """
-    def table(names, lo, hi) -> pa.RecordBatch:
-        cols = {"doc": [n[0] for n in names], "lo": lo, "hi": hi}
+    def table(names, lo, hi, hashes=None) -> pa.RecordBatch:
+        cols = {"doc": pa.array([n[0] for n in names], pa.int64()), "lo": pa.array(lo, pa.int64()), "hi": pa.array(hi, pa.int64())}
         if width > 4:
-            cols["sum"] = [n[1] for n in names]
-        return pa.RecordBatch.from_pydict({n: pa.array(x, pa.int64()) for n, x in cols.items()})
+            cols["sum"] = pa.array([n[1] for n in names], pa.int64())
+        if width > 5:
+            cols["hash"] = pa.array(hashes if hashes is not None else [None] * len(names), pa.binary())
+        return pa.RecordBatch.from_pydict(cols)
+
+    def share(row: tuple) -> int:
+        return row[5] if width > 5 else -1
+
+    def one_of_many(key: list[tuple]) -> Iterator[pa.RecordBatch]:
+        """A share of a hot key, in pieces of bounded size: spans and strings."""
+        for at in range(0, len(key), HOT_CUTS):
+            strings: list = []
+            yield table(*_solve([r[:5] for r in key[at : at + HOT_CUTS]], strings))
+            if strings:
+                hashes, names, starts = zip(*strings)
+                yield table(names, starts, [x + WINDOW for x in starts], list(hashes))
 
     width = 4
     ready: list[tuple] = []  # rows of keys with several parts
@@ -312,24 +346,32 @@ def _shard_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         copies: tuple[list, list, list] = ([], [], [])
         width = batch.num_columns
         for row in zip(*[c.to_pylist() for c in batch.columns]):
-            if key and row[0] == key[-1][0] and row[1] == key[-1][1]:
+            same = key and row[0] == key[-1][0] and share(row) == share(key[-1])
+            if same and row[1] == key[-1][1]:
                 if row[2:] != key[-1][2:]:  # the very same place is no copy
-                    for to, x in zip(copies, ((row[2], *row[4:]), row[3], row[3] + len(row[1]))):
+                    for to, x in zip(copies, ((row[2], *row[4:5]), row[3], row[3] + len(row[1]))):
                         to.append(x)
                 continue
-            if key and row[0] != key[-1][0]:
-                if len(key) > 1:
-                    ready += key
+            if key and not same:
+                if share(key[0]) >= 0:
+                    yield from one_of_many(key)
+                elif len(key) > 1:
+                    ready += [r[:5] for r in key]
                     size += sum(len(r[1]) for r in key)
                 key = []
                 if size >= SHARD_BYTES:
                     yield table(*_solve(ready))
                     ready, size = [], 0
+            elif key and share(row) >= 0 and len(key) >= 2 * HOT_CUTS:
+                yield from one_of_many(key[:-1])  # its strings meet the rest's by their hashes
+                key = key[-1:]
             key.append(row)
         if copies[0]:
             yield table(*copies)
-    if len(key) > 1:
-        ready += key
+    if key and share(key[0]) >= 0:
+        yield from one_of_many(key)
+    elif len(key) > 1:
+        ready += [r[:5] for r in key]
     if ready:
         yield table(*_solve(ready))
 
@@ -376,30 +418,35 @@ def cuts(part: bytes, own: int) -> Iterator[tuple[int, int, bytes]]:
         yield xxhash.xxh64_intdigest(piece, seed=2), right, part[right:]
 
 
-def _parts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(key, part, doc, lo, sum): the cuts of wanted fragments, taken from their documents."""
+def _parts(rows: DataFrame, wanted: DataFrame, hot_cuts: int) -> DataFrame:
+    """(key, part, doc, lo, sum, share): the cuts of wanted fragments, taken from their documents.
+
+    Cuts of an anchor with many (``k``) different fragments get a share by their content, others -1.
+    """
 
     def make():
         def run(batch: pa.RecordBatch) -> dict:
-            out: dict[str, list] = {"key": [], "part": [], "doc": [], "lo": [], "sum": []}
+            out: dict[str, list] = {"key": [], "part": [], "doc": [], "lo": [], "sum": [], "share": []}
             for doc, digest, data, want in zip(batch["doc"].to_pylist(), batch["sum"].to_pylist(), _bytes_of(batch), batch["want"].to_pylist()):
                 for w in want:
                     part = data[w["lo"] : w["lo"] + (w["shape"] >> 8)]
+                    shares = -(-w["k"] // hot_cuts)
                     for key, at, cut in cuts(part, w["shape"] & 255):
                         out["key"].append(key - (1 << 63))
                         out["part"].append(cut)
                         out["doc"].append(doc)
                         out["sum"].append(digest)
                         out["lo"].append(w["lo"] + at)
+                        out["share"].append(xxhash.xxh64_intdigest(cut, seed=3) % shares if shares > 1 else -1)
             return out
 
         return run
 
-    by_doc = wanted.groupBy("doc", "sum").agg(F.collect_set(F.struct("lo", "shape")).alias("want"))
+    by_doc = wanted.groupBy("doc", "sum").agg(F.collect_set(F.struct("lo", "shape", "k")).alias("want"))
     ids = _bounded(wanted.select("doc").distinct())  # of a wanted document or another of its id
     # a repeated row has the same bytes: one is enough
     some = (rows.join(ids, "doc", "left_semi") if ids is not None else rows).dropDuplicates(["doc", "sum"])
-    return map_slices(some.join(by_doc, ["doc", "sum"]).select("doc", "sum", "text", "want"), make, "key long, part binary, doc long, lo long, sum long", 64)
+    return map_slices(some.join(by_doc, ["doc", "sum"]).select("doc", "sum", "text", "want"), make, "key long, part binary, doc long, lo long, sum long, share long", 64)
 
 
 def _bounded(ids: DataFrame) -> DataFrame | None:
@@ -418,8 +465,14 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ship(spark)
     rows = _documents(docs, id_col, text_col)
     every = _fragments(rows)
-    twice = every.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    some = kept(spark, every.join(twice, "anchor"), "fragments")
+    twice = kept(spark, every.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"), "anchors")
+    # rows of a hot anchor are known to stay and are dealt by their place; such anchors are HOT_ANCHORS at most
+    least = max(HOT_ROWS, (twice.agg(F.sum("n")).first()[0] or 0) // HOT_ANCHORS)
+    hot = twice.where(F.col("n") > least).select("anchor", F.lit(True).alias("hot"))
+    marked = every.join(F.broadcast(hot), "anchor", "left")
+    marked = marked.withColumn("at", F.when(F.col("hot"), F.xxhash64("doc", "sum", "lo")).otherwise(F.col("anchor")))
+    some = marked.join(twice.select(F.col("anchor").alias("at"), "n"), "at", "left").where("hot OR n IS NOT NULL")
+    some = kept(spark, some.select(*every.columns), "fragments")
     classes = kept(
         spark,
         some.groupBy("anchor", "content").agg(F.min(F.struct("doc", "sum", "lo", "shape")).alias("first"), F.count("*").alias("n")),
@@ -433,11 +486,21 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .select("doc", "lo", (F.col("lo") + F.shiftright("shape", 8)).alias("hi"), "sum")
     )
     # anchors whose fragments differ
-    mixed = classes.groupBy("anchor").agg(F.count("*").alias("k")).where("k > 1").select("anchor")
-    wanted = kept(spark, classes.join(mixed, "anchor").select("anchor", "first.*"), "fragment-wanted")
-    parts = _parts(rows, wanted)
-    dealt = parts.repartition("key").sortWithinPartitions("key", "part", "doc", "sum", "lo")
-    return copies.unionAll(dealt.mapInArrow(_shard_spans, "doc long, lo long, hi long, sum long"))
+    mixed = kept(spark, classes.groupBy("anchor").agg(F.count("*").alias("k")).where("k > 1"), "anchors-mixed")
+    wanted = kept(spark, classes.join(mixed, "anchor").select("anchor", "first.*", "k"), "fragment-wanted")
+    parts = _parts(rows, wanted, HOT_CUTS)
+    dealt = parts.repartition("key", "share").sortWithinPartitions("key", "share", "part", "doc", "sum", "lo")
+    dealt = dealt.select("key", "part", "doc", "lo", "sum", "share")
+    found = dealt.mapInArrow(_shard_spans, "doc long, lo long, hi long, sum long, hash binary")
+    spans = ["doc", "lo", "hi", "sum"]
+    if (wanted.agg(F.max("k")).first()[0] or 0) <= HOT_CUTS:
+        return copies.unionAll(found.select(*spans))
+    # the same string in several shares: all places but the earliest
+    found = kept(spark, found, "spans-found")
+    strings = found.where("hash IS NOT NULL")
+    first = strings.groupBy("hash").agg(F.min(F.struct("doc", "sum", "lo")).alias("first"), F.count("*").alias("times")).where("times > 1")
+    late = strings.join(first, "hash").where(F.struct("doc", "sum", "lo") != F.col("first"))
+    return copies.unionAll(found.where("hash IS NULL").select(*spans)).unionAll(late.select(*spans))
 
 
 def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -149,3 +149,60 @@ def test_cuts_hold_every_string_once_and_share_its_key():
                     own_key = [k for k, _, c in X.cuts(cut[s : s + X.WINDOW], o - a - at - s)]
                     assert own_key == [key]
             assert starts == list(range(b - a - X.WINDOW + 1))
+
+
+def test_hot_anchors_in_shares_equal_brute_force(spark, monkeypatch):
+    """Every anchor counts as hot: cuts in shares, strings compared by their hashes."""
+    rng = random.Random(8)
+    line = "".join(rng.choice("abcdefgh ") for _ in range(70))  # shorter than a string, in many contexts
+    sides = ["".join(rng.choice("xyz ") for _ in range(rng.randint(20, 60))) for _ in range(8)]
+    many = [rng.choice(sides) + line + rng.choice(sides) + str(i % 30) for i in range(150)]
+    docs = list(enumerate(texts(6, 40) + many))
+    masks = brute([(i, t.encode()) for i, t in docs])
+    want = {expected(i, t.encode(), masks[i]) for i, t in docs}
+    monkeypatch.setattr(X, "HOT_CUTS", 4)
+    monkeypatch.setattr(X, "HOT_ROWS", 1)
+    got = {tuple(r) for r in X.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string").repartition(5)).collect()}
+    assert got == want
+
+
+def cuts_of_one_piece(n, seed=4):
+    """Cuts that share a piece, in different contexts of which some are equal."""
+    rng = np.random.default_rng(seed)
+    piece = b"Licensed under terms that a third of all documents repeat word by w"
+    letters = np.frombuffer(b"abcdefghijklmnop", np.uint8)
+    left = letters[rng.integers(0, 16, (n, 36))]
+    right = letters[rng.integers(0, 16, (n, 4))]
+    left[n // 2 :] = left[: n - n // 2]  # strings that reach to the left repeat
+    return [(1, left[i].tobytes() + piece + right[i].tobytes(), i, 0, 0) for i in range(n)]
+
+
+def test_two_hundred_thousand_cuts_of_one_piece():
+    """Time grows with the cuts, not with their square, and a task holds its share only."""
+    import resource
+    import time
+
+    rows = cuts_of_one_piece(200_000)
+    shares = -(-len(rows) // X.HOT_CUTS)
+    dealt: list[list] = [[] for _ in range(shares)]
+    for r in rows:
+        share = X.xxhash.xxh64_intdigest(r[1], seed=3) % shares
+        dealt[share].append((*r, share))
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    times, strings, spans = [], {}, set()
+    for part in dealt:
+        part.sort()
+        batch = pa.RecordBatch.from_pydict({n: [r[k] for r in part] for k, n in enumerate(("key", "part", "doc", "lo", "sum", "share"))})
+        began = time.process_time()
+        for out in X._shard_spans(iter([batch])):
+            for doc, lo, hi, _, h in zip(*[c.to_pylist() for c in out.columns]):
+                if h is None:
+                    spans.add((doc, lo, hi))
+                else:
+                    strings.setdefault(h, []).append((doc, lo))
+        times.append(time.process_time() - began)
+    assert max(times) < 20 * min(times)  # no share stands out
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 6_000_000  # mostly what this test itself gathers
+    late = {p[0] for places in strings.values() for p in sorted(set(places))[1:]}
+    # exactly the documents of the second half hold strings that an earlier one holds
+    assert late | {d for d, _, _ in spans} == set(range(100_000, 200_000))
