@@ -107,3 +107,89 @@ def test_masked_text_has_no_base_span(spark, edge_docs, no_docs):
 
 def test_joined_order():
     assert S.joined([(5, 9, 2), (0, 3, 1), (5, 8, 0)]) == "access:0:3,assign:5:8,hex:5:9"
+
+
+def plain_random_spans(text, base, tokens_of):
+    """The method's spans said plainly: every stretch of parts tried, the longest that hold kept."""
+    import regex
+
+    def limit(n):
+        return 2.25 if n >= 20 else 2.0 if n >= 16 else 2.6
+
+    out = []
+    for m in regex.finditer(r"(?<![A-Za-z0-9+/_=.\-])[A-Za-z0-9+/_=.\-]{16,}", text):
+        run = m[0]
+        if S.is_known(run.rstrip(".-")):
+            continue
+        parts = []
+        for p in regex.finditer("[A-Za-z0-9]+", run):
+            inside = any(u.start() < p.end() and p.start() < u.end() for u in S._UUID.finditer(run))
+            if inside or len(p[0]) >= 16 and S.is_known(p[0]):
+                kind = "word"
+            elif len(p[0]) < 4 or p[0].isdigit() or len(p[0]) <= 5 and tokens_of(p[0]) == 1:
+                kind = "mute"
+            else:
+                kind = "random" if len(p[0]) / tokens_of(p[0]) < limit(len(p[0])) else "word"
+            parts.append((p.start(), p.end(), kind, p[0]))
+        for i in range(len(parts)):
+            for j in range(len(parts), i, -1):
+                some = parts[i:j]
+                if some[0][2] != "random" or some[-1][2] != "random" or any(p[2] == "word" for p in some):
+                    continue
+                if any(p[2] == "random" for p in parts[max(0, i - 1) : i]):
+                    continue
+                before = next((p[2] for p in reversed(parts[:i]) if p[2] != "mute"), "word")
+                after = next((p[2] for p in parts[j:] if p[2] != "mute"), "word")
+                if before == "random" or after == "random":
+                    continue  # part of a longer stretch
+                own = [p[3] for p in some if p[2] == "random"]
+                size = sum(map(len, own))
+                if size >= 16 and size / sum(map(tokens_of, own)) < limit(size):
+                    a, b = m.start() + some[0][0], m.start() + some[-1][1]
+                    if not any(s < b and a < e for s, e, _ in base):
+                        out.append((a, b, 3))
+    return out
+
+
+def test_method_spans_equal_plain_version_and_find_glued_keys():
+    import string
+
+    import public_tokenizers
+
+    from bitext.llm.bytebpe import read_ranks
+
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
+        scanner = S.Scanner(read_ranks(f.read()), public_tokenizers.PATTERN)
+    rng = random.Random(6)
+    alphabets = [string.ascii_letters + string.digits, string.ascii_lowercase + string.digits, string.ascii_uppercase + string.digits, string.ascii_letters]
+    words = "documentation repository international example download README config v2 src main 2024 org the".split()
+    found = {"alone": 0, "glued": 0, "behind a path": 0}
+    for k in range(300):
+        key = "".join(rng.choice(alphabets[k % 4]) for _ in range(20))
+        cases = {
+            "alone": f"see {key} here",
+            "glued": f"x {rng.choice(words)}_{key}.{rng.choice(words)}",
+            "behind a path": f"https://example.org/files/documentation/international/{key}",
+        }
+        for name, text in cases.items():
+            at = text.index(key)
+            base = S.base_spans(text)
+            spans = scanner.random_spans(text, base)
+            assert spans == plain_random_spans(text, base, scanner.count)
+            found[name] += any(a <= at and b >= at + 20 or a < at + 20 and at < b and min(b, at + 20) - max(a, at) >= 16 for a, b, _ in [*spans, *base])
+    assert min(found.values()) >= 285  # 0.95
+    for _ in range(300):  # runs of all kinds of parts
+        pieces = [rng.choice([rng.choice(words), "".join(rng.choice(alphabets[0]) for _ in range(rng.randint(1, 24))), "12345678-1234-1234-1234-1234567890ab", "0" * 9]) for _ in range(rng.randint(1, 8))]
+        text = "".join(p + rng.choice("/._-+= ") for p in pieces)
+        base = S.base_spans(text)
+        assert scanner.random_spans(text, base) == plain_random_spans(text, base, scanner.count)
+    for plain in ("repository/documentation/download/international", "mail7.example.com/archive", "nichtchzulichein", "edtionrereinsh.78", "getHttpResponseCodeFromServer"):
+        assert scanner.random_spans(plain, []) == []
+
+
+def test_extra_columns_of_any_name_stay(spark):
+    import public_tokenizers
+
+    docs = spark.createDataFrame([(1, "password: abcdef1 end", "keep", "too")], "doc_id long, text string, masked string, masked_ string")
+    got = S.redact(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).first()
+    assert tuple(got) == (1, "[secret] end", "keep", "too")
