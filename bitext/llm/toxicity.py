@@ -290,6 +290,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", max_rows:
         return None
     if n > max_rows:
         marks = marks.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.lit(1_000_000 * max_rows // n))
+    marks = F.broadcast(marks)  # about max_rows rows of 16 bytes at most
     train = kept(spark, pick(docs, doc_id=id_col, text=text_col).join(marks, "doc_id").select("text", "y"), "toxicity-train")
     n, n_toxic = train.agg(F.count("*"), F.sum("y")).first()
     if not n or not 0 < n_toxic < n:
