@@ -1,18 +1,19 @@
 """Main text of web pages by removal of site templates.
 
-A page is parsed into a tree; every container subtree gets a hash of its markup
-and text, those inside the article with their prose too.  Spark counts, per
-host, on how many different pages each subtree occurs; those on ``MIN_PAGES`` or
-more are the site's template and are deleted, with everything below.  A passage
-that many pages quote stays if it is a bare paragraph or a block quote; a box
-around it that recurs as a whole is template.  What says by
-its tag, role, class or id that it is a menu, header, footer, sidebar, notice,
-advert, form or comment goes too.  The rest of the article is the main text.
+A page is parsed into a tree; every subtree gets a hash of its markup and text.
+Spark counts, per host, on how many different pages each subtree occurs; those on
+``MIN_PAGES`` or more are the site's template and are deleted from the whole page,
+with everything below.  A passage that many pages quote stays if it is a bare
+paragraph or a block quote; a box around it that recurs as a whole is template.
+What differs from page to page but says by its tag, role, class or id that it is a
+menu, header, footer, sidebar, notice, advert, form or comment goes next.  What
+remains is the main text.  An ``article`` or ``main`` is a hint only: where it has
+at least a quarter of the remaining characters, the rest goes too.
 
 Scale: counting is a partial aggregate over (host, hash, page digest), so a host
-with a third of all pages is summed before it moves.  Only templates that occur
-inside an article are listed; up to ``BROADCAST_HASHES`` of them go to every task
-as eight bytes each, more are joined with the pages' subtrees by host and hash.
+with a third of all pages is summed before it moves.  Up to ``BROADCAST_HASHES``
+templates go to every task as eight bytes each, more are joined with the pages'
+subtrees by host and hash.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ from bitext.llm.urlfilter import host_of
 
 #: A subtree is template if so many different pages of its host have it.
 MIN_PAGES = 4
+#: An article element is believed if it holds one in so many of the remaining characters.
+HINT_SHARE = 4
 #: Template hashes in all up to which they are broadcast; beyond, a shuffle join.
 BROADCAST_HASHES = 500_000
 #: Parts of a (host, hash) in that join, for templates on very many pages.
@@ -62,7 +65,7 @@ PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dd dt td th figcaption"
 MARKS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr "
     "notice notices notification alert popup modal overlay nav navbar navigation menu breadcrumb breadcrumbs sidebar aside "
-    "footer header masthead comment comments disqus respond share sharing social related recommended newsletter subscribe "
+    "footer header masthead comment comments reply replies disqus respond share sharing social related recommended newsletter subscribe "
     "signup login widget pagination pager complementary contentinfo search".split()
 )
 
@@ -140,25 +143,28 @@ def is_marked(node: Node) -> bool:
     return any(MARKS.intersection(_PIECE.split((a or b or c).lower())) for _, a, b, c in _ATTR.findall(node.attrs))
 
 
-def main_nodes(root: Node) -> list[Node]:
-    """The outermost article elements that aren't marked, else main, else the body or all."""
-
-    def outermost(tag: str) -> list[Node]:
-        found, todo = [], [root]
-        while todo:
-            node = todo.pop()
-            if node is not root and is_marked(node):
-                continue
-            if node.tag == tag:
-                found.append(node)
-            else:
-                todo += [x for x in reversed(node.parts) if not isinstance(x, str)]
-        return found
+def _outermost(root: Node, tag: str) -> list[Node]:
+    """The outermost elements of a tag that aren't marked, in page order."""
+    found, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        if node is not root and is_marked(node):
+            continue
+        if node.tag == tag:
+            found.append(node)
+        else:
+            todo += [x for x in reversed(node.parts) if not isinstance(x, str)]
+    return found
+
+
+def hinted_nodes(root: Node) -> list[Node]:
+    """What the page itself calls its text: the article elements, else main; may be none."""
+    return _outermost(root, "article") or _outermost(root, "main")
+
 
-    for tag in ("article", "main", "body"):
-        if found := outermost(tag):
-            return found
-    return [root]
+def main_nodes(root: Node) -> list[Node]:
+    """Where only containers can be template: the hinted elements, else the body or all."""
+    return hinted_nodes(root) or _outermost(root, "body") or [root]
 
 
 def subtree_hashes(root: Node) -> dict[int, int]:
@@ -181,65 +187,64 @@ def subtree_hashes(root: Node) -> dict[int, int]:
     return out
 
 
-def candidates(root: Node) -> list[tuple[Node, bool]]:
-    """(element, whether it is inside the article) of what template removal may delete.
+def candidates(root: Node) -> list[Node]:
+    """The elements that template removal may delete.
 
     Outside the article every element that isn't void; inside it only
     containers, with the prose they hold, but never prose by itself (paragraphs,
     headings, list items, cells), what a block quote holds, nor what encloses
-    the article: a passage that many pages quote stays.
+    the article: a passage that many pages quote stays.  Of several articles on
+    a page each is a candidate.
     """
     tops = main_nodes(root)
     mains = {id(m) for m in tops}
-    above = set()
+    fixed = set() if len(tops) > 1 else set(mains)
     for m in tops:
         node = m.parent
         while node is not None:
-            above.add(id(node))
+            fixed.add(id(node))
             node = node.parent
     out, todo = [], [(root, False)]
     while todo:
         node, inside = todo.pop()
         inside = inside or id(node) in mains
-        if node is not root and id(node) not in above and id(node) not in mains and node.tag not in VOID:
+        if node is not root and id(node) not in fixed and node.tag not in VOID:
             if not inside or node.tag not in PROSE and node.tag in BLOCKS:
-                out.append((node, inside))
+                out.append(node)
         if not inside or node.tag != "blockquote":
             todo += [(x, inside) for x in node.parts if not isinstance(x, str)]
     return out
 
 
 def text_of(root: Node, gone: set[int]) -> str:
-    """Blocks of the article, one a line, without marked elements and those in ``gone``."""
-    blocks: list[list[str]] = [[]]
-
-    def close() -> None:
-        if blocks[-1]:
-            blocks.append([])
-
-    for top in main_nodes(root):
-        close()
-        todo: list = [(top, False)]
-        while todo:
-            item, ending = todo.pop()
-            if isinstance(item, str):
-                blocks[-1].append(item)
-                continue
-            if ending:
-                close()
-                continue
-            if id(item) in gone or item is not top and is_marked(item):
-                continue
-            if item.tag == "br":
-                blocks[-1].append(" ")
-                continue
-            if item.tag in BLOCKS:
-                close()
-                todo.append((item, True))
-            todo += [(x, False) for x in reversed(item.parts)]
-        close()
-    lines = (_SPACE.sub(" ", entities.unescape("".join(b))).strip() for b in blocks)
-    return "\n".join(x for x in lines if x)
+    """Blocks that remain of the page, one a line, without those in ``gone`` and marked elements.
+
+    If the hinted elements hold at least a quarter of the characters, only theirs.
+    """
+    hinted = {id(m) for m in hinted_nodes(root)}
+    blocks: list[tuple[bool, list[str]]] = [(False, [])]
+    todo: list = [(root, False, False)]  # part, whether its end, whether inside a hinted element
+    while todo:
+        item, ending, inside = todo.pop()
+        if isinstance(item, str):
+            blocks[-1][1].append(item)
+            continue
+        if ending:
+            blocks.append((inside, []))
+            continue
+        if id(item) in gone or item is not root and is_marked(item):
+            continue
+        if item.tag == "br":
+            blocks[-1][1].append(" ")
+            continue
+        within = inside or id(item) in hinted
+        if item.tag in BLOCKS:
+            blocks.append((within, []))
+            todo.append((item, True, inside))
+        todo += [(x, False, within) for x in reversed(item.parts)]
+    lines = [(inside, _SPACE.sub(" ", entities.unescape("".join(b))).strip()) for inside, b in blocks if b]
+    trusted = HINT_SHARE * sum(len(x) for inside, x in lines if inside) >= sum(len(x) for _, x in lines)
+    return "\n".join(x for inside, x in lines if x and (inside or not (hinted and trusted)))
 
 
 # ---- Spark ------------------------------------------------------------------
@@ -259,8 +264,7 @@ def _key(host: str, value: int) -> int:
 
 
 def subtree_counts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, hash, pages, inside): on how many different pages each subtree occurs,
-    and whether it is inside an article on any of them.
+    """(host, hash, pages): on how many different pages of its host each subtree occurs.
 
     Pages of a host with equal bodies count once, so copies of a page don't turn
     its text into template.
@@ -268,31 +272,26 @@ def subtree_counts(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
 
     def make():
         def run(batch: pa.RecordBatch) -> dict:
-            host, page, value, within = [], [], [], []
+            host, page, value = [], [], []
             for h, text in zip(batch["host"].to_pylist(), batch["html"].to_pylist()):
                 root = parse(text or "")
                 hashes = subtree_hashes(root)
                 body = xxhash.xxh64_intdigest(b"".join(hashes[id(m)].to_bytes(8, "little") for m in main_nodes(root)))
-                found: dict[int, bool] = {}
-                for x, inside in candidates(root):
-                    found[hashes[id(x)]] = inside or found.get(hashes[id(x)], False)
+                found = {hashes[id(x)] for x in candidates(root)}
                 host += [h] * len(found)
                 page += [_signed(body)] * len(found)
                 value += [_signed(x) for x in found]
-                within += found.values()
-            return {"host": host, "page": page, "hash": value, "inside": within}
+            return {"host": host, "page": page, "hash": value}
 
         return run
 
-    rows = map_slices(
-        _rows(pages, id_col, url_col, html_col).select("host", "html"), make, "host string, page long, hash long, inside boolean"
-    )
-    return rows.distinct().groupBy("host", "hash").agg(F.count("*").alias("pages"), F.max("inside").alias("inside"))
+    rows = map_slices(_rows(pages, id_col, url_col, html_col).select("host", "html"), make, "host string, page long, hash long")
+    return rows.distinct().groupBy("host", "hash").agg(F.count("*").alias("pages"))
 
 
 def templates(counts: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(host, hash): the template subtrees that deleting can matter for."""
-    return counts.where((F.col("pages") >= min_pages) & F.col("inside")).select("host", "hash")
+    """(host, hash): the subtrees that recur on enough pages of their host."""
+    return counts.where(F.col("pages") >= min_pages).select("host", "hash")
 
 
 def _gone(rows: DataFrame, found: DataFrame) -> DataFrame:
@@ -304,7 +303,7 @@ def _gone(rows: DataFrame, found: DataFrame) -> DataFrame:
             for host, at, page in zip(batch["host"].to_pylist(), batch["at"].to_pylist(), batch["html"].to_pylist()):
                 root = parse(page or "")
                 hashes = subtree_hashes(root)
-                own = {hashes[id(x)] for x, inside in candidates(root) if inside}
+                own = {hashes[id(x)] for x in candidates(root)}
                 out["host"] += [host] * len(own)
                 out["at"] += [at] * len(own)
                 out["hash"] += [_signed(x) for x in own]
@@ -345,9 +344,9 @@ def extract(
 
         def dropped(root: Node, host: str, gone: list[int] | None) -> set[int]:
             if not (len(known) if few else gone):
-                return set()
+                return set()  # nothing recurs
             hashes = subtree_hashes(root)
-            own = [x for x, inside in candidates(root) if inside]
+            own = candidates(root)
             if few:
                 keys = np.array([_key(host, hashes[id(x)]) for x in own], np.int64)
                 at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
