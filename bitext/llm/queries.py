@@ -100,8 +100,8 @@ WARC_SQL = f"""
 WITH rows AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
 holders AS (SELECT html, max(page_id) AS holder FROM rows WHERE strlen(html) >= {warc.MIN_REVISIT_BYTES} GROUP BY html)
 SELECT r.page_id, strlen(r.html) AS payload_bytes, sha1(r.html) AS payload_digest,
-  CASE WHEN h.holder <> r.page_id THEN 'revisit' ELSE 'response' END AS record_type,
-  CASE WHEN h.holder <> r.page_id THEN h.holder END AS refers_to
+  CASE WHEN h.holder <> coalesce(r.page_id, h.holder - 1) THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN h.holder <> coalesce(r.page_id, h.holder - 1) THEN h.holder END AS refers_to
 FROM rows r LEFT JOIN holders h ON r.html = h.html"""
 
 ORACLE = {

@@ -25,7 +25,7 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bitext.llm.common import map_slices, pick
@@ -155,11 +155,14 @@ def salvage(data: bytes) -> Iterator[tuple]:
         at = 0
         while at < len(data):
             if data[at : at + 3] != _GZIP:
-                # plain records up to the next member that opens
-                stop = _next_member(data, at)
-                for kind, a, b, x in _plain(data[at:stop]):
-                    yield kind, at + a, at + b, x
-                at = stop
+                # a plain record may hold members: only a failed check starts a search
+                try:
+                    got, end = parse_record(data, at)
+                    yield "record", at, end, got
+                except Bad as why:
+                    end = _next_start(data, at + 1)
+                    yield "gap", at, end, str(why)
+                at = end
                 continue
             body, end, why = _member(data, at)
             if body is None:
@@ -199,14 +202,6 @@ def _member(data: bytes, at: int) -> tuple[bytes | None, int, str]:
     return b"".join(body), min(pos, len(data)) - len(unpack.unused_data), ""
 
 
-def _next_member(data: bytes, at: int) -> int:
-    while (at := data.find(_GZIP, at)) >= 0:
-        if _member(data, at)[0] is not None:
-            return at
-        at += 1
-    return len(data)
-
-
 def _next_start(data: bytes, at: int) -> int:
     """The next valid member or version line."""
     version = _VERSION.search(data, at)
@@ -221,17 +216,22 @@ def _next_start(data: bytes, at: int) -> int:
 # ---- Spark ------------------------------------------------------------------
 
 
+def _row_key() -> Column:
+    return F.coalesce("page_id", F.xxhash64("html")).alias("row_key")
+
+
 def revisits(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
-    """(page_id, held array<struct<sha1, holder>>) of pages whose payload another page holds.
+    """(row_key, held array<struct<sha1, holder>>) of pages whose payload another page holds.
 
     Works on ids and digests only.  A payload that very many pages share is one
-    row on one side of a join that Spark splits when it is skewed.
+    row on one side of a join that Spark splits when it is skewed.  ``row_key``
+    is the id, or 64 bits of the payload where there is none.
     """
-    rows = pages.select("page_id", F.octet_length("html").alias("size"), F.sha1(F.col("html").cast("binary")).alias("sha1"))
-    rows = rows.where(F.col("size") >= min_bytes).select("page_id", "sha1")
+    rows = pages.select("page_id", _row_key(), F.octet_length("html").alias("size"), F.sha1(F.col("html").cast("binary")).alias("sha1"))
+    rows = rows.where(F.col("size") >= min_bytes).select("page_id", "row_key", "sha1")
     shared = rows.groupBy("sha1").agg(F.max("page_id").alias("holder"), F.count("*").alias("n")).where("n > 1").drop("n")
-    others = rows.join(shared, "sha1").where("page_id <> holder")
-    return others.groupBy("page_id").agg(F.collect_set(F.struct("sha1", "holder")).alias("held"))
+    others = rows.join(shared, "sha1").where("holder is not null and not page_id <=> holder")
+    return others.groupBy("row_key").agg(F.collect_set(F.struct("sha1", "holder")).alias("held"))
 
 
 def write_archives(
@@ -245,9 +245,10 @@ def write_archives(
 ) -> None:
     """Write one record per page below ``path``.
 
-    Null html is an empty payload; a null id gives a response record without an
-    id, which no revisit names; rows that repeat the holder's id are responses
-    too; an empty table writes no record.
+    Null html is an empty payload; a row without an id gives a record without
+    one, which no revisit names: a revisit if a row with an id holds its payload,
+    else a response.  Rows that repeat the holder's id are responses too; an empty
+    table writes no record.
     """
     spark = pages.sparkSession
     rows = pick(pages, page_id=id_col, url=url_col, html=html_col).withColumn("html", F.coalesce("html", F.lit("")))
@@ -255,8 +256,8 @@ def write_archives(
     # archives of a bounded size, dealt by id: the join needs no other shuffle of the
     # pages (at fewer partitions than its own, Spark would deal them again)
     archives = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // archive_bytes))
-    dealt = rows.repartition(archives, "page_id")
-    marked = dealt.join(revisits(rows, min_bytes).repartition(archives, "page_id"), "page_id", "left")
+    dealt = rows.select("*", _row_key()).repartition(archives, "row_key")
+    marked = dealt.join(revisits(rows, min_bytes).repartition(archives, "row_key"), "row_key", "left")
 
     def make():
         def run(batch: pa.RecordBatch) -> dict:
@@ -264,7 +265,7 @@ def write_archives(
             for page_id, url, html, held in zip(*[batch[c].to_pylist() for c in ("page_id", "url", "html", "held")]):
                 body = html.encode()
                 digest = hashlib.sha1(body).hexdigest()
-                holder = next((x["holder"] for x in held or () if x["sha1"] == digest), None)
+                holder = next((x["holder"] for x in held or () if x["sha1"] == digest and x["holder"] != page_id), None)
                 members.append(gzip_member(build_record(page_id, url, body, digest, holder))[:-1])
             return {"member": members}
 

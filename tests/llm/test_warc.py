@@ -26,7 +26,7 @@ def test_round_trip_and_revisits(spark):
         assert got[page_id]["payload_digest"] == hashlib.sha1(body).hexdigest()
         if got[page_id]["record_type"] == "response":
             assert bytes(got[page_id]["payload"]) == body
-    assert {i: (r["record_type"], r["refers_to"]) for i, r in got.items() if r["record_type"] != "response"} == {1: ("revisit", 9), 4: ("revisit", 9)}
+    assert {i: (r["record_type"], r["refers_to"]) for i, r in got.items() if r["record_type"] != "response"} == {1: ("revisit", 9), 4: ("revisit", 9), None: ("revisit", 10)}
     assert got[7]["url"] == "u Evil: x"
     # the files are plain multi-member gzip
     names = [os.path.join(path, n) for n in os.listdir(path) if n.startswith("part-")]
@@ -89,3 +89,16 @@ def test_member_over_the_zero_byte_limit():
     member = warc.gzip_member(warc.build_record(1, "u", body, hashlib.sha1(body).hexdigest(), None))
     assert member[-1] == 0
     assert [x[0] for x in seen(member + members(1)[0])] == ["record", "record"]
+
+
+def test_plain_records_may_hold_members():
+    """Valid uncompressed records come back whole, whatever their payloads hold."""
+    inner = gzip.compress(b"WARC/1.1\r\nnot a record of this file" * 9)
+    plain = [warc.build_record(i, f"http://h/{i}", body, hashlib.sha1(body).hexdigest(), None) for i, body in enumerate([b"a" * 50, inner, b"c" * 50])]
+    assert [(k, x) for k, _, _, x in seen(b"".join(plain))] == [("record", 0), ("record", 1), ("record", 2)]
+    broken = bytearray(b"".join(plain))
+    broken[len(plain[0]) + 5 : len(plain[0]) + 8] = b"x.x"
+    found = seen(bytes(broken))
+    assert [x for k, _, _, x in found if k == "record"] == [0, 2] and any(k == "gap" for k, *_ in found)
+    # a member after plain records
+    assert [x for _, _, _, x in seen(plain[0] + members(4)[3] + plain[2])] == [0, 3, 2]
