@@ -24,8 +24,13 @@ from bitext.llm.common import map_slices, pick
 
 #: Longest vocabulary file that is broadcast, bytes.
 MAX_VOCAB_BYTES = 64 << 20
-#: Distinct matches kept encoded per task; beyond it the cache starts anew.
-CACHE_MATCHES = 400_000
+#: Bytes of matches and ids kept encoded per task (the objects around them come on
+#: top, about 150 bytes a match); beyond it the cache starts anew.
+CACHE_BYTES = 32 << 20
+#: What a match counts in it besides its own bytes.
+CACHE_ENTRY = 80
+#: Matches with more characters are encoded where they stand and not remembered.
+CACHED_CHARS = 64
 #: Rows of one matrix times its width, at most.
 MATRIX_CELLS = 1 << 20
 #: Matches longer than this are merged one by one, every occurrence at once.
@@ -208,18 +213,26 @@ class Encoder:
     """Text -> ids with a cache of encoded matches (as little-endian uint32 bytes)."""
 
     def __init__(self, vocab: Vocabulary, pattern: str):
-        self.vocab, self.find, self.seen = vocab, regex.compile(pattern).findall, {}
+        self.vocab, self.find = vocab, regex.compile(pattern).findall
+        self.seen, self.held = {}, 0
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as little-endian unsigned 32-bit integers."""
         matches = [self.find(t) for t in texts]
+        if self.held > CACHE_BYTES:
+            self.seen, self.held = {}, 0
         new = list(set().union(*matches) - self.seen.keys())
-        if len(self.seen) > CACHE_MATCHES:
-            self.seen = {}
-            new = list(set().union(*matches))
+        long = []
         for word, ids in zip(new, self.vocab.encode_many([w.encode() for w in new])):
-            self.seen[word] = ids.astype("<u4").tobytes()
-        return [b"".join(map(self.seen.__getitem__, m)) for m in matches]
+            self.seen[word] = coded = ids.astype("<u4").tobytes()
+            if len(word) > CACHED_CHARS:
+                long.append(word)
+            else:
+                self.held += len(word) + len(coded) + CACHE_ENTRY
+        done = [b"".join(map(self.seen.__getitem__, m)) for m in matches]
+        for word in long:
+            del self.seen[word]
+        return done
 
     def decode(self, ids: bytes) -> bytes:
         """The bytes of the tokens, joined."""

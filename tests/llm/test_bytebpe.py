@@ -42,7 +42,8 @@ def test_encode_and_decode_are_inverse(edge_docs, no_docs):
 
 
 def test_cache_restart_keeps_results(monkeypatch):
-    monkeypatch.setattr(bytebpe, "CACHE_MATCHES", 3)
+    monkeypatch.setattr(bytebpe, "CACHE_BYTES", 300)
     enc = bytebpe.Encoder(bytebpe.Vocabulary(RANKS), public_tokenizers.PATTERN)
-    for text in ("one two three four", "five six one", "one two"):
+    for text in ("one two three four", "five six one", "one two", "x" * 5000, "one " + "xy" * 900, "x" * 5000):
         assert list(struct.unpack(f"<{len(TIK.encode_ordinary(text))}I", enc.encode([text])[0])) == TIK.encode_ordinary(text)
+        assert max(map(len, enc.seen), default=0) <= bytebpe.CACHED_CHARS and enc.held <= 300 + 2000
