@@ -179,7 +179,8 @@ def fit(stats: DataFrame, labels: DataFrame, label_col: str = "quality", max_row
     scale = np.where(dev > 1e-9, dev, 1.0)
     # the ridge learns from two folds, the curve from the third
     left, right = _normal_equations(train.where("fold <> 3"), mean, scale)
-    weights = np.linalg.solve(left + RIDGE * max(n, 1) * np.diag([1.0] * FEATURES + [1e-6]), right)
+    used = left[-1, -1]  # rows in the equations: the last feature is 1
+    weights = np.linalg.solve(left + RIDGE * max(used, 1) * np.diag([1.0] * FEATURES + [1e-6]), right)
     model = Model(mean, scale, weights, np.array([0.0]), np.array([0.0]))
 
     def make():

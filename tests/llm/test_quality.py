@@ -82,3 +82,15 @@ def test_edges_of_the_input(spark, edge_docs, no_docs):
     assert kept.columns == edge_docs.columns
     want = sum(r["predicted"] for r in got)
     assert kept.count() == want
+
+
+def test_the_ridge_counts_the_rows_of_its_equations(spark, monkeypatch):
+    """A table that holds every row three times gives the same curve and weights."""
+    rng = np.random.default_rng(3)
+    k = len(quality.STATISTICS)
+    rows = [(i, [float(v) for v in rng.normal(size=k)], float(i % 3 == 0)) for i in range(400)]
+    stats = spark.createDataFrame([r[:2] for r in rows], "doc_id long, x array<double>")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, quality double")
+    one = quality.fit(stats, labels)
+    three = quality.fit(stats.unionAll(stats).unionAll(stats), labels)
+    np.testing.assert_allclose(one.weights, three.weights, rtol=1e-6, atol=1e-9)
