@@ -288,6 +288,10 @@ ORACLE["model_rows"] = L0 + (
     "CAST(len(src_ids) + 2 AS INTEGER) AS encoder_valid_len, CAST(len(tgt_ids) + 1 AS INTEGER) AS decoder_valid_len, "
     "src AS src_text, tgt AS tgt_text FROM fit"
 )
+ORACLE["row_lookup"] = L0 + (
+    f"SELECT rank, pair_id, {enc_in('src_ids')} AS encoder_input, {dec_in('tgt_ids')} AS decoder_input, {lab('tgt_ids')} AS labels "
+    "FROM (SELECT *, CAST(row_number() OVER (ORDER BY pair_id) - 1 AS BIGINT) AS rank FROM fit) WHERE rank % 97 = 0 AND rank < 9700"
+)
 TB = """tb AS (SELECT *, CAST(rank // 32 AS BIGINT) AS batch_id FROM (
   SELECT *, CAST(row_number() OVER (ORDER BY md5('42:1:' || pair_id), pair_id) - 1 AS BIGINT) AS rank
   FROM fit WHERE split = 'train'))"""
@@ -704,6 +708,7 @@ ORACLE["snapshot_write"] = w(METRICS) + (
     "SELECT 2 AS version, CAST(count(DISTINCT epoch) AS BIGINT) AS rows FROM metrics WHERE epoch <= 2"
 )
 ORACLE["snapshot_read"] = ORACLE["epoch_loss"]
+ORACLE["metric_stream"] = ORACLE["epoch_loss"]
 ATT = w(VECS, HEADS, SRCV, *attn_ctes("none", "hq", "e_"), *attn_ctes("causal", "hq", "d_"),
         *attn_ctes("valid", "hk", "c_"),
         "attn AS MATERIALIZED (SELECT seq_id, 'encoder' AS type, 0 AS layer, head, row, \"column\", weight AS value FROM e_wt "

@@ -9,7 +9,10 @@ from bitext.operators import layout as LO
 from bitext.operators import sample as S
 from bitext.operators.clean import filter_token_length, truncate_ids, validate_fit
 from bitext.plans.catalog import query
+from bitext.operators.ranking import ordered_rank
 from bitext.plans.q_tokenize import encoded_pairs
+from bitext.session import scratch_path
+from bitext.sources import row_store as RS
 
 SEQ = L.SEQ_LEN
 
@@ -61,6 +64,18 @@ def q_model_rows(spark, sf):
     return LO.model_rows(fit_pairs(spark, sf), SEQ)
 
 
+LOOKUP_EVERY, LOOKUPS = 97, 100  # row_lookup: the positions 0, 97, ... of a hundred requests
+
+
+@query("row_lookup")
+def q_row_lookup(spark, sf):
+    """All model rows stored by position; a hundred positions read from the files that hold them."""
+    rows = LO.model_rows(ordered_rank(fit_pairs(spark, sf), ["pair_id"]), SEQ, keep=("rank", "pair_id"))
+    path = scratch_path(spark, "model-rows")
+    RS.write_rows(rows.select("rank", "pair_id", "encoder_input", "decoder_input", "labels"), path)
+    return RS.read_rows(spark, path, range(0, LOOKUP_EVERY * LOOKUPS, LOOKUP_EVERY))
+
+
 def train_batches(spark, sf):
     fit = fit_pairs(spark, sf).where(F.col("split") == "train")
     return S.assign_batches(fit, "pair_id", epoch=1)

@@ -18,9 +18,11 @@ from bitext.plans.catalog import query, r6
 from bitext.plans.q_prepare import kept_split
 from bitext.plans.q_tokenize import NUM_MERGES, encode_sides, encoded_pairs, tokenizer, tokenizers, train_sentences
 from bitext.session import scratch_path
+from bitext.sources import attention_store as ATS
 from bitext.sources import fixtures as X
 from bitext.sources import snapshots as SN
 from bitext.sources import vocab_store as VS
+from bitext.streaming import metric_sink as MS
 from bitext.streaming import prepare_stream as ST
 
 H = 8
@@ -64,6 +66,15 @@ def q_corpus_stats(spark, sf):
                     r6("avg_src_words").alias("avg_src_words"), "src_tokens", "tgt_tokens", "max_src_tokens", "max_tgt_tokens")
 
 
+@query("metric_stream")
+def q_metric_stream(spark, sf):
+    """Epoch losses kept by a stream over metric files in three micro-batches or more."""
+    root = scratch_path(spark, "metric-stream")
+    X.metrics(spark, sf).repartition(6, "step").write.parquet(f"{root}/in")
+    MS.metric_stream(spark, f"{root}/in", root, files_per_trigger=2)
+    return MS.epoch_losses(spark, root).select("epoch", r6("loss").alias("loss"), "steps")
+
+
 # ----------------------------------------------------------------- vocabulary
 @query("vocab_lookup")
 def q_vocab_lookup(spark, sf):
@@ -112,8 +123,8 @@ def q_snapshot_read(spark, sf):
 
 
 # ----------------------------------------------------------------- attention analysis
-def attn_all(spark, sf):
-    """Long attention table of the three kinds (layer 0) over the embedding sequences."""
+def attn_parts(spark, sf):
+    """Long attention tables of the three kinds (layer 0) over the embedding sequences."""
     v = X.vecs(spark, sf)
     enc, _ = A.attention(v, "vec", H, "none", dk=8)
     dec, _ = A.attention(v, "vec", H, "causal", dk=8)
@@ -121,8 +132,12 @@ def attn_all(spark, sf):
     cross, _ = A.attention(v, "vec", H, "valid", kv_df=src, kv_vec="src_vec", valid=valid_lens(spark, sf), dk=8)
     parts = [enc.withColumn("type", F.lit("encoder")), dec.withColumn("type", F.lit("decoder")),
              cross.withColumn("type", F.lit("cross"))]
-    out = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return out.select("seq_id", "type", F.lit(0).alias("layer"), "head", "row", "column", F.col("weight").alias("value"))
+    return [p.select("seq_id", "type", F.lit(0).alias("layer"), "head", "row", "column", F.col("weight").alias("value")) for p in parts]
+
+
+def attn_all(spark, sf):
+    enc, dec, cross = attn_parts(spark, sf)
+    return enc.unionByName(dec).unionByName(cross)
 
 
 def valid_lens(spark, sf):
@@ -147,7 +162,10 @@ def q_attn_long(spark, sf):
 
 @query("attn_select")
 def q_attn_select(spark, sf):
-    a = AS.attention_select(attn_all(spark, sf), "decoder", layers=[0], heads=[0, 1, 2])
+    """Weights are stored by type and layer; the selection reads the decoder's folder only."""
+    path = scratch_path(spark, "attention")
+    ATS.write_attention(attn_parts(spark, sf), path)
+    a = ATS.read_attention(spark, path, "decoder", layers=[0], heads=[0, 1, 2])
     return a.select("seq_id", "head", "row", "column", r6("value").alias("value"))
 
 
