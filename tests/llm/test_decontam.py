@@ -76,6 +76,56 @@ def test_multi_index_finds_all_within_the_radius():
     assert set(zip(query.tolist(), member.tolist())) == set(zip(*(x.tolist() for x in np.nonzero(near))))
 
 
+def test_index_selects_and_stays_bounded():
+    """10,000 items of one size against 2,048 windows: every true pair, a tenth of the items looked at, few cells at once."""
+    rng = np.random.default_rng(2)
+    held = rng.integers(0, 2**64, 10_000, dtype=np.uint64)
+    held[5_000:5_010] = held[4_000]  # repeated items
+    ask = np.concatenate([held[::50], rng.integers(0, 2**64, 1_848, dtype=np.uint64)])
+    index = D.MultiIndex(held)
+    seen = np.zeros((64, len(index.fps)), bool)
+    for query, entry in index.candidates(ask[:64]):
+        seen[query, entry] = True
+    assert seen.mean() < 0.12
+    assert max(len(q) for q, _ in index.candidates(ask)) <= D.CELLS + len(held)
+    query, member = index.within(ask)
+    got = set(zip(query.tolist(), member.tolist()))
+    for at in range(0, len(ask), 256):
+        near = np.nonzero(np.bitwise_count(ask[at : at + 256, None] ^ held[None]) <= D.RADIUS)
+        want = {(at + a, b) for a, b in zip(*(x.tolist() for x in near))}
+        assert {(a, b) for a, b in got if at <= a < at + 256} == want
+
+
+def test_index_looks_near_values_up_in_large_tables():
+    rng = np.random.default_rng(4)
+    held = rng.integers(0, 2**64, 20_000, dtype=np.uint64)
+    index = D.MultiIndex(held)
+    assert any(len(near) < len(values) for _, _, _, values, near in index.blocks)
+    ask = rng.integers(0, 2**64, 40, dtype=np.uint64)
+    query, member = index.within(ask)
+    near = np.bitwise_count(ask[:, None] ^ held[None]) <= D.RADIUS
+    assert set(zip(query.tolist(), member.tolist())) == set(zip(*(x.tolist() for x in np.nonzero(near))))
+
+
+def test_radius_holds_nearly_all_windows_at_the_least_similarity():
+    rng = random.Random(6)
+    vocab = [b"w%d" % i for i in range(5_000)]
+    inside = total = 0
+    while total < 1_500:
+        item = [rng.choice(vocab) for _ in range(rng.randint(14, 120))]
+        window, changed = item, False
+        for _ in range(11):  # words changed as long as the similarity allows it
+            other = list(window)
+            other[rng.choice([0, -1, rng.randrange(len(item))])] = rng.choice(vocab)
+            if D.similarity(item, other) >= D.SIMILARITY:
+                window, changed = other, True
+        if changed:
+            a, b = (D.Finder._fingerprint(D._hash(w)) for w in (item, window))
+            inside += (a ^ b).bit_count() <= D.RADIUS
+            total += 1
+    assert inside >= 0.99 * total
+
+
 def test_edges_of_the_input(spark, edge_docs, no_docs):
     items = spark.createDataFrame([(1, "quick brown fox jumps over the lazy dog near the old river"), (None, "unfindable words of an item without id")], "item_id long, text string")
     got = D.contaminated(edge_docs, items).collect()
