@@ -1,10 +1,11 @@
 """Quality rules as a short-circuit cascade.
 
 Each rule reads measures of a text and rejects or passes it; a text is kept if
-no rule rejects it.  On a sample the cost of each rule (time to evaluate it and
-the measures it alone needs) and its selectivity (share rejected) are estimated,
-and rules run in the order of rejection per cost, so that most rejected texts
-meet a cheap rule first and dear measures are taken only of those that remain.
+no rule rejects it.  On a sample drawn from all partitions the cost of each rule
+(time to evaluate it and the measures it alone needs) and its selectivity (share
+rejected) are estimated, where the rows are, and rules run in the order of
+rejection per cost, so that most rejected texts meet a cheap rule first and dear
+measures are taken only of those that remain.
 The order changes the work, never the verdict: a text is kept exactly if all
 rules pass it.
 """
@@ -22,8 +23,9 @@ from pyspark.sql import DataFrame
 
 from bitext.llm.common import map_slices, pick
 
-#: Rows of the sample on which costs and selectivities are estimated.
+#: Rows, on the average, of the sample on which costs and selectivities are estimated.
 SAMPLE_ROWS = 400
+SAMPLE_SEED = 7
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _SYMBOL = re.compile(r"[#*$%&|<>]")
 WINDOW = 5
@@ -108,13 +110,13 @@ class Estimate:
     rejected: float  # share of the sample
 
 
-def estimate(texts: list[str | None], rules=RULES) -> list[Estimate]:
-    """Cost and selectivity of each rule on a sample, each on fresh measures."""
+def tally(texts: list[str | None], rules=RULES) -> list[tuple[str, float, int]]:
+    """(rule, seconds, texts rejected) of each rule over the texts, each on fresh measures."""
     out = []
     for rule in rules:
         began = time.perf_counter()
         hits = sum(bool(rule.rejects(Measures(t))) for t in texts)
-        out.append(Estimate(rule.name, (time.perf_counter() - began) / max(len(texts), 1), hits / max(len(texts), 1)))
+        out.append((rule.name, time.perf_counter() - began, hits))
     return out
 
 
@@ -123,13 +125,27 @@ def order(estimates: list[Estimate]) -> list[str]:
     return [e.name for e in sorted(estimates, key=lambda e: (-(e.rejected + 1e-6) / max(e.cost, 1e-9), e.name))]
 
 
-def plan(docs: DataFrame, text_col: str = "text", rules=RULES, rows: int = SAMPLE_ROWS) -> list[str]:
-    """The order of the rules for this table, from the texts of its first partitions' rows.
+def estimate(docs: DataFrame, text_col: str = "text", rules=RULES, rows: int = SAMPLE_ROWS) -> list[Estimate]:
+    """Cost and selectivity of each rule on a random sample of about ``rows`` rows of the whole table.
 
-    Only the order depends on these rows; the verdicts don't.
+    Every row has the same chance, wherever it lies.  The texts are measured in
+    the tasks that read them; only sums come back.
     """
-    texts = [r[0] for r in docs.select(docs[text_col].cast("string")).limit(rows).toLocalIterator()]
-    return order(estimate(texts, rules))
+    n = docs.count()
+    sample = docs.select(docs[text_col].cast("string").alias("text")).sample(min(1.0, rows / max(n, 1)), SAMPLE_SEED)
+
+    def make():
+        def run(batch: pa.RecordBatch) -> dict:
+            texts = batch["text"].to_pylist()
+            names, seconds, hits = zip(*tally(texts, rules))
+            return {"rule": list(names), "seconds": list(seconds), "hits": list(hits), "texts": [len(texts)] * len(names)}
+
+        return run
+
+    # rules that no text was measured for have no row
+    sums = map_slices(sample, make, "rule string, seconds double, hits long, texts long").groupBy("rule").sum()
+    got = {r["rule"]: (r["sum(seconds)"] / r["sum(texts)"], r["sum(hits)"] / r["sum(texts)"]) for r in sums.collect()}
+    return [Estimate(r.name, *got.get(r.name, (0.0, 0.0))) for r in rules]
 
 
 def first_rejection(m: Measures, ordered: list[Rule]) -> str | None:
@@ -145,7 +161,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules
     repeated rows; an empty table gives an empty result.
     """
     rows = pick(docs, doc_id=id_col, text=text_col)
-    names = plan(docs, text_col, rules)
+    names = order(estimate(docs, text_col, rules)) if rules else []
     by_name = {r.name: r for r in rules}
     wanted = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words") if measures else ()
     base = [by_name[n] for n in BASE_RULES if n in by_name]

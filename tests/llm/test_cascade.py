@@ -62,6 +62,23 @@ def test_cascade_stops_at_the_first_rejection():
     assert "n_repeat_words" not in m._got
 
 
+def test_sample_is_drawn_from_the_whole_table(spark):
+    """A table sorted so that its first partitions hold nothing that a rule rejects."""
+    good = "these are ten words of a line that no rule rejects here"
+    rows = [(i, good if i < 8_000 else f"bad {i}") for i in range(16_000)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartitionByRange(8, "doc_id")
+    got = {e.name: e for e in C.estimate(table)}
+    assert set(got) == {r.name for r in C.RULES}
+    assert 0.35 < got["few_words"].rejected < 0.65 and got["symbols"].rejected == 0
+    assert all(e.cost > 0 for e in got.values())
+    assert C.order(list(got.values()))[0] == "few_words"
+
+
+def test_no_rows_and_no_rules(spark, no_docs, edge_docs):
+    assert all((e.cost, e.rejected) == (0, 0) for e in C.estimate(no_docs))
+    assert C.judge(edge_docs, rules=(), measures=False).where("kept").count() == 9
+
+
 def test_edges_of_the_input(edge_docs, no_docs):
     got = C.judge(edge_docs)
     assert got.count() == 9
