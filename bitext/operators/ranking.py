@@ -26,7 +26,10 @@ HASH_DIGITS = 32
 
 
 def hash_key(seed, *cols) -> Column:
-    """``md5('<seed>:<c1>:<c2>…')`` – lowercase hex, so string order = hash order."""
+    """``md5('<seed>:<c1>:<c2>…')`` – lowercase hex, so string order = hash order.
+
+    A null is left out with its colon, so a null key has a hash of its own.
+    """
     parts = [F.lit(str(seed))] + [(F.col(c) if isinstance(c, str) else c).cast("string") for c in cols]
     return F.md5(F.concat_ws(":", *parts))
 
@@ -34,6 +37,8 @@ def hash_key(seed, *cols) -> Column:
 def hash_cut(df: DataFrame, key: str, seed, n: int | None = None, fraction: float | None = None):
     """The ``(hash, key)`` of the n-th row in hash order; None when all rows are within,
     ``("", None)`` when none is.  ``fraction``: n is ``int(fraction * rows)``.
+
+    A repeated key has one hash, so its rows are in or out together.
     """
     d = df.select(F.col(key), hash_key(seed, key).alias("_h"))
     prefix = ""
@@ -54,9 +59,14 @@ def hash_cut(df: DataFrame, key: str, seed, n: int | None = None, fraction: floa
             if n <= count:
                 break
             n -= count
-        if count <= CANDIDATES or digits >= HASH_DIGITS:
+        if count <= CANDIDATES:
             last = d.where(F.col("_h").startswith(prefix)).orderBy("_h", key).limit(n).collect()
             return last[-1]["_h"], last[-1][key]
+        if digits >= HASH_DIGITS:  # a key with very many rows: counted, not collected
+            for row in d.where(F.col("_h") == prefix).groupBy(key).count().orderBy(key).toLocalIterator():
+                n -= row["count"]
+                if n <= 0:
+                    return prefix, row[key]
 
 
 def hash_first_n(df: DataFrame, key: str, seed, n: int | None = None, flag: str | None = None,
@@ -67,11 +77,10 @@ def hash_first_n(df: DataFrame, key: str, seed, n: int | None = None, flag: str
     h = hash_key(seed, key)
     if cut is None:
         cond = F.lit(True)
-    elif cut[1] is None:
-        cond = F.lit(False)
     else:
-        ch, ck = cut
-        cond = (h < F.lit(ch)) | ((h == F.lit(ch)) & (F.col(key) <= F.lit(ck)))
+        ch, ck = cut  # only null keys have the hash of a null key
+        last = F.lit(True) if ck is None else F.col(key) <= F.lit(ck)
+        cond = (h < F.lit(ch)) | ((h == F.lit(ch)) & last)
     return df.where(cond) if flag is None else df.withColumn(flag, cond)
 
 

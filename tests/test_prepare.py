@@ -23,6 +23,22 @@ def test_split_exact_and_disjoint(spark):
     assert d.pair_id.is_unique
 
 
+def test_hash_cut_of_repeated_and_null_keys(spark, monkeypatch):
+    import hashlib
+
+    monkeypatch.setattr(R, "CANDIDATES", 50)
+    rows = [1] * 400 + [None] * 300 + list(range(2, 40))
+    table = spark.createDataFrame([(k,) for k in rows], "k int").repartition(4)
+    digest = lambda k: hashlib.md5(("7" if k is None else f"7:{k}").encode()).hexdigest()
+    order = sorted(rows, key=digest)
+    for n in (1, 20, 300, 500, len(rows) - 1, len(rows)):
+        last = digest(order[n - 1])  # rows of one key are in or out together
+        want = sorted((k is None, k or 0) for k in rows if digest(k) <= last)
+        got = sorted((r["k"] is None, r["k"] or 0) for r in R.hash_first_n(table, "k", 7, n).collect())
+        assert got == want, n
+    assert R.hash_first_n(table, "k", 7, 0).count() == 0
+
+
 def test_split_matches_brute_force(spark):
     import hashlib
 
