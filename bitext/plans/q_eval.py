@@ -35,5 +35,6 @@ def q_grouped_bleu(spark, sf):
     """BLEU per document language (the pair's document decides the group)."""
     hr = X.hyp_ref(spark, sf).withColumn("doc_id", F.expr(f"pair_id div {X.PAIR_ID_STRIDE}"))
     docs = table(spark, sf, "documents").select("doc_id", "lang")
-    g = hr.join(docs, "doc_id")
-    return _bleu_cols(BL.corpus_bleu(g, by=["lang"]), ["lang"])
+    # the sums of a document meet its language, not the texts
+    g = BL.corpus_sums(hr, by=["doc_id"]).join(docs, "doc_id")
+    return _bleu_cols(BL.bleu_of_sums(BL.regrouped(g, by=["lang"])), ["lang"])
