@@ -16,6 +16,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bitext.functions import vectors as V
+from bitext.sources.tables import parts_of
+
+CELL_TASK_BYTES = 1 << 20  # estimated bytes of the query vectors of one task
 
 
 def heads_long(df: DataFrame, vec: str, h: int, key: str = "seq_id", pos: str = "pos", name: str = "x") -> DataFrame:
@@ -32,8 +35,10 @@ def scores(q: DataFrame, kv: DataFrame, mask: str = "none", key: str = "seq_id",
     ``mask``: 'none' (self), 'causal' (column <= row) or 'valid' (column < valid_len,
     with ``valid`` = ``(key, valid_len)``).
     """
-    qq = q.select(key, "head", F.col("pos").alias("row"), F.col("x").alias("q"))
-    kk = kv.select(key, "head", F.col("pos").alias("column"), F.col("x").alias("k"), F.col("v"))
+    # rows are few bytes and cells many: tasks by the size of the queries, not as many as other shuffles
+    parts = max(int(q.sparkSession.conf.get("spark.sql.shuffle.partitions")), parts_of(q, CELL_TASK_BYTES))
+    qq = q.select(key, "head", F.col("pos").alias("row"), F.col("x").alias("q")).repartition(parts, key, "head")
+    kk = kv.select(key, "head", F.col("pos").alias("column"), F.col("x").alias("k"), F.col("v")).repartition(parts, key, "head")
     j = qq.join(kk, [key, "head"])
     if mask == "causal":
         j = j.where(F.col("column") <= F.col("row"))
