@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as Ty
 
-from bitext.operators.clean import MAX_WORDS, clean_pairs, filter_word_count
+from bitext.operators.clean import MAX_WORDS, clean_kept
 
 PAIR_SCHEMA = Ty.StructType([
     Ty.StructField("pair_id", Ty.LongType()),
@@ -33,7 +33,7 @@ def prepare_stream(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: s
     reader = spark.readStream.schema(schema)
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    out = filter_word_count(clean_pairs(reader.parquet(in_dir)), max_words)
+    out = clean_kept(reader.parquet(in_dir), max_words)
     out = layout(out) if layout is not None else out
     q = (out.writeStream.format("parquet").option("path", out_dir).option("checkpointLocation", checkpoint)
          .outputMode("append").trigger(availableNow=True).start())

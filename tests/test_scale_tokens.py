@@ -11,6 +11,7 @@ from bitext.functions import text as T
 from bitext.operators import bpe as B
 from bitext.operators import bpe_encode as BE
 from bitext.operators import bpe_train as BT
+from bitext.operators import clean as C
 from bitext.operators import decode as D
 
 from test_text_unicode import TEXTS
@@ -81,3 +82,14 @@ def test_words_and_neighbours_counted_in_batches(spark):
     seqs = [["a", "b", "a", "b"], [], None, ["b"], ["b", None, "b"], ["c", "a"]]
     got = D.bigram_scores(spark.createDataFrame([(s,) for s in seqs], "tokens array<string>")).collect()
     assert {(r["prev"], r["token"]): r["cnt"] for r in got} == {("a", "b"): 2, ("b", "a"): 1, ("b", None): 1, ("c", "a"): 1}
+
+
+def test_words_are_counted_beside_the_noise(spark):
+    """The filter before the cleaning keeps what the filter after it kept, and cleans once."""
+    rng = random.Random(6)
+    texts = ["", "ـ", " ـ ـ", "aـ ـ b", "ـa b ـ", "a b c", "a ـb\x1cc", None, *("".join(rng.choice("ab ـِ ") for _ in range(rng.randint(0, 9))) for _ in range(300))]
+    pairs = spark.createDataFrame([(i, s, t) for i, (s, t) in enumerate(zip(texts[::-1], texts))], "pair_id long, src string, tgt string")
+    for most in (1, 2, 40):
+        got = C.clean_kept(pairs, most)
+        assert sorted(got.collect()) == sorted(C.filter_word_count(C.clean_pairs(pairs), most).collect())
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") == 1
