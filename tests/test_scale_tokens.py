@@ -93,3 +93,14 @@ def test_words_are_counted_beside_the_noise(spark):
         got = C.clean_kept(pairs, most)
         assert sorted(got.collect()) == sorted(C.filter_word_count(C.clean_pairs(pairs), most).collect())
     assert got._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") == 1
+
+
+def test_neighbours_of_texts_equal_those_of_their_tokens(spark):
+    df = spark.createDataFrame([(t,) for t in odd_texts(60)], "t string")
+    seqs = df.where("t IS NOT NULL").select(F.concat(F.array(F.lit(D.SOS)), T.pretokenize("t"), F.array(F.lit(D.EOS))).alias("tokens"))
+    texts = D.bigram_scores(df, "t")
+    assert sorted(texts.collect()) == sorted(D.bigram_scores(seqs).collect())
+    want = Counter(p for r in seqs.collect() for p in zip(r["tokens"], r["tokens"][1:]))
+    assert {(r["prev"], r["token"]): r["cnt"] for r in texts.collect()} == want
+    plan = texts._jdf.queryExecution().toString()
+    assert "Join" not in plan and "regexp" not in plan
