@@ -6,6 +6,7 @@ from collections import Counter
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from bitext.functions import layout as L
 from bitext.functions import pretoken as P
 from bitext.functions import text as T
 from bitext.operators import bpe as B
@@ -104,3 +105,13 @@ def test_neighbours_of_texts_equal_those_of_their_tokens(spark):
     assert {(r["prev"], r["token"]): r["cnt"] for r in texts.collect()} == want
     plan = texts._jdf.queryExecution().toString()
     assert "Join" not in plan and "regexp" not in plan
+
+
+def test_next_token_pairs_evaluate_their_sequence_no_element_at_a_time(spark):
+    rows = [[5, 9, 8, 4], [5, 4], [5], [], None]
+    df = spark.createDataFrame([(r,) for r in rows], "ids array<int>")
+    out = df.select("ids", L.next_token_pairs(F.concat("ids", F.array().cast("array<int>"))).alias("p"))
+    for r in out.collect():
+        want = None if r["ids"] is None else list(zip(r["ids"], r["ids"][1:]))
+        assert (None if r["p"] is None else [(p["prev"], p["next"]) for p in r["p"]]) == want
+    assert "lambda" not in out._jdf.queryExecution().toString()
