@@ -15,6 +15,9 @@ from bitext.operators import bpe_train as BT
 from bitext.operators import clean as C
 from bitext.operators import decode as D
 
+from bitext.session import written
+
+from conftest import SF001
 from test_text_unicode import TEXTS
 
 
@@ -115,3 +118,12 @@ def test_next_token_pairs_evaluate_their_sequence_no_element_at_a_time(spark):
         want = None if r["ids"] is None else list(zip(r["ids"], r["ids"][1:]))
         assert (None if r["p"] is None else [(p["prev"], p["next"]) for p in r["p"]]) == want
     assert "lambda" not in out._jdf.queryExecution().toString()
+
+
+def test_vocab_lookup_prepares_pairs_once(spark, monkeypatch):
+    from bitext.plans import prepare, q_misc
+
+    seen = []
+    monkeypatch.setattr(prepare, "written", lambda df, name: (seen.append(name), written(df, name))[1])
+    q_misc.q_vocab_lookup(spark, SF001)
+    assert seen == ["kept-pairs"]
