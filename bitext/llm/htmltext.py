@@ -12,8 +12,9 @@ at least a quarter of the remaining characters, the rest goes too.
 
 Scale: counting is a partial aggregate over (host, hash, page digest), so a host
 with a third of all pages is summed before it moves.  Up to ``BROADCAST_HASHES``
-templates go to every task as eight bytes each, more are joined with the pages'
-subtrees by host and hash.
+templates go to every task as eight bytes each (the driver holds no more of them
+either), more are joined with the pages' subtrees by host and hash, in a shuffle;
+only those on more than ``HOT_PAGES`` pages, which are few, are broadcast there.
 """
 
 from __future__ import annotations
@@ -34,10 +35,12 @@ from bitext.llm.urlfilter import host_of
 MIN_PAGES = 4
 #: An article element is believed if it holds one in so many of the remaining characters.
 HINT_SHARE = 4
-#: Template hashes in all up to which they are broadcast; beyond, a shuffle join.
-BROADCAST_HASHES = 500_000
-#: Parts of a (host, hash) in that join, for templates on very many pages.
-SALTS = 16
+#: Template hashes in all up to which they are broadcast (32 MB); beyond, a shuffle join.
+BROADCAST_HASHES = 4_000_000
+#: Pages of a template beyond which that join deals its rows by page, not by hash; more
+#: where more than ``HOT_TEMPLATES`` could have so many.
+HOT_PAGES = 5_000
+HOT_TEMPLATES = 100_000
 
 # Element names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -290,8 +293,18 @@ def subtree_counts(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
 
 
 def templates(counts: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(host, hash): the subtrees that recur on enough pages of their host."""
-    return counts.where(F.col("pages") >= min_pages).select("host", "hash")
+    """(host, hash, pages): the subtrees that recur on enough pages of their host."""
+    return counts.where(F.col("pages") >= min_pages).select("host", "hash", "pages")
+
+
+def _keys(found: DataFrame) -> np.ndarray:
+    """The sorted ``_key`` of every template: they reach the driver as eight bytes each, not as rows."""
+
+    def make():
+        return lambda batch: {"keys": [batch["key"].to_numpy().astype(np.int64).tobytes()]}
+
+    parts = map_slices(found.select(F.xxhash64("host", "hash").alias("key")), make, "keys binary", 1 << 16).collect()
+    return np.sort(np.frombuffer(b"".join(r["keys"] for r in parts), np.int64))
 
 
 def _gone(rows: DataFrame, found: DataFrame) -> DataFrame:
@@ -312,9 +325,15 @@ def _gone(rows: DataFrame, found: DataFrame) -> DataFrame:
         return run
 
     own = map_slices(rows.select("host", "at", "html"), make, "host string, at long, hash long", 128).distinct()
-    own = own.withColumn("salt", F.pmod("at", F.lit(SALTS)))
-    salted = found.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-    return own.join(salted, ["host", "hash", "salt"]).groupBy("host", "at").agg(F.collect_list("hash").alias("gone"))
+    # rows of a template on very many pages are known to match and are dealt by their page
+    least = max(HOT_PAGES, (found.agg(F.sum("pages")).first()[0] or 0) // HOT_TEMPLATES)
+    hot = found.where(F.col("pages") > least).select("host", "hash", F.lit(True).alias("hot"))
+    own = own.join(F.broadcast(hot), ["host", "hash"], "left")
+    own = own.withColumn("by", F.when(F.col("hot"), F.xxhash64("at", "hash")).otherwise(F.col("hash")))
+    # hinted: by its few bytes on disk Spark would broadcast the table of templates through the driver
+    rest = found.select("host", F.col("hash").alias("by"), F.lit(True).alias("known")).hint("merge")
+    own = own.join(rest, ["host", "by"], "left").where("hot OR known")
+    return own.groupBy("host", "at").agg(F.collect_list("hash").alias("gone"))
 
 
 def extract(
@@ -331,13 +350,12 @@ def extract(
     rows = _rows(pages, id_col, url_col, html_col)
     few = found.count() <= BROADCAST_HASHES
     if few:
-        keys = found.select(F.xxhash64("host", "hash").alias("key")).toPandas()["key"].to_numpy(np.int64)
-        shared = spark.sparkContext.broadcast(np.sort(keys).tobytes())
+        shared = spark.sparkContext.broadcast(_keys(found).tobytes())
         rows = rows.select("page_id", "url", "html", "host")
     else:
         # a page's list may hold more of its host's templates than it needs, so 64 bits of its text do
         rows = rows.withColumn("at", F.xxhash64("html"))
-        rows = rows.join(_gone(rows, found), ["host", "at"], "left").select("page_id", "url", "html", "gone")
+        rows = rows.join(_gone(rows, found).hint("merge"), ["host", "at"], "left").select("page_id", "url", "html", "gone")
 
     def make():
         known = np.frombuffer(shared.value, np.int64) if few else None

@@ -204,3 +204,24 @@ def test_an_article_tag_is_a_hint_only(spark):
     assert all(got[i].startswith(f"{i} is a long story") for i in range(5))
     assert [got[10 + i] for i in range(5)] == [f"Own {i}" for i in range(5)]
     assert plain_extract([p[:3] for p in pages])[0] == sorted(got.items())
+
+
+def test_many_templates_are_joined_by_shuffle_not_through_the_driver(spark, monkeypatch):
+    pages = [(i, f"http://plain.example/{i}", f"<html><body>{site(i, f'<div><h2>Title {i}</h2><p>Words of page {i}.</p></div>')}</body></html>", "", "") for i in range(24)]
+    want = {i: f"Title {i}\nWords of page {i}." for i in range(24)}
+    docs = spark.createDataFrame(pages, SCHEMA).repartition(3)
+    monkeypatch.setattr(H, "BROADCAST_HASHES", 0)
+    plan = H.extract(docs)._jdf.queryExecution().executedPlan().toString()
+    # the one table that is broadcast are the templates on more than HOT_PAGES pages
+    assert plan.count("BroadcastExchange") == 1 and f"GreaterThan(pages,{H.HOT_PAGES})" in plan and "explode" not in plan
+    monkeypatch.setattr(H, "HOT_PAGES", 6)  # some recur on 8 pages, others on all 24
+    assert {r["page_id"]: r["text"] for r in H.extract(docs).collect()} == want
+    monkeypatch.setattr(H, "HOT_PAGES", 12)
+    assert {r["page_id"]: r["text"] for r in H.extract(docs).collect()} == want
+
+
+def test_template_keys_come_as_bytes(spark):
+    found = spark.range(0, 200_000, 1, 3).selectExpr("concat('h', id % 7) AS host", "xxhash64(id) AS hash", "4L AS pages")
+    keys = H._keys(found)
+    assert sorted(r[0] for r in found.selectExpr("xxhash64(host, hash)").collect()) == keys.tolist()
+    assert len(H._keys(found.limit(0))) == 0
