@@ -122,45 +122,56 @@ def anchors(data: bytes) -> Iterator[tuple[np.ndarray, ...]]:
 # ---- suffix arrays of a shard -----------------------------------------------
 
 
+def _stable_order(keys: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Stable order of keys under ``most``, and the keys in it: key and place sorted as one word where both fit."""
+    n = len(keys)
+    low = max(1, (n - 1).bit_length())
+    if (most - 1).bit_length() + low > 64:
+        by = np.argsort(keys, kind="stable")
+        return by, keys[by]
+    packed = np.sort(keys.astype(np.uint64) << np.uint64(low) | np.arange(n, dtype=np.uint64))
+    return (packed & np.uint64((1 << low) - 1)).astype(np.int64), packed >> np.uint64(low)
+
+
 def suffix_array(text: np.ndarray, ends: np.ndarray, longest: int) -> np.ndarray:
     """Suffixes of ``text`` in order, each ending with its fragment (``ends`` per byte).
 
-    Larsson-Sadakane: suffixes are ranked by their first 8 bytes, then groups of
+    Larsson-Sadakane: suffixes are ranked by their first 5 bytes, then groups of
     equal rank are split by the rank of the suffix ``depth`` bytes on, doubling
     the depth; sorted suffixes are not touched again.  Suffixes equal up to
     their ends stay in the order of their places.
     """
     n = len(text)
     place = np.arange(n)
-    key = np.zeros(n, np.uint64)
-    wide = np.concatenate([text.astype(np.uint64) + np.uint64(1), np.zeros(7, np.uint64)])
-    for i in range(7):  # 9 bits a byte, so that an end is less than any byte
-        key = key << np.uint64(9) | np.where(place + i < ends, wide[i : i + n], np.uint64(0))
-    order = np.argsort(key, kind="stable")
-    rank = np.empty(n, np.int64)
-    new = np.concatenate([[True], key[order][1:] != key[order][:-1]])
-    group = np.maximum.accumulate(np.where(new, place, 0))
+    wide = np.concatenate([text.astype(np.uint64) + np.uint64(1), np.zeros(4, np.uint64)])
+    key = wide[:n].copy()
+    near = np.flatnonzero(ends - place < 5)  # suffixes of fewer bytes
+    short = key[near]
+    for i in range(1, 5):  # 257 values a byte, so that an end is less than any byte
+        key *= np.uint64(257)
+        key += wide[i : i + n]
+        short = short * np.uint64(257) + np.where(near + i < ends[near], wide[near + i], np.uint64(0))
+    key[near] = short
+    order, key = _stable_order(key, 257**5)
+    head = np.concatenate([[True], key[1:] != key[:-1]])
+    group = np.maximum.accumulate(np.where(head, place, 0))
+    rank = np.empty(n, np.int32)
     rank[order] = group
-    depth = 7
-    while depth < longest:
+    slots, who, depth = place, order, 5
+    while True:
         # slots of the order that are not alone in their group
-        alone = new & np.concatenate([new[1:], [True]])
-        slots = np.flatnonzero(~alone)
-        if not len(slots):
-            break
-        who = order[slots]
+        several = ~(head & np.concatenate([head[1:], [True]]))
+        slots, who, group = slots[several], who[several], group[several]
+        if depth >= longest or not len(slots):
+            return order
         on = who + depth
         then = np.where(on < ends[who], rank[np.minimum(on, n - 1)] + 1, 0)
-        mixed = group[slots] * np.int64(n + 1) + then
-        by = np.argsort(mixed, kind="stable")
-        order[slots] = who[by]
-        mixed = mixed[by]
+        by, mixed = _stable_order(group * np.int64(n + 1) + then, n * (n + 1) + n + 1)
+        order[slots] = who = who[by]
         head = np.concatenate([[True], mixed[1:] != mixed[:-1]])
-        new[slots] |= head
-        group = np.maximum.accumulate(np.where(new, place, 0))
-        rank[order[slots]] = group[slots]
+        group = np.maximum.accumulate(np.where(head, slots, 0))
+        rank[who] = group
         depth *= 2
-    return order
 
 
 def common_prefixes(text: np.ndarray, order: np.ndarray, first: np.ndarray, size: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -209,17 +220,21 @@ class Shard:
         head = low[whole] < WINDOW
         skipped = np.flatnonzero(whole)
         if len(skipped):  # a shorter suffix in between breaks a run only if it shares less
-            gap = np.concatenate([[False], np.diff(skipped) > 1])
-            for k in np.flatnonzero(gap & ~head):
-                head[k] = low[skipped[k - 1] + 1 : skipped[k] + 1].min() < WINDOW
+            head[1:] = np.minimum.reduceat(low[: skipped[-1] + 1], skipped[:-1] + 1) < WINDOW if len(skipped) > 1 else head[1:]
             head[0] = True
         self.group = (np.cumsum(head) - 1).astype(np.int32)
         owner = np.repeat(np.arange(len(parts)), size)[places]
         self.doc, self.start = docs[owner], los[owner] + places - first[owner]
-        by = np.lexsort((self.start, self.doc, self.group))
-        lead = by[np.concatenate([[True], np.diff(self.group[by]) != 0])] if len(by) else by
-        self.least_doc, self.least_start = self.doc[lead], self.start[lead]
-        self.sample = places[lead].astype(np.int32)
+        # groups follow one another: the earliest place of each is the least of one word a place
+        leads = np.flatnonzero(head)
+        if len(leads) and self.doc.max() < 1 << 23 and self.start.max() < 1 << 40:
+            least = np.minimum.reduceat(self.doc << 40 | self.start, leads)
+            self.least_doc, self.least_start = least >> 40, least & (1 << 40) - 1
+        else:
+            by = np.lexsort((self.start, self.doc, self.group))
+            lead = by[leads]
+            self.least_doc, self.least_start = self.doc[lead], self.start[lead]
+        self.sample = places[leads].astype(np.int32)
 
     def strings(self) -> np.ndarray:
         """The distinct strings in order, as rows of big-endian words that compare like them."""
@@ -330,7 +345,7 @@ def _shard_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return row[5] if width > 5 else -1
 
     def one_of_many(key: list[tuple]) -> Iterator[pa.RecordBatch]:
-        """A share of a hot key, in pieces of bounded size: spans and strings."""
+        """Shares of hot keys, in pieces of bounded size: spans and strings."""
         for at in range(0, len(key), HOT_CUTS):
             strings: list = []
             yield table(*_solve([r[:5] for r in key[at : at + HOT_CUTS]], strings))
@@ -341,6 +356,8 @@ def _shard_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     width = 4
     ready: list[tuple] = []  # rows of keys with several parts
     size = 0
+    many: list[tuple] = []  # rows of shares of hot keys, most of them small: one suffix array for many
+    held = 0
     key: list[tuple] = []  # rows of the key at hand
     for batch in batches:
         copies: tuple[list, list, list] = ([], [], [])
@@ -354,11 +371,15 @@ def _shard_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             if key and not same:
                 if share(key[0]) >= 0:
-                    yield from one_of_many(key)
+                    many += key
+                    held += sum(len(r[1]) for r in key)
                 elif len(key) > 1:
                     ready += [r[:5] for r in key]
                     size += sum(len(r[1]) for r in key)
                 key = []
+                if held >= SHARD_BYTES:
+                    yield from one_of_many(many)
+                    many, held = [], 0
                 if size >= SHARD_BYTES:
                     yield table(*_solve(ready))
                     ready, size = [], 0
@@ -369,9 +390,11 @@ def _shard_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if copies[0]:
             yield table(*copies)
     if key and share(key[0]) >= 0:
-        yield from one_of_many(key)
+        many += key
     elif len(key) > 1:
         ready += [r[:5] for r in key]
+    if many:
+        yield from one_of_many(many)
     if ready:
         yield table(*_solve(ready))
 

@@ -206,3 +206,21 @@ def test_two_hundred_thousand_cuts_of_one_piece():
     late = {p[0] for places in strings.values() for p in sorted(set(places))[1:]}
     # exactly the documents of the second half hold strings that an earlier one holds
     assert late | {d for d, _, _ in spans} == set(range(100_000, 200_000))
+
+
+def test_small_shares_of_hot_keys_have_one_suffix_array(monkeypatch):
+    rng = random.Random(7)
+    rows, solved = [], []
+    for key in range(300):  # of five keys two hold 21 strings twice
+        part = bytes(rng.randrange(97, 123) for _ in range(120))
+        other = part if key % 5 < 2 else bytes(rng.randrange(97, 123) for _ in range(120))
+        rows += [(key, p, doc, 0, 0, key % 3) for doc, p in ((2 * key, part + b"x"), (2 * key + 1, other + b"y"))]
+    rows.sort(key=lambda r: (r[0], r[5], r[1], r[2]))
+    names = ("key", "part", "doc", "lo", "sum", "share")
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=names)
+    solve = X._solve
+    monkeypatch.setattr(X, "_solve", lambda *a: (solved.append(len(a[0])), solve(*a))[1])
+    out = [r for b in X._shard_spans(iter([batch])) for r in b.to_pylist()]
+    assert solved == [600]  # one by one there were 300
+    assert sorted((r["doc"], r["lo"], r["hi"]) for r in out if r["hash"] is None) == [(2 * k + 1, 0, 120) for k in range(300) if k % 5 < 2]
+    assert len([r for r in out if r["hash"]]) == sum(23 if k % 5 < 2 else 44 for k in range(300))
