@@ -531,22 +531,16 @@ def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), F.xxhash64("text").alias("sum"), "doc_id", "text")
 
 
-def _kept(data: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, int]:
+def _kept(data: bytes, lo: np.ndarray, hi: np.ndarray) -> tuple[bytes, int, int]:
     """(remaining bytes, bytes removed, maximal removed runs)."""
-    out, at, runs, removed = [], 0, 0, 0
-    last = -1
-    for lo, hi in sorted(spans):
-        hi = min(hi, len(data))
-        if lo > last:
-            runs += 1
-        if hi > max(at, lo):
-            if lo > at:
-                out.append(data[at:lo])
-            removed += hi - max(at, lo)
-            at = hi
-        last = max(last, hi)
-    out.append(data[at:])
-    return b"".join(out), removed, runs
+    if not len(lo):
+        return data, 0, 0
+    by = np.argsort(lo, kind="stable")
+    lo, far = lo[by], np.maximum.accumulate(np.minimum(hi[by], len(data)))
+    first = np.concatenate([[0], np.flatnonzero(lo[1:] > far[:-1]) + 1])
+    los, his = lo[first], far[np.concatenate([first[1:] - 1, [len(lo) - 1]])]
+    edges = [0, *np.stack([los, his], axis=1).ravel().tolist(), len(data)]
+    return b"".join([data[a:b] for a, b in zip(edges[::2], edges[1::2])]), int((his - los).sum()), len(first)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", content: bool = False) -> DataFrame:
@@ -564,9 +558,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def make():
         def run(batch: pa.RecordBatch) -> dict:
             out: dict[str, list] = {n: [] for n in names}
-            lists = batch["spans"].to_pylist() if "spans" in batch.schema.names else [None] * batch.num_rows
-            for doc_id, data, spans in zip(batch["doc_id"].to_pylist(), _bytes_of(batch), lists):
-                rest, removed, runs = _kept(data, [(s["lo"], s["hi"]) for s in spans or []])
+            at, lo, hi = np.zeros(batch.num_rows + 1, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+            if "spans" in batch.schema.names:  # of all rows in one array; a null list has no length
+                lists = batch["spans"]
+                at, (lo, hi) = lists.offsets.to_numpy(), (lists.values.field(n).to_numpy() for n in ("lo", "hi"))
+            for doc_id, data, a, b in zip(batch["doc_id"].to_pylist(), _bytes_of(batch), at[:-1].tolist(), at[1:].tolist()):
+                rest, removed, runs = _kept(data, lo[a:b], hi[a:b])
                 row = (doc_id, len(data), removed, runs, hashlib.sha256(rest).hexdigest(), rest)
                 for name, value in zip(names, row):
                     out[name].append(value)
