@@ -86,8 +86,10 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def anchors(data: bytes) -> Iterator[tuple[np.ndarray, ...]]:
-    """(anchor hash, fragment hash, first byte, last byte + 1, anchor's byte) of the fragments of a document."""
+def anchors(data: bytes, content: bool = True) -> Iterator[tuple[np.ndarray, ...]]:
+    """(anchor hash, fragment hash, first byte, last byte + 1, anchor's byte) of the fragments of a document.
+
+    Without ``content`` only the anchor hash."""
     global _HASH
     if _HASH is None:
         _HASH = _tables()
@@ -97,7 +99,7 @@ def anchors(data: bytes) -> Iterator[tuple[np.ndarray, ...]]:
         part = whole[lo : min(lo + STRETCH, starts) + WINDOW - 1]
         n, m = len(part), len(part) - GRAM + 1
         sums = []
-        for value, powers, _ in _HASH:
+        for value, powers, _ in _HASH if content else _HASH[:1]:
             total = np.zeros(n + 1, np.uint64)
             np.cumsum(value[part] * powers[:n], out=total[1:])
             sums.append(total)
@@ -112,11 +114,14 @@ def anchors(data: bytes) -> Iterator[tuple[np.ndarray, ...]]:
             key = np.minimum(key[: -(_SPAN - width)], key[_SPAN - width :])
         at = (key & np.uint64((1 << 20) - 1)).astype(np.int64)  # the anchor of each start
         first = np.concatenate([[0], np.flatnonzero(np.diff(at)) + 1])
-        end = np.concatenate([first[1:] - 1, [len(at) - 1]]) + WINDOW
         own = at[first]
-        content = (sums[1][end] - sums[1][first]) * _HASH[1][2][first]
-        content = _mix(content + _mix((end - first).astype(np.uint64) * np.uint64(1 << 20) + (own - first).astype(np.uint64)))
-        yield gram[own], content, first + lo, end + lo, own + lo
+        if not content:
+            yield (gram[own],)
+            continue
+        end = np.concatenate([first[1:] - 1, [len(at) - 1]]) + WINDOW
+        whole_hash = (sums[1][end] - sums[1][first]) * _HASH[1][2][first]
+        whole_hash = _mix(whole_hash + _mix((end - first).astype(np.uint64) * np.uint64(1 << 20) + (own - first).astype(np.uint64)))
+        yield gram[own], whole_hash, first + lo, end + lo, own + lo
 
 
 # ---- suffix arrays of a shard -----------------------------------------------
@@ -427,6 +432,20 @@ def _fragments(rows: DataFrame) -> DataFrame:
     return map_slices(rows, make, "anchor long, content long, doc long, sum long, lo long, shape int", 256)
 
 
+def _anchor_counts(rows: DataFrame) -> DataFrame:
+    """(anchor, n): fragments of every anchor, those of some documents already summed up."""
+
+    def make():
+        def run(batch: pa.RecordBatch) -> dict:
+            found = [x[0] for data in _bytes_of(batch) for x in anchors(data, content=False)]
+            anchor, n = np.unique(np.concatenate(found) if found else np.empty(0, np.uint64), return_counts=True)
+            return {"anchor": pa.array(anchor.view(np.int64)), "n": pa.array(n, pa.int64())}
+
+        return run
+
+    return map_slices(rows.select("text"), make, "anchor long, n long", 1024).groupBy("anchor").agg(F.sum("n").alias("n"))
+
+
 def cuts(part: bytes, own: int) -> Iterator[tuple[int, int, bytes]]:
     """(key, first byte, bytes) of a fragment's cuts: strings that reach at least
     ``SIDE`` bytes to the left of the anchor at ``own``, and the others."""
@@ -488,7 +507,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ship(spark)
     rows = _documents(docs, id_col, text_col)
     every = _fragments(rows)
-    twice = kept(spark, every.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"), "anchors")
+    twice = kept(spark, _anchor_counts(rows).where("n > 1"), "anchors")
     # rows of a hot anchor are known to stay and are dealt by their place; such anchors are HOT_ANCHORS at most
     least = max(HOT_ROWS, (twice.agg(F.sum("n")).first()[0] or 0) // HOT_ANCHORS)
     hot = twice.where(F.col("n") > least).select("anchor", F.lit(True).alias("hot"))
